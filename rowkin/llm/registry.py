@@ -8,21 +8,39 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from rowkin.llm.common import table
+from rowkin.llm.licenses import scan_licenses
 from rowkin.llm.packing import best_fit
 from rowkin.llm.quality import quality_rules
+from rowkin.llm.training_order import write_training_order
+from rowkin.llm.url_filter import filter_urls
+
+
+def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return write_training_order(table(spark, sf_dir, "documents"))
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit(table(spark, sf_dir, "documents"))
 
 
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_training_order": op1_training_order,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_url_filters": op6_url_filters,
     "op9_quality_rules": op9_quality_rules,
+    "op10_license_scan": op10_license_scan,
     "pipeline": corpus_pipeline.run,
 }
 
