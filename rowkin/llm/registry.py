@@ -7,8 +7,10 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
+from rowkin.llm import oracles
 from rowkin.llm.common import table
 from rowkin.llm.licenses import scan_licenses
+from rowkin.llm.ngram_join import near_duplicates
 from rowkin.llm.packing import best_fit
 from rowkin.llm.quality import quality_rules
 from rowkin.llm.training_order import write_training_order
@@ -27,6 +29,10 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -39,9 +45,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_training_order": op1_training_order,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_url_filters": op6_url_filters,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_license_scan": op10_license_scan,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_ngram_jaccard_join": oracles.NEAR_DUPLICATES}
