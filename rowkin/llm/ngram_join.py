@@ -58,10 +58,10 @@ KEY_SHIFT = U64(24)  # counted on 40 bits
 FLUSH = 4_000_000
 
 
-def _grams(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
-    """doc_ids and each text's shingle hashes, repeated ones included."""
+def _grams(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Rows of (doc_id, key, text) and each text's shingle hashes, repeated ones included."""
     for batch in batches:
-        for lo, hi, data, offsets in text_blocks(batch.column(1)):
+        for lo, hi, data, offsets in text_blocks(batch.column(2)):
             start, end, first = word_spans(data, offsets)
             hashes = span_hash(prefix_sums(data, LOWER_VALUES), start, end)
             grams = gram_hash(hashes, words)
@@ -69,7 +69,7 @@ def _grams(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.A
             for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
                 k = b - a
                 out.append(grams[a : b - words + 1] if k >= words else gram_hash(hashes[a:b], k) + U64(k) if k else grams[:0])
-            yield batch.column(0).slice(lo, hi - lo), out
+            yield batch.slice(lo, hi - lo), out
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -170,7 +170,8 @@ def _sets(batches: Iterator[pa.RecordBatch], join: Join, shared: np.ndarray, man
     A node's later copies within the task carry nothing.
     """
     seen: set[int] = set()
-    for ids, texts in _grams(batches, join.words):
+    for rows, texts in _grams(batches, join.words):
+        ids = rows.column(0)
         sizes, nodes, tokens, keys = [], [], [], []
         whole = np.concatenate(texts) if texts else np.zeros(0, U64)
         kind = _bit(shared, whole).astype(U64) + (_bit(shared, whole) & _bit(many, whole)).astype(U64)
@@ -194,8 +195,8 @@ def _sets(batches: Iterator[pa.RecordBatch], join: Join, shared: np.ndarray, man
             tokens.append(head.view(np.int64) if len(head) else None)
             keys.append(own.tobytes() if len(head) else None)
         yield pa.RecordBatch.from_arrays(
-            [ids.cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(tokens, pa.list_(pa.int64())), pa.array(keys, pa.binary())],
-            names=["doc_id", "n_shingles", "node", "tokens", "keys"],
+            [ids.cast(pa.int64()), rows.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(tokens, pa.list_(pa.int64())), pa.array(keys, pa.binary())],
+            names=["doc_id", "key", "n_shingles", "node", "tokens", "keys"],
         )
 
 
@@ -367,7 +368,8 @@ def _large(members: DataFrame, join: Join) -> DataFrame:
         used = pivots if used is None else used.union(pivots)
         n_chunks = F.greatest(F.lit(1), F.ceil(F.col("n") / join.chunk)).cast("int")
         index = members.join(pivots, ["block", "node"]).join(sizes, "block").withColumn("chunk", F.explode(F.sequence(F.lit(0), n_chunks - 1))).withColumn("rest", F.lit(False))
-        others = members.join(pivots, ["block", "node"], "left_anti").join(sizes, "block").withColumn("chunk", F.pmod(F.xxhash64("node"), n_chunks).cast("int")).withColumn("rest", F.lit(True))
+        open_blocks = members.join(pivots.select("block").distinct(), "block", "left_semi")
+        others = open_blocks.join(pivots, ["block", "node"], "left_anti").join(sizes, "block").withColumn("chunk", F.pmod(F.xxhash64("node"), n_chunks).cast("int")).withColumn("rest", F.lit(True))
         columns = ["block", "chunk", "rest", "node", "keys"]
         found = materialise(_searched(index.select(columns).union(others.select(columns)), join).distinct())
         links = found if links is None else links.union(found)
@@ -379,14 +381,18 @@ def _large(members: DataFrame, join: Join) -> DataFrame:
     return links
 
 
-def near_duplicates(docs: DataFrame, join: Join | None = None) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id (the least doc_id that links reach)."""
+def classes(docs: DataFrame, join: Join | None = None) -> DataFrame:
+    """One row per input row: doc_id, key (of its text), n_shingles, component_id, stays.
+
+    ``stays`` marks the rows of a class that equal its first one, by doc_id (nulls last) and text.
+    """
     join = join or Join()
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    text = F.col("text").cast("string")
+    texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("key"), text.alias("text"))
     shared, many = _bit_fields(texts, join)
     fields = spark.sparkContext.broadcast((shared, many))
-    sets = materialise(texts.mapInArrow(lambda b: _sets(b, join, *fields.value), "doc_id long, n_shingles long, node long, tokens array<long>, keys binary"))
+    sets = materialise(texts.mapInArrow(lambda b: _sets(b, join, *fields.value), "doc_id long, key long, n_shingles long, node long, tokens array<long>, keys binary"))
 
     able = sets.where("tokens IS NOT NULL")
     lists = able.select("node", F.explode("tokens").alias("token"))
@@ -398,12 +404,25 @@ def near_duplicates(docs: DataFrame, join: Join | None = None) -> DataFrame:
 
     small = members.where(F.col("n") <= join.block).withColumn("chunk", F.lit(0)).withColumn("rest", F.lit(False))
     links = materialise(_searched(small, join))
-    large = members.where(F.col("n") > join.block).select("block", "node", "keys")
-    more = _large(large, join)
+    more = _large(members.where(F.col("n") > join.block).select("block", "node", "keys"), join)
     links = links if more is None else links.union(more)
 
-    least = sets.groupBy("node").agg(F.min("doc_id").alias("least"))
-    classes = components(links)
-    tops = least.join(classes, "node").groupBy("root").agg(F.min("least").alias("component_id"))
-    lookup = least.join(classes.join(tops, "root"), "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id"))
-    return sets.select("doc_id", "n_shingles", "node").join(lookup, "node").select("doc_id", "n_shingles", "component_id")
+    least = sets.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("least"))
+    linked = components(links)
+    tops = least.join(linked, "node").groupBy("root").agg(F.min("least").alias("top"))
+    lookup = least.join(linked.join(tops, "root"), "node", "left").select("node", F.coalesce("top", "least").alias("top"))
+    out = sets.select("doc_id", "key", "n_shingles", "node").join(lookup, "node")
+    return out.select("doc_id", "key", "n_shingles", F.col("top.doc_id").alias("component_id"), (F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (F.col("key") == F.col("top.key"))).alias("stays"))
+
+
+def near_duplicates(docs: DataFrame, join: Join | None = None) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id (the least doc_id that links reach)."""
+    return classes(docs, join).select("doc_id", "n_shingles", "component_id")
+
+
+def keep_one(docs: DataFrame, join: Join | None = None) -> DataFrame:
+    """One row of each class with the input's columns: the one with the least doc_id."""
+    first = classes(docs, join).where("stays").select(F.col("doc_id").alias("rowkin_id"), F.col("key").alias("rowkin_key")).distinct()
+    key = F.xxhash64(docs["text"].cast("string"))
+    joined = docs.withColumn("rowkin_key_", key).join(first, (F.col("rowkin_key_") == F.col("rowkin_key")) & docs["doc_id"].cast("long").eqNullSafe(F.col("rowkin_id")))
+    return joined.dropDuplicates(["rowkin_id", "rowkin_key"]).select(*[docs[c] for c in docs.columns])

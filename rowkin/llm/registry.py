@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rowkin.llm import oracles
 from rowkin.llm.common import table
+from rowkin.llm.decontaminate import decontaminate
 from rowkin.llm.licenses import scan_licenses
 from rowkin.llm.ngram_join import near_duplicates
 from rowkin.llm.packing import best_fit
@@ -21,6 +22,10 @@ def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_training_order(table(spark, sf_dir, "documents"))
 
 
+def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit(table(spark, sf_dir, "documents"))
 
@@ -43,6 +48,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_training_order": op1_training_order,
+    "op2_template_decontamination": op2_template_decontamination,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_url_filters": op6_url_filters,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
