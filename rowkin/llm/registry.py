@@ -13,6 +13,7 @@ from rowkin.llm.decontaminate import decontaminate
 from rowkin.llm.licenses import scan_licenses
 from rowkin.llm.ngram_join import near_duplicates
 from rowkin.llm.packing import best_fit
+from rowkin.llm.pii import find_personal
 from rowkin.llm.quality import quality_rules
 from rowkin.llm.training_order import write_training_order
 from rowkin.llm.url_filter import filter_urls
@@ -26,6 +27,10 @@ def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit(table(spark, sf_dir, "documents"))
 
@@ -49,6 +54,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_training_order": op1_training_order,
     "op2_template_decontamination": op2_template_decontamination,
+    "op3_personal_data": op3_personal_data,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_url_filters": op6_url_filters,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
