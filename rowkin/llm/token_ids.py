@@ -56,11 +56,16 @@ def _parts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class BlockEncoder:
+    """A hash has two slots; an entry takes the first that is free and stays until the table starts anew."""
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -77,6 +82,50 @@ class BlockEncoder:
         self.used += len(ids)
         return at
 
+    def _ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the parts in a row and each part's number of ids.
+
+        Letters-only parts are one piece each, whose last id ends a word: many are encoded as one text.
+        """
+        simple = np.fromiter((x.isalpha() and max(x) < "\u0100" for x in parts), bool, len(parts))
+        words = [x for x, s in zip(parts, simple, strict=True) if s]
+        texts = [" ".join(words[i : i + 64]) for i in range(0, len(words), 64)] + [x for x, s in zip(parts, simple, strict=True) if not s]
+        lists = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        n_texts = -(-len(words) // 64)
+        joined = np.fromiter(chain.from_iterable(lists[:n_texts]), "<u4")
+        others = lists[n_texts:]
+        stops = np.flatnonzero(self.ends[joined]) + 1
+        if len(stops) != len(words):
+            raise RuntimeError("a letters-only part was not one piece")
+        sizes = np.zeros(len(parts), np.int64)
+        sizes[simple] = np.diff(stops, prepend=0)
+        sizes[~simple] = np.fromiter(map(len, others), np.int64, len(others))
+        out = np.zeros(int(sizes.sum()), "<u4")
+        mask = np.repeat(simple, sizes)
+        out[mask] = joined
+        out[~mask] = np.fromiter(chain.from_iterable(others), "<u4")
+        return out, sizes
+
+    def _store(self, hashes: np.ndarray, place: np.ndarray) -> None:
+        for shift in (64 - SLOT_BITS, 0):
+            slot = ((hashes >> U64(shift)) & U64((1 << SLOT_BITS) - 1)).astype(np.int64)
+            free = np.flatnonzero(self.keys[slot] == 0)
+            free = free[np.unique(slot[free], return_index=True)[1]]
+            self.keys[slot[free]], self.place[slot[free]] = hashes[free], place[free]
+            left = self.keys[slot] != hashes
+            hashes, place = hashes[left], place[left]
+
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places, and which of the hashes have none."""
+        slot = (hashes >> U64(64 - SLOT_BITS)).astype(np.int64)
+        place = self.place[slot]
+        rest = np.flatnonzero(self.keys[slot] != hashes)
+        if len(rest):
+            slot = (hashes[rest] & U64((1 << SLOT_BITS) - 1)).astype(np.int64)
+            place[rest] = self.place[slot]
+            rest = rest[self.keys[slot] != hashes[rest]]
+        return place, rest
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a block and each text's first one (one entry more than texts)."""
         if not len(data):
@@ -90,26 +139,19 @@ class BlockEncoder:
         cased = cased[end] > cased[start]
         if cased.any():
             hashes[cased] = ~span_hash(prefix_sums(data, BYTE_VALUES), start[cased], end[cased])
-        known, where, back = np.unique(hashes, return_index=True, return_inverse=True)
-        slot = (known >> U64(64 - SLOT_BITS)).astype(np.int64)
-        place = self.place[slot]
-        new = np.flatnonzero((self.keys[slot] != known) | (place == 0))
-        if len(new):
-            raw = data.tobytes()
-            strings = [raw[a:b].decode() for a, b in zip(start[where[new]].tolist(), end[where[new]].tolist(), strict=True)]
-            lists = [x.ids for x in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-            begin = self._append(np.fromiter(chain.from_iterable(lists), "<u4", int(sizes.sum()))) + np.cumsum(sizes) - sizes
-            long = sizes >= 1 << 20
-            place[new] = (begin << 20) + np.minimum(sizes, (1 << 20) - 1)
-            kept = new[~long]
-            self.keys[slot[kept]] = known[kept]
-            self.place[slot[kept]] = place[kept]
+        place, new = self._find(hashes)
         size = place & ((1 << 20) - 1)
         if len(new):
-            size[new] = sizes
-        begin = (place >> 20)[back]
-        size = size[back]
+            known, where, back = np.unique(hashes[new], return_index=True, return_inverse=True)
+            where = new[where]
+            raw = data.tobytes()
+            parts = [raw[a:b].decode() for a, b in zip(start[where].tolist(), end[where].tolist(), strict=True)]
+            ids, sizes = self._ids(parts)
+            begin = (self._append(ids) + np.cumsum(sizes) - sizes) << 20
+            short = sizes < 1 << 20
+            self._store(known[short], (begin + sizes)[short])
+            place[new], size[new] = begin[back], sizes[back]
+        begin = place >> 20
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.pool[np.repeat(begin - ends + size, size) + np.arange(total)]
