@@ -101,6 +101,11 @@ LOWER_VALUES[65:91] = BYTE_VALUES[97:123]
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
+#: Bytes outside words of letters and digits; all of UTF-8's longer signs count as letters.
+NOT_ALNUM = np.ones(256, bool)
+NOT_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
+NOT_ALNUM[0x80:] = False
+
 
 def prefix_sums(data: np.ndarray, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
     """Sums of value * base**position: any span's hash follows from two of them."""
@@ -148,3 +153,32 @@ def gram_hash(words: np.ndarray, n: int) -> np.ndarray:
     for i in range(n):
         total = mix(total + words[i : i + size] * _STEP[i % 5])
     return total
+
+
+class SlotTable:
+    """A bounded table from hash to a number. A hash has two slots; an entry takes the first that is free and stays."""
+
+    def __init__(self, bits: int):
+        self.bits = bits
+        self.keys = np.zeros(1 << bits, U64)
+        self.values = np.zeros(1 << bits, np.int64)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers, and the places of the hashes that have none."""
+        slot = (hashes >> U64(64 - self.bits)).astype(np.int64)
+        out = self.values[slot]
+        rest = np.flatnonzero(self.keys[slot] != hashes)
+        if len(rest):
+            slot = (hashes[rest] & U64((1 << self.bits) - 1)).astype(np.int64)
+            out[rest] = self.values[slot]
+            rest = rest[self.keys[slot] != hashes[rest]]
+        return out, rest
+
+    def store(self, hashes: np.ndarray, values: np.ndarray) -> None:
+        for shift in (64 - self.bits, 0):
+            slot = ((hashes >> U64(shift)) & U64((1 << self.bits) - 1)).astype(np.int64)
+            free = np.flatnonzero(self.keys[slot] == 0)
+            free = free[np.unique(slot[free], return_index=True)[1]]
+            self.keys[slot[free]], self.values[slot[free]] = hashes[free], values[free]
+            left = self.keys[slot] != hashes
+            hashes, values = hashes[left], values[left]

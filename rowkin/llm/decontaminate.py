@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowkin.llm.common import LOWER_VALUES, U64, gram_hash, materialise, mix, owners, prefix_sums, span_hash, text_blocks, word_spans
+from rowkin.llm.common import LOWER_VALUES, NOT_ALNUM, U64, gram_hash, materialise, mix, owners, prefix_sums, span_hash, text_blocks, word_spans
 
 
 @dataclass(frozen=True)
@@ -46,9 +46,6 @@ class Rules:
 NUMBER_WORDS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
 UNITS = "mm cm m km in ft yd mi inch inches foot feet yard yards mile miles meter meters metre metres kilometer kilometers mg g kg lb lbs oz gram grams kilogram kilograms pound pounds ounce ounces ton tons ml l liter liters litre litres gallon gallons s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks month months year years percent dollar dollars euro euros cent cents usd eur mph kmh kph degree degrees watt watts volt volts joule joules newton newtons hz khz mhz ghz kb mb gb tb".split()
 
-SEPARATOR = np.ones(256, bool)
-SEPARATOR[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
-SEPARATOR[0x80:] = False
 DIGIT = np.zeros(256, bool)
 DIGIT[48:58] = True
 UPPER = np.zeros(256, bool)
@@ -61,7 +58,7 @@ KIND_HASH = mix(np.arange(101, 105, dtype=np.uint64))
 
 def _hash_words(words: list[str]) -> np.ndarray:
     data = np.frombuffer(" ".join(words).encode(), np.uint8)
-    start, end, _ = word_spans(data, np.array([0, len(data)]), SEPARATOR)
+    start, end, _ = word_spans(data, np.array([0, len(data)]), NOT_ALNUM)
     return np.unique(span_hash(prefix_sums(data, LOWER_VALUES), start, end))
 
 
@@ -70,7 +67,7 @@ _NUMBERS, _UNITS = _hash_words(NUMBER_WORDS), _hash_words(UNITS)
 
 def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a block: token hashes, token kinds, slot values (hash of what stands there), each text's first token."""
-    start, end, first = word_spans(data, offsets, SEPARATOR)
+    start, end, first = word_spans(data, offsets, NOT_ALNUM)
     n = len(start)
     if not n:
         none = np.zeros(0, U64)

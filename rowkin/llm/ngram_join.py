@@ -50,7 +50,7 @@ class Join:
     many_bits: int = 24  # 2 MB: hashes in more than ``many`` documents
     many: int = 64
     block: int = 256  # nodes of a block that is searched at once
-    chunk: int = 4096  # nodes searched by one task in a larger block
+    chunk: int = 512  # nodes of a larger block that are dealt together, or twice the pivots if more
     pivots: tuple[int, ...] = (64, 1024, 4096)
 
 
@@ -354,24 +354,21 @@ def _searched(rows: DataFrame, join: Join) -> DataFrame:
     return dealt.mapInArrow(lambda b: _search(b, percent), "a long, b long")
 
 
-def _large(members: DataFrame, join: Join) -> DataFrame:
+def _large(members: DataFrame, join: Join) -> DataFrame | None:
     """Links of blocks with more nodes than are searched at once."""
-    spare = members.select("block", "node").withColumn("hash", F.xxhash64("node"))
-    sizes = members.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
-    links, used, todo, turn = None, None, spare, 0
-    while not todo.isEmpty():
+    spare = members.select("block", "node", F.xxhash64("node").alias("hash"))
+    links, used, todo, turn = None, None, materialise(spare), 0
+    while todo.count():
         take = join.pivots[min(turn, len(join.pivots) - 1)]
         turn += 1
         order = Window.partitionBy("block").orderBy("hash", "node")
-        pivots = todo.withColumn("at", F.row_number().over(order)).where(F.col("at") <= take).select("block", "node")
-        pivots = materialise(pivots)
+        pivots = materialise(todo.withColumn("at", F.row_number().over(order)).where(F.col("at") <= take).select("block", "node"))
         used = pivots if used is None else used.union(pivots)
-        n_chunks = F.greatest(F.lit(1), F.ceil(F.col("n") / join.chunk)).cast("int")
-        index = members.join(pivots, ["block", "node"]).join(sizes, "block").withColumn("chunk", F.explode(F.sequence(F.lit(0), n_chunks - 1))).withColumn("rest", F.lit(False))
-        open_blocks = members.join(pivots.select("block").distinct(), "block", "left_semi")
-        others = open_blocks.join(pivots, ["block", "node"], "left_anti").join(sizes, "block").withColumn("chunk", F.pmod(F.xxhash64("node"), n_chunks).cast("int")).withColumn("rest", F.lit(True))
-        columns = ["block", "chunk", "rest", "node", "keys"]
-        found = materialise(_searched(index.select(columns).union(others.select(columns)), join).distinct())
+        sizes = members.groupBy("block").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / max(join.chunk, 2 * take))).cast("int").alias("chunks"))
+        turned = members.join(pivots.select("block").distinct().join(sizes, "block"), "block").join(pivots.withColumn("pivot", F.lit(True)), ["block", "node"], "left")
+        chunk = F.explode(F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), "chunks").cast("int"))))
+        rows = turned.select("block", chunk.alias("chunk"), F.col("pivot").isNull().alias("rest"), "node", "keys")
+        found = materialise(_searched(rows, join))
         links = found if links is None else links.union(found)
         # what lies outside its block's largest component, and was no pivot yet, may still link
         roots = materialise(spare.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node")))

@@ -15,7 +15,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-from rowkin.llm.common import BYTE_VALUES, LOWER_VALUES, U64, prefix_sums, span_hash, text_blocks
+from rowkin.llm.common import BYTE_VALUES, LOWER_VALUES, SlotTable, prefix_sums, span_hash, text_blocks
 
 #: Slots of a worker's table (16 bytes each) and ids that it holds at most (4 bytes each).
 SLOT_BITS, POOL_IDS = 22, 24_000_000
@@ -56,7 +56,7 @@ def _parts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class BlockEncoder:
-    """A hash has two slots; an entry takes the first that is free and stays until the table starts anew."""
+    """Encodes blocks of texts; its table starts anew when its ids fill the pool."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -69,8 +69,7 @@ class BlockEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.keys = np.zeros(1 << SLOT_BITS, U64)
-        self.place = np.zeros(1 << SLOT_BITS, np.int64)  # first id * 2**20 + number of ids
+        self.table = SlotTable(SLOT_BITS)  # first id * 2**20 + number of ids
         self.pool = np.zeros(1 << 20, "<u4")
         self.used = 0
 
@@ -106,26 +105,6 @@ class BlockEncoder:
         out[~mask] = np.fromiter(chain.from_iterable(others), "<u4")
         return out, sizes
 
-    def _store(self, hashes: np.ndarray, place: np.ndarray) -> None:
-        for shift in (64 - SLOT_BITS, 0):
-            slot = ((hashes >> U64(shift)) & U64((1 << SLOT_BITS) - 1)).astype(np.int64)
-            free = np.flatnonzero(self.keys[slot] == 0)
-            free = free[np.unique(slot[free], return_index=True)[1]]
-            self.keys[slot[free]], self.place[slot[free]] = hashes[free], place[free]
-            left = self.keys[slot] != hashes
-            hashes, place = hashes[left], place[left]
-
-    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places, and which of the hashes have none."""
-        slot = (hashes >> U64(64 - SLOT_BITS)).astype(np.int64)
-        place = self.place[slot]
-        rest = np.flatnonzero(self.keys[slot] != hashes)
-        if len(rest):
-            slot = (hashes[rest] & U64((1 << SLOT_BITS) - 1)).astype(np.int64)
-            place[rest] = self.place[slot]
-            rest = rest[self.keys[slot] != hashes[rest]]
-        return place, rest
-
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a block and each text's first one (one entry more than texts)."""
         if not len(data):
@@ -139,7 +118,7 @@ class BlockEncoder:
         cased = cased[end] > cased[start]
         if cased.any():
             hashes[cased] = ~span_hash(prefix_sums(data, BYTE_VALUES), start[cased], end[cased])
-        place, new = self._find(hashes)
+        place, new = self.table.find(hashes)
         size = place & ((1 << 20) - 1)
         if len(new):
             known, where, back = np.unique(hashes[new], return_index=True, return_inverse=True)
@@ -149,7 +128,7 @@ class BlockEncoder:
             ids, sizes = self._ids(parts)
             begin = (self._append(ids) + np.cumsum(sizes) - sizes) << 20
             short = sizes < 1 << 20
-            self._store(known[short], (begin + sizes)[short])
+            self.table.store(known[short], (begin + sizes)[short])
             place[new], size[new] = begin[back], sizes[back]
         begin = place >> 20
         ends = np.cumsum(size)
