@@ -15,6 +15,7 @@ from rowkin.llm.ngram_join import near_duplicates
 from rowkin.llm.packing import best_fit
 from rowkin.llm.pii import find_personal
 from rowkin.llm.quality import quality_rules
+from rowkin.llm.toxicity import score_toxicity
 from rowkin.llm.training_order import write_training_order
 from rowkin.llm.url_filter import filter_urls
 
@@ -35,6 +36,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_template_decontamination": op2_template_decontamination,
     "op3_personal_data": op3_personal_data,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_toxicity": op5_toxicity,
     "op6_url_filters": op6_url_filters,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
