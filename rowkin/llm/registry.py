@@ -14,6 +14,7 @@ from rowkin.llm.licenses import scan_licenses
 from rowkin.llm.ngram_join import near_duplicates
 from rowkin.llm.packing import best_fit
 from rowkin.llm.pii import find_personal
+from rowkin.llm.pseudo_likelihood import score_documents
 from rowkin.llm.quality import quality_rules
 from rowkin.llm.toxicity import score_toxicity
 from rowkin.llm.training_order import write_training_order
@@ -44,6 +45,10 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op7_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_toxicity": op5_toxicity,
     "op6_url_filters": op6_url_filters,
+    "op7_pseudo_likelihood": op7_pseudo_likelihood,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_license_scan": op10_license_scan,
