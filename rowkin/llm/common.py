@@ -25,6 +25,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows and bytes that go to a Python worker at once, so that its memory doesn't follow the length of texts.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def steady(df: DataFrame) -> DataFrame:
+    """The same rows; the session then hands Python workers small batches, unless it is set to smaller ones."""
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = conf.get(key, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= most:
+            conf.set(key, str(most))
+    return df
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in spark.checkpoint.dir; a local one only if unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowkin.llm.common import LOWER_VALUES, U64, gram_hash, materialise, mix, prefix_sums, span_hash, text_blocks, word_spans
+from rowkin.llm.common import LOWER_VALUES, U64, gram_hash, materialise, mix, prefix_sums, span_hash, steady, text_blocks, word_spans
 from rowkin.llm.graph import components
 
 
@@ -386,7 +386,7 @@ def classes(docs: DataFrame, join: Join | None = None) -> DataFrame:
     join = join or Join()
     spark = docs.sparkSession
     text = F.col("text").cast("string")
-    texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("key"), text.alias("text"))
+    texts = steady(docs).select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("key"), text.alias("text"))
     shared, many = _bit_fields(texts, join)
     fields = spark.sparkContext.broadcast((shared, many))
     sets = materialise(texts.mapInArrow(lambda b: _sets(b, join, *fields.value), "doc_id long, key long, n_shingles long, node long, tokens array<long>, keys binary"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowkin.llm.common import materialise
+from rowkin.llm.common import materialise, steady
 from rowkin.llm.token_ids import encoded, tokenizer_path
 
 CAPACITY, END_ID = 2048, 0
@@ -53,7 +53,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterato
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lambda batches: _cut(batches, path, capacity), PIECES)
+    return steady(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lambda batches: _cut(batches, path, capacity), PIECES)
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[int, int, int, int, int]], int]:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowkin.llm.common import LOWER_VALUES, NOT_ALNUM, U64, SlotTable, materialise, mix, prefix_sums, span_hash, text_blocks, word_spans
+from rowkin.llm.common import LOWER_VALUES, NOT_ALNUM, SlotTable, U64, materialise, mix, prefix_sums, span_hash, steady, text_blocks, word_spans
 
 
 @dataclass(frozen=True)
@@ -264,7 +264,7 @@ def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, shape: Shape | None = None) -> tuple[dict, Vocabulary]:
     shape = shape or Shape()
-    texts = docs.select(F.col("text").cast("string"))
+    texts = steady(docs).select(F.col("text").cast("string"))
     vocabulary = gather(texts, shape)
     model = start_model(vocabulary, shape)
     for turn in range(shape.rounds):
@@ -300,4 +300,4 @@ def score_documents(docs: DataFrame, shape: Shape | None = None) -> DataFrame:
                     names=["doc_id", "n_words", "log_likelihood", "mean_log_prob"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(score, SCHEMA)
+    return steady(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(score, SCHEMA)

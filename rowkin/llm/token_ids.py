@@ -18,7 +18,7 @@ import pyarrow as pa
 from rowkin.llm.common import BYTE_VALUES, LOWER_VALUES, SlotTable, prefix_sums, span_hash, text_blocks
 
 #: Slots of a worker's table (16 bytes each) and ids that it holds at most (4 bytes each).
-SLOT_BITS, POOL_IDS = 22, 24_000_000
+SLOT_BITS, POOL_IDS = 21, 10_000_000
 
 BREAK = np.zeros(256, bool)
 BREAK[[0x20, 0x0A]] = True

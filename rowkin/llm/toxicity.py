@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowkin.llm.common import LOWER_VALUES, NOT_ALNUM, U64, SlotTable, prefix_sums, span_hash, text_blocks, word_spans
+from rowkin.llm.common import LOWER_VALUES, NOT_ALNUM, SlotTable, U64, prefix_sums, span_hash, steady, text_blocks, word_spans
 
 THRESHOLD = 0.3
 HELD_OUT = 2
@@ -435,4 +435,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, training: Training | None
             scores = np.concatenate([np.zeros(0), *score_texts(net.value, batch.column(2))])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
-    return docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string")).mapInArrow(judge, SCHEMA)
+    return steady(docs).select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string")).mapInArrow(judge, SCHEMA)

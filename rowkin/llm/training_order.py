@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowkin.llm.common import U64, mix, scratch_root
+from rowkin.llm.common import U64, mix, scratch_root, steady
 from rowkin.llm.token_ids import encoded, tokenizer_path
 
 
@@ -169,7 +169,7 @@ def write_training_order(docs: DataFrame, folder: str | None = None, layout: Lay
     layout, path = layout or Layout(), path or tokenizer_path()
     spark = docs.sparkSession
     folder = folder or f"{scratch_root(spark)}/rowkin-shards-{uuid.uuid4().hex}"
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    texts = steady(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     counts = texts.mapInArrow(lambda b: _count(b, path, layout.stride), "part long, n long, check long").collect()  # a row per partition
     begins, n = {}, 0
     for row in sorted(counts):

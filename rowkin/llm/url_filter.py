@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowkin.llm.common import steady
+
 PLACES = 1 << 14
 GRAMS = (3, 4, 5)
 THRESHOLD = 0.5
@@ -170,4 +172,4 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
             columns = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(columns, [pa.string()] * 4 + [pa.float64()], strict=True))], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
-    return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string")).mapInArrow(judge, SCHEMA)
+    return steady(pages).select(F.col("page_id").cast("long"), F.col("url").cast("string")).mapInArrow(judge, SCHEMA)
