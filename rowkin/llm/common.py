@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BLOCK_BYTES = 1 << 20
 U64 = np.uint64
@@ -66,6 +67,15 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a thin table that may be broadcast; beyond that Spark joins it by shuffling both sides.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """df (a materialised thin table) with a broadcast hint if its counted size allows."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, offsets) of consecutive whole texts; null counts as empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

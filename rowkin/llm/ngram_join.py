@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowkin.llm.common import LOWER_VALUES, U64, gram_hash, materialise, mix, prefix_sums, span_hash, steady, text_blocks, word_spans
+from rowkin.llm.common import LOWER_VALUES, U64, broadcast_if_small, gram_hash, materialise, mix, prefix_sums, span_hash, steady, text_blocks, word_spans
 from rowkin.llm.graph import components
 
 
@@ -81,6 +81,15 @@ def _unplanes(raw: bytes, dtype: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(dtype).ravel()
 
 
+def pack(keys: np.ndarray, packer: zstandard.ZstdCompressor) -> bytes:
+    """Sorted 48-bit keys as gaps, byte plane by byte plane."""
+    return packer.compress(_planes(np.diff(keys, prepend=U64(0))))
+
+
+def unpack(raw: bytes, opener: zstandard.ZstdDecompressor) -> np.ndarray:
+    return np.cumsum(_unplanes(opener.decompress(raw), "<u8"), dtype=U64)
+
+
 def _count(batches: Iterator[pa.RecordBatch], words: int, slice_bits: int) -> Iterator[pa.RecordBatch]:
     """Sorted 40-bit hashes with their counts, packed by slices of the hash range."""
     packer = zstandard.ZstdCompressor(level=1)
@@ -166,10 +175,11 @@ def _bit(field: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 def _sets(batches: Iterator[pa.RecordBatch], join: Join, shared: np.ndarray, many: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Per text: set size, node, and if it may link at all its tokens (signature) and ordered set.
 
-    Keys hold the class of a shingle in the two highest bits, so they sort by class.
-    A node's later copies within the task carry nothing.
+    Keys hold the class of a shingle in the two highest bits, so they sort by class; of
+    the hash 46 bits are kept. A node's later copies within the task carry nothing.
     """
     seen: set[int] = set()
+    packer = zstandard.ZstdCompressor(level=1)
     for rows, texts in _grams(batches, join.words):
         ids = rows.column(0)
         sizes, nodes, tokens, keys = [], [], [], []
@@ -192,8 +202,8 @@ def _sets(batches: Iterator[pa.RecordBatch], join: Join, shared: np.ndarray, man
                 seen.add(node)
             sizes.append(n)
             nodes.append(node)
-            tokens.append(head.view(np.int64) if len(head) else None)
-            keys.append(own.tobytes() if len(head) else None)
+            tokens.append(np.unique(head >> U64(16)).view(np.int64) if len(head) else None)
+            keys.append(pack(np.unique(own >> U64(16)), packer) if len(head) else None)
         yield pa.RecordBatch.from_arrays(
             [ids.cast(pa.int64()), rows.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(tokens, pa.list_(pa.int64())), pa.array(keys, pa.binary())],
             names=["doc_id", "key", "n_shingles", "node", "tokens", "keys"],
@@ -303,6 +313,8 @@ def _search(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
     Rows come sorted by block, chunk, pivots first. Enough links to join whatever belongs together.
     """
     state: dict = {"at": None}
+    opener = zstandard.ZstdDecompressor()
+    last: tuple | None = None
     out: list[tuple[int, int]] = []
 
     def build() -> None:
@@ -333,12 +345,15 @@ def _search(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
             if (block, chunk) != state["at"]:
                 close()
                 state = {"at": (block, chunk), "nodes": [], "sets": [], "index": None}
-            keys = np.frombuffer(keys, "<u8")
+                last = None
+            if (rest, node) == last:  # a copy from another task
+                continue
+            last = (rest, node)
             if rest:
-                look(node, keys)
+                look(node, unpack(keys, opener))
             else:
                 state["nodes"].append(node)
-                state["sets"].append(keys)
+                state["sets"].append(unpack(keys, opener))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["a", "b"])
             out.clear()
@@ -364,8 +379,9 @@ def _large(members: DataFrame, join: Join) -> DataFrame | None:
         order = Window.partitionBy("block").orderBy("hash", "node")
         pivots = materialise(todo.withColumn("at", F.row_number().over(order)).where(F.col("at") <= take).select("block", "node"))
         used = pivots if used is None else used.union(pivots)
-        sizes = members.groupBy("block").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / max(join.chunk, 2 * take))).cast("int").alias("chunks"))
-        turned = members.join(pivots.select("block").distinct().join(sizes, "block"), "block").join(pivots.withColumn("pivot", F.lit(True)), ["block", "node"], "left")
+        chunks = F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / max(join.chunk, 2 * take))).cast("int").alias("chunks")
+        sizes = materialise(members.groupBy("block").agg(chunks).join(pivots.select("block").distinct(), "block"))
+        turned = members.join(broadcast_if_small(sizes), "block").join(broadcast_if_small(pivots.withColumn("pivot", F.lit(True))), ["block", "node"], "left")
         chunk = F.explode(F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), "chunks").cast("int"))))
         rows = turned.select("block", chunk.alias("chunk"), F.col("pivot").isNull().alias("rest"), "node", "keys")
         found = materialise(_searched(rows, join))
@@ -396,12 +412,13 @@ def classes(docs: DataFrame, join: Join | None = None) -> DataFrame:
     heads = lists.groupBy("token").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head != last").select("token", "head")
     ties = lists.join(heads, "token").where("node != head").select("node", F.col("head").alias("other")).distinct()
     blocks = components(ties, "node", "other").withColumnRenamed("root", "block")
-    sized = blocks.join(blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n")), "block")
-    members = materialise(able.select("node", "keys").join(sized, "node").dropDuplicates(["node"]))
+    sized = materialise(blocks.join(blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n")), "block"))
+    members = able.select("node", "keys").join(broadcast_if_small(sized), "node")
 
     small = members.where(F.col("n") <= join.block).withColumn("chunk", F.lit(0)).withColumn("rest", F.lit(False))
     links = materialise(_searched(small, join))
-    more = _large(members.where(F.col("n") > join.block).select("block", "node", "keys"), join)
+    large = members.where(F.col("n") > join.block).dropDuplicates(["node"]).select("block", "node", "keys")
+    more = _large(materialise(large), join)
     links = links if more is None else links.union(more)
 
     least = sets.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("least"))
