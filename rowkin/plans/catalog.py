@@ -1,4 +1,4 @@
-"""Registered queries and their SQL."""
+"""All registered queries and their SQL."""
 
 from __future__ import annotations
 
@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from rowkin.plans import blocking_queries, pair_queries
+
+PARTS = (blocking_queries, pair_queries)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: f for part in PARTS for k, f in part.QUERIES.items()}
+ORACLE_SQL: dict[str, str] = {k: q for part in PARTS for k, q in part.ORACLE_SQL.items()}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id")
+    return blocking_queries.owned_candidates(spark, sf_dir)
