@@ -158,41 +158,52 @@ def start_model(vocabulary: Vocabulary, shape: Shape, seed: int = 3) -> dict[str
     }
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def _pick(x: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(log-probability of each row's place, exponentials, their sums). One shift for all rows: scores lie close together."""
+    x -= x.max()
+    at = x[np.arange(len(x)), place]
+    np.exp(x, out=x)
+    total = x @ np.ones(x.shape[1], x.dtype)
+    return at - np.log(total), x, total
 
 
 def log_probs(model: dict, context: np.ndarray, ids: np.ndarray, shape: Shape, grads: dict | None = None) -> np.ndarray:
     """log p(word | both sides) of each word; with ``grads``, also the summed gradients of minus that."""
-    h = np.tanh(sum((model["vectors"][context[:, k]] for k in range(context.shape[1])), model["bias"]))
-    kind = ids // shape.per_class
-    scores = _log_softmax(h @ model["classes"] + model["class_bias"])
-    out = scores[np.arange(len(ids)), kind].astype(np.float64)
+    h = model["vectors"][context[:, 0]]
+    for k in range(1, context.shape[1]):
+        h += model["vectors"][context[:, k]]
+    h += model["bias"]
+    np.tanh(h, out=h)
+    kind = (ids // shape.per_class).astype(np.uint16)
+    out, e, total = _pick(h @ model["classes"] + model["class_bias"], kind)
+    out = out.astype(np.float64)
     order = np.argsort(kind, kind="stable")
     cuts = np.searchsorted(kind[order], np.arange(shape.classes + 1))
-    d_h = None
+    h_sorted, place_sorted = h[order], (ids[order] % shape.per_class)
+    inner = np.zeros(len(ids))
+    d_h = d_inner = None
     if grads is not None:
-        d = np.exp(scores)
-        d[np.arange(len(ids)), kind] -= 1
-        grads["classes"], grads["class_bias"] = h.T @ d, d.sum(0)
-        d_h = d @ model["classes"].T
+        e /= total[:, None]
+        e[np.arange(len(ids)), kind] -= 1
+        grads["classes"], grads["class_bias"] = h.T @ e, e.sum(0)
+        d_h = e @ model["classes"].T
+        d_inner = np.zeros_like(d_h)
         grads["words"], grads["word_bias"] = np.zeros_like(model["words"]), np.zeros_like(model["word_bias"])
     for c in range(shape.classes):
-        some = order[cuts[c] : cuts[c + 1]]
-        if not len(some):
+        some = slice(cuts[c], cuts[c + 1])
+        if cuts[c] == cuts[c + 1]:
             continue
         own = slice(c * shape.per_class, (c + 1) * shape.per_class)
-        hs = h[some]
-        scores = _log_softmax(hs @ model["words"][own].T + model["word_bias"][own])
-        place = ids[some] - own.start
-        out[some] += scores[np.arange(len(some)), place]
+        place = place_sorted[some]
+        inner[some], e, total = _pick(h_sorted[some] @ model["words"][own].T + model["word_bias"][own], place)
         if grads is not None:
-            d = np.exp(scores)
-            d[np.arange(len(some)), place] -= 1
-            grads["words"][own], grads["word_bias"][own] = d.T @ hs, d.sum(0)
-            d_h[some] += d @ model["words"][own]
+            e /= total[:, None]
+            e[np.arange(len(place)), place] -= 1
+            grads["words"][own], grads["word_bias"][own] = e.T @ h_sorted[some], e.sum(0)
+            d_inner[some] = e @ model["words"][own]
+    out[order] += inner
     if grads is not None:
+        d_h[order] += d_inner
         d_in = (d_h * (1 - h * h)).astype(np.float32)
         grads["bias"] = d_in.sum(0)
         grads["vectors"] = np.zeros_like(model["vectors"])
