@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A word, before A-Z are lower-cased.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]++"
 
 #: Fixed values: (label, name as words, versions, other names). Rules are built from these.
 FAMILIES = (
@@ -110,29 +110,24 @@ def _gates(signatures: list[Rule]) -> list[str]:
     return sorted({r.gate for r in signatures} | {"license"})
 
 
-def _either_case(word: str) -> str:
-    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
-
-
 def _prefilter(gates: list[str]) -> str:
-    """A pattern that any text with a gate word matches; words sharing a start share a branch."""
+    """A pattern that any lower-cased text with a gate word matches; words that start alike share a branch."""
     tree: dict = {}
-
-    def branch(at: dict) -> str:
-        if "" in at:
-            return ""
-        parts = [_either_case(c) + branch(x) for c, x in sorted(at.items())]
-        return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
-
-    sides = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
-    full = "|".join(_either_case(w) for w in gates if len(w) <= 3)
-    rest = [w for w in gates if len(w) > 3]
-    for word in rest:
+    for word in gates:
         at = tree
         for c in word:
             at = at.setdefault(c, {})
         at[""] = {}
-    return f"{branch(tree)}|(?<![^{sides}])(?:{full})(?![^{sides}])"
+
+    def branch(at: dict) -> str:
+        parts = [c + branch(x) for c, x in sorted(at.items()) if c]
+        if not parts:
+            return ""
+        body = parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+        return f"(?:{body})?" if "" in at else body
+
+    starts = "".join(sorted({w[0] for w in gates}))
+    return f"(?<![0-9a-z])(?=[{starts}])(?:{branch(tree)})(?![0-9a-z])"
 
 
 def _spaces(text: Column) -> Column:
@@ -175,7 +170,7 @@ def scan_licenses(docs: DataFrame, signatures: list[Rule] | None = None) -> Data
     lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     out = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"))
     no_words = F.array().cast("array<string>")
-    out = out.withColumn("words", F.when(F.col("text").rlike(_prefilter(gates)), F.regexp_extract_all(lower, F.lit(WORD), F.lit(0))).otherwise(no_words)).drop("text")
+    out = out.withColumn("words", F.when(F.lower("text").rlike(_prefilter(gates)), F.regexp_extract_all(lower, F.lit(WORD), F.lit(0))).otherwise(no_words)).drop("text")
     words = F.col("words")
     at = lambda i: F.get(words, i)
 
