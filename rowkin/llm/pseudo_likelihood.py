@@ -111,8 +111,8 @@ class Reader:
         self.order = np.argsort(known)
         self.sorted = known[self.order]
 
-    def read(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """ids, spelling cost (log) of each word, and each text's first word."""
+    def read(self, data: np.ndarray, offsets: np.ndarray, spell: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """ids, spelling cost (log) of each word if asked for, and each text's first word."""
         start, end, first = word_spans(data, offsets, NOT_ALNUM)
         hashes = span_hash(prefix_sums(data, LOWER_VALUES), start, end)
         ids, missing = self.table.find(hashes)
@@ -123,6 +123,8 @@ class Reader:
             missing = missing[~hit]
         length = end[missing] - start[missing]
         ids[missing] = self.shape.size - self.shape.lengths + np.minimum(length, self.shape.lengths) - 1
+        if not spell:
+            return ids, np.zeros(0), first
         spelling = np.zeros(len(data) + 1)
         np.cumsum(self.vocabulary.spelling[data], out=spelling[1:])
         cost = np.zeros(len(ids))
@@ -130,13 +132,16 @@ class Reader:
         return ids, cost, first
 
 
-def contexts(ids: np.ndarray, first: np.ndarray, shape: Shape) -> np.ndarray:
-    """(word, place) rows into the table of vectors: a row block per place, whose last row stands for no word."""
+def contexts(ids: np.ndarray, first: np.ndarray, shape: Shape, at: np.ndarray | None = None) -> np.ndarray:
+    """(word, place) rows into the table of vectors, for all words or those ``at``: a row block per place, whose last row stands for no word."""
     n, rows = len(ids), shape.size + 1
     begin = np.repeat(first[:-1], np.diff(first))
     end = np.repeat(first[1:], np.diff(first))
-    at = np.arange(n)
-    out = np.empty((n, 2 * shape.side), np.int64)
+    if at is None:
+        at = np.arange(n)
+    else:
+        begin, end = begin[at], end[at]
+    out = np.empty((len(at), 2 * shape.side), np.int64)
     for k, step in enumerate([*range(-shape.side, 0), *range(1, shape.side + 1)]):
         there = at + step
         inside = (there >= begin) & (there < end)
@@ -249,15 +254,13 @@ def _train(batches: Iterator[pa.RecordBatch], model: dict, vocabulary: Vocabular
     reader, trainer = Reader(vocabulary, shape), Trainer(model, shape)
     for batch in batches:
         for _, _, data, offsets in text_blocks(batch.column(0)):
-            ids, _, first = reader.read(data, offsets)
+            ids, _, first = reader.read(data, offsets, spell=False)
             at = np.arange(len(ids)) - np.repeat(first[:-1], np.diff(first))
             chosen = np.flatnonzero((at + turn * shape.stride // shape.rounds) % shape.stride == 0)
             chosen = chosen[np.argsort(mix(chosen.astype(U64)))]
-            context = contexts(ids, first, shape)
+            context = contexts(ids, first, shape, chosen)
             for i in range(0, len(chosen), shape.batch):
-                some = chosen[i : i + shape.batch]
-                if len(some):
-                    trainer.step(context[some], ids[some])
+                trainer.step(context[i : i + shape.batch], ids[chosen[i : i + shape.batch]])
     if trainer.places:
         parts = np.array_split(flat(trainer.model), CHUNKS)
         yield pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), pa.array([trainer.places] * CHUNKS, pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["chunk", "places", "values"])

@@ -16,7 +16,7 @@ Defined results: null and empty texts, and texts without a word, score 0.
 Repeated rows are scored one by one; a text labelled twice counts as toxic if any
 label says so. Ties on the threshold are predicted toxic. Rows without a doc_id
 are not held out. Extra columns are ignored. Empty tables: no rows; without
-labels of both classes every text scores the labels' mean, or 0.
+labels of both classes every text with a word scores the labels' mean, or 0.
 """
 
 from __future__ import annotations
@@ -384,12 +384,12 @@ def score_texts(net: Network, column: pa.Array) -> Iterator[np.ndarray]:
     """Scores of whole texts, block by block. Inputs of words seen before come from a bounded table."""
     table, rows, used = SlotTable(CACHE_BITS), np.zeros((1 << 16, 2 * net.shape.wide + 2), np.float32), 0
     for lo, hi, data, offsets in text_blocks(column):
-        if net.constant is not None:
-            yield np.full(hi - lo, net.constant)
-            continue
         if used > CACHE_WORDS:
             table, used = SlotTable(CACHE_BITS), 0
         start, end, first = word_spans(data, offsets, NOT_ALNUM)
+        if net.constant is not None:
+            yield np.where(np.diff(first) > 0, net.constant, 0.0)
+            continue
         sums = prefix_sums(data, LOWER_VALUES)
         hashes = span_hash(sums, start, end)
         place, new = table.find(hashes)
