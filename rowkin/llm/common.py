@@ -8,6 +8,8 @@ one longer document forms a block of its own and is never cut.
 from __future__ import annotations
 
 import atexit
+import ctypes
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -40,6 +42,18 @@ def steady(df: DataFrame) -> DataFrame:
     return df
 
 
+def give_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; at the end freed memory goes back to the system, as idle workers stay for a while."""
+    try:
+        yield from batches
+    finally:
+        pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in spark.checkpoint.dir; a local one only if unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)

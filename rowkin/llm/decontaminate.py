@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowkin.llm.common import LOWER_VALUES, NOT_ALNUM, U64, gram_hash, materialise, mix, owners, prefix_sums, span_hash, steady, text_blocks, word_spans
+from rowkin.llm.common import LOWER_VALUES, NOT_ALNUM, U64, give_back, gram_hash, materialise, mix, owners, prefix_sums, span_hash, steady, text_blocks, word_spans
 
 
 @dataclass(frozen=True)
@@ -180,7 +180,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules | None = None
     items = materialise(items)
     field = spark.sparkContext.broadcast(_field(items, rules.bits))
     keyed = steady(docs).select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("key"), F.col("text").cast("string"))
-    seen = materialise(keyed.mapInArrow(lambda b: _hits(b, rules, field.value), "doc_id long, key long, hits array<struct<place:int,window:long,slots:array<long>>>"))
+    seen = materialise(keyed.mapInArrow(lambda b: give_back(_hits(b, rules, field.value)), "doc_id long, key long, hits array<struct<place:int,window:long,slots:array<long>>>"))
     hits = seen.where("hits IS NOT NULL").select("key", F.explode("hits").alias("hit")).select("key", "hit.place", "hit.window", F.col("hit.slots").alias("own")).distinct()
     met = hits.join(items.withColumnRenamed("place", "item_place"), "window")
     pairs = F.zip_with("slots", "own", lambda a, b: F.struct(a.alias("a"), b.alias("b")))

@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowkin.llm.common import LOWER_VALUES, U64, broadcast_if_small, gram_hash, materialise, mix, prefix_sums, span_hash, steady, text_blocks, word_spans
+from rowkin.llm.common import LOWER_VALUES, U64, broadcast_if_small, give_back, gram_hash, materialise, mix, prefix_sums, span_hash, steady, text_blocks, word_spans
 from rowkin.llm.graph import components
 
 
@@ -154,8 +154,8 @@ def _bit_fields(texts: DataFrame, join: Join) -> tuple[np.ndarray, np.ndarray]:
     """Two bit fields of fixed size, whatever the corpus: all that reaches the driver."""
     slices = min(max(6, (2 * texts.rdd.getNumPartitions() - 1).bit_length()), 16)
     words = join.words
-    counted = texts.mapInArrow(lambda b: _count(b, words, slices), "slice long, keys binary, counts binary, n long")
-    merged = counted.repartition("slice").sortWithinPartitions("slice").mapInArrow(lambda b: _merge(b, slices, join), "slice long, shared binary, many binary")
+    counted = texts.mapInArrow(lambda b: give_back(_count(b, words, slices)), "slice long, keys binary, counts binary, n long")
+    merged = counted.repartition("slice").sortWithinPartitions("slice").mapInArrow(lambda b: give_back(_merge(b, slices, join)), "slice long, shared binary, many binary")
     opener = zstandard.ZstdDecompressor()
     fields = []
     for bits in (join.shared_bits, join.many_bits):
@@ -366,7 +366,7 @@ def _searched(rows: DataFrame, join: Join) -> DataFrame:
     """rows: block, chunk, rest (false for pivots), node, keys."""
     percent = join.percent
     dealt = rows.select("block", "chunk", "rest", "node", "keys").repartition("block", "chunk").sortWithinPartitions("block", "chunk", "rest", "node")
-    return dealt.mapInArrow(lambda b: _search(b, percent), "a long, b long")
+    return dealt.mapInArrow(lambda b: give_back(_search(b, percent)), "a long, b long")
 
 
 def _large(members: DataFrame, join: Join) -> DataFrame | None:
@@ -405,7 +405,7 @@ def classes(docs: DataFrame, join: Join | None = None) -> DataFrame:
     texts = steady(docs).select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("key"), text.alias("text"))
     shared, many = _bit_fields(texts, join)
     fields = spark.sparkContext.broadcast((shared, many))
-    sets = materialise(texts.mapInArrow(lambda b: _sets(b, join, *fields.value), "doc_id long, key long, n_shingles long, node long, tokens array<long>, keys binary"))
+    sets = materialise(texts.mapInArrow(lambda b: give_back(_sets(b, join, *fields.value)), "doc_id long, key long, n_shingles long, node long, tokens array<long>, keys binary"))
 
     able = sets.where("tokens IS NOT NULL")
     lists = able.select("node", F.explode("tokens").alias("token"))

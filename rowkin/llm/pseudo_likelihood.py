@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowkin.llm.common import LOWER_VALUES, NOT_ALNUM, SlotTable, U64, materialise, mix, prefix_sums, span_hash, steady, text_blocks, word_spans
+from rowkin.llm.common import LOWER_VALUES, NOT_ALNUM, SlotTable, U64, give_back, materialise, mix, prefix_sums, span_hash, steady, text_blocks, word_spans
 
 
 @dataclass(frozen=True)
@@ -88,7 +88,7 @@ class Vocabulary:
 
 
 def gather(texts: DataFrame, shape: Shape) -> Vocabulary:
-    counted = materialise(texts.mapInArrow(_count, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")))
+    counted = materialise(texts.mapInArrow(lambda b: give_back(_count(b)), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")))
     top = counted.where("kind = 0").orderBy(F.desc("n"), "key").limit(shape.size - shape.lengths).collect()
     letters = np.ones(256)
     for row in counted.where("kind = 1").collect():
@@ -283,7 +283,7 @@ def fit(docs: DataFrame, shape: Shape | None = None) -> tuple[dict, Vocabulary]:
     model = start_model(vocabulary, shape)
     for turn in range(shape.rounds):
         known = docs.sparkSession.sparkContext.broadcast((model, vocabulary))
-        copies = texts.mapInArrow(lambda b, known=known, turn=turn: _train(b, *known.value, shape, turn), "chunk int, places long, values binary")
+        copies = texts.mapInArrow(lambda b, known=known, turn=turn: give_back(_train(b, *known.value, shape, turn)), "chunk int, places long, values binary")
         rows = copies.repartition("chunk").mapInArrow(_average, "chunk int, values binary").collect()  # one model
         if rows:
             model = unflat(np.concatenate([np.frombuffer(r["values"], "<f4") for r in sorted(rows)]), model)
