@@ -186,15 +186,15 @@ def md5_folds(spark: SparkSession, d: str) -> DataFrame:
     return V.read(spark, d, "customer").select("c_custkey", md5_mod(c, 100).alias("bucket"), fold_of(c).alias("fold"), group_of(c).cast("long").alias("grp"))
 
 
-def _md5_sql(value: str, m: int) -> str:
+def md5_sql(value: str, m: int) -> str:
     out = "0::BIGINT"
     for i in range(4):
         out = f"(({out}) * {(1 << 32) % m} + ('0x' || substr(md5({value}), {1 + 8 * i}, 8))::BIGINT) % {m}"
     return out
 
 
-_MD5_SQL = f"""SELECT c_custkey, {_md5_sql("c_name", 100)} AS bucket, CASE WHEN {_md5_sql("c_name", 100)} < 10 THEN 'holdout' WHEN {_md5_sql("c_name", 100)} < 15 THEN 'tune' ELSE 'train' END AS fold,
-{_md5_sql("'xfit|' || c_name", 3)} AS grp FROM customer"""
+_MD5_SQL = f"""SELECT c_custkey, {md5_sql("c_name", 100)} AS bucket, CASE WHEN {md5_sql("c_name", 100)} < 10 THEN 'holdout' WHEN {md5_sql("c_name", 100)} < 15 THEN 'tune' ELSE 'train' END AS fold,
+{md5_sql("'xfit|' || c_name", 3)} AS grp FROM customer"""
 
 
 def text_stats(spark: SparkSession, d: str) -> DataFrame:

@@ -9,11 +9,14 @@ from rowkin.functions import house as H
 from rowkin.functions import similarity as sim
 from rowkin.operators import context as C
 from rowkin.operators import decode as D
+from rowkin.operators import diagnostics as G
 from rowkin.operators import features as X
 from rowkin.operators import learn, learner
 from rowkin.operators import metrics as M
 from rowkin.operators import resample as R
 from rowkin.operators import submissions as S
+from rowkin.plans import matching
+from rowkin.plans.blocking_queries import md5_sql
 from rowkin.plans import views as V
 from rowkin.sources.tables import append_ledger, null_profile
 
@@ -121,7 +124,7 @@ def house_gap(spark: SparkSession, d: str) -> DataFrame:
 
 
 _GAP_SQL = f"""WITH {V.HOUSES} SELECT line, a, b, CASE WHEN x <> '' AND y <> '' THEN levenshtein(x, y)::DOUBLE ELSE -1 END AS house_digit_edit, CASE WHEN y <> '' THEN (x = y)::DOUBLE ELSE -1 END AS house_in_other,
-CASE WHEN x = '' AND y = '' THEN -1.0 WHEN x = y THEN 1.0 ELSE 0.0 END AS house_num_overlap, CASE WHEN x <> '' AND y <> '' THEN abs(CAST(x AS BIGINT) - CAST(y AS BIGINT))::DOUBLE ELSE -1 END AS house_gap,
+CASE WHEN x = '' AND y = '' THEN -1.0::DOUBLE WHEN x = y THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS house_num_overlap, CASE WHEN x <> '' AND y <> '' THEN abs(CAST(x AS BIGINT) - CAST(y AS BIGINT))::DOUBLE ELSE -1 END AS house_gap,
 CASE WHEN x <> '' AND y <> '' THEN round(ln(1 + abs(CAST(x AS BIGINT) - CAST(y AS BIGINT))::DOUBLE), 6) ELSE -1 END AS house_gap_log, CASE WHEN x <> '' AND y <> '' THEN (abs(CAST(x AS BIGINT) - CAST(y AS BIGINT)) BETWEEN 1 AND 20)::DOUBLE ELSE -1 END AS house_gap_small,
 CASE WHEN x <> '' AND y <> '' THEN (length(x) = length(y))::DOUBLE ELSE -1 END AS house_same_len FROM houses2"""
 
@@ -487,16 +490,89 @@ def synthetic_lookalikes(spark: SparkSession, d: str) -> DataFrame:
     return R.lookalikes(rec)
 
 
+# ---- diagnostics and the whole way ----
+
+
+def error_mining(spark: SparkSession, d: str) -> DataFrame:
+    pairs = V.pairs(spark, d).withColumn("pred", F.col("p") >= CUT)
+    costs = G.error_costs(_counts(spark, d), pairs)
+    return costs.groupBy("kind", F.col("p_bin").cast("long").alias("p_bin")).agg(F.count(F.lit(1)).alias("n"), _r(F.sum("gain"), 3).alias("gain"))
+
+
+def _fixed(t: str, k: str, tp: str) -> str:
+    return _f(t, f"({k})", f"({tp})")
+
+
+_MINING_SQL = f"""WITH {V.PAIRS}, {_COUNTS}, w AS (SELECT p.*, c.t, c.k, c.tp, p.p >= {CUT}::DOUBLE AS pred FROM pairs p JOIN cnt c ON c.s = p.s WHERE (p.p >= {CUT}::DOUBLE) <> p.label),
+g AS (SELECT CASE WHEN pred THEN 'wrong_accept' ELSE 'missed' END AS kind, len(list_filter([{", ".join(f"{x}::DOUBLE" for x in G.P_BINS)}], lambda e: p >= e)) AS p_bin, CASE WHEN pred THEN {_fixed("t", "k - 1", "tp")} ELSE {_fixed("t", "k + 1", "tp + 1")} END - {_f("t", "k", "tp")} AS gain FROM w)
+SELECT kind, p_bin, count(*) AS n, round(sum(gain), 3) AS gain FROM g GROUP BY 1, 2"""
+
+
+def recall_gap(spark: SparkSession, d: str) -> DataFrame:
+    """Lines as true pairs, those of high score as found; words of the parts' names, the commonest purged."""
+    rec = V.crowd_records(spark, d).select("rid", F.split("name_core", " ").alias("tokens"))
+    words = rec.select("rid", F.explode("tokens").alias("token"))
+    kept = words.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") <= 0.12 * rec.count())
+    truth = V.crowd_pairs(spark, d).select("s", "q")
+    found = V.crowd_pairs(spark, d).where("p >= 0.5").select("s", "q")
+    left, right = words.select(F.col("rid").alias("s"), "token"), words.select(F.col("rid").alias("q"), "token")
+    return G.recall_gap(truth, left, right, kept, found)
+
+
+_GAPS_SQL = f"""WITH {V.CROWD}, wd AS (SELECT rid, unnest(string_split(name_core, ' ')) AS token FROM crec), kept AS (SELECT token FROM wd GROUP BY 1 HAVING count(*) <= 0.12::DOUBLE * (SELECT count(*) FROM crec)),
+ms AS (SELECT s, q FROM cpairs WHERE p < 0.5), m AS (SELECT ms.s, ms.q, count(*) AS n, sum(CASE WHEN a.token IN (SELECT token FROM kept) THEN 1 ELSE 0 END) AS live FROM ms JOIN wd a ON a.rid = ms.s JOIN wd b ON b.rid = ms.q AND a.token = b.token GROUP BY 1, 2)
+SELECT ms.s, ms.q, CASE WHEN coalesce(live, 0) > 0 THEN 'ranked_out' WHEN coalesce(n, 0) > 0 THEN 'purged' ELSE 'zero_overlap' END AS cause FROM ms LEFT JOIN m ON m.s = ms.s AND m.q = ms.q"""
+
+
+def data_profile(spark: SparkSession, d: str) -> DataFrame:
+    return G.data_profile(V.entities(spark, d)).select("country", "n", _r("singleton_share").alias("singleton_share"), _r("mean_t").alias("mean_t"), "max_t")
+
+
+def script_shares(spark: SparkSession, d: str) -> DataFrame:
+    return G.script_shares(V.read(spark, d, "documents"), "text", "lang").select("lang", *[_r(c).alias(c) for c in ("indic", "other_script", "non_ascii")])
+
+
+def shift_ratio(spark: SparkSession, d: str) -> DataFrame:
+    p = V.pairs(spark, d).withColumn("rel", F.floor(F.col("p") * 5).cast("string"))
+    return G.shift_ratio(p.where("label"), p.where("NOT label"), "rel").select("rel", *[_r(c).alias(c) for c in ("per_a", "per_b", "ratio")])
+
+
+_SHIFT_SQL = f"""WITH {V.PAIRS}, r AS (SELECT *, CAST(CAST(floor(p * 5) AS BIGINT) AS VARCHAR) AS rel FROM pairs), a AS (SELECT rel, count(*)::DOUBLE / (SELECT count(DISTINCT s) FROM r WHERE label) AS x FROM r WHERE label GROUP BY 1), b AS (SELECT rel, count(*)::DOUBLE / (SELECT count(DISTINCT s) FROM r WHERE NOT label) AS x FROM r WHERE NOT label GROUP BY 1)
+SELECT coalesce(a.rel, b.rel) AS rel, round(coalesce(a.x, 0), 6) AS per_a, round(coalesce(b.x, 0), 6) AS per_b, round(CASE WHEN a.x > 0 THEN coalesce(b.x, 0) / a.x END, 6) AS ratio FROM a FULL JOIN b ON a.rel = b.rel"""
+
+
+def uncertain_band(spark: SparkSession, d: str) -> DataFrame:
+    return G.band_rows(V.pairs(spark, d), 0.2, 0.8).select("s", "q", "in_band")
+
+
+def blend_weights(spark: SparkSession, d: str) -> DataFrame:
+    rows = V.read(spark, d, "orders").join(V.read(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).select((F.col("o_totalprice") / 1000).alias("y"), (F.col("c_acctbal") / 10).alias("a"), F.lit(250.0).alias("b"), (F.col("o_totalprice") / 900).alias("c"))
+    return G.blend_weights(rows, ["a", "b", "c"], "y")
+
+
+def full_match(spark: SparkSession, d: str) -> DataFrame:
+    """Lines as pairs of parts: those of one name and type belong together."""
+    rec = V.crowd_records(spark, d)
+    side = lambda x: rec.select(F.col("rid").alias(x), F.col("name_core").alias(f"{x}_n"), F.col("street").alias(f"{x}_t"))
+    pairs = V.crowd_pairs(spark, d).join(side("q"), "q").join(side("s"), "s")
+    pairs = pairs.select("q", "s", "p", (F.col("q_n") == F.col("s_n")).alias("label"), _jac(F.col("q_n"), F.col("s_n")).alias("name_jac"), (F.col("q_t") == F.col("s_t")).cast("double").alias("same_type"))
+    true = pairs.where("label").groupBy("s").agg(F.count(F.lit(1)).alias("t"))
+    entities = pairs.select("s").distinct().join(true, "s", "left").na.fill(0, ["t"]).join(rec.select(F.col("rid").alias("s"), F.col("street").alias("country")), "s")
+    return matching.match(pairs, _sim_rec(spark, d), entities, ["name_jac", "same_type"], _jac, matching.Plan(cap=600, rounds=2, depth=2)).lists
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         one_owner, cap_per_entity, mutual_best, second_best_margin, crowd_features, sibling_support, cross_source_best, house_relation, house_gap, jaccard_tokens, jaro_winkler, indel_ratio, token_set_ratio, novel_words, idf_overlap, rewrite_select, embedding_cosine, f05_per_entity,
         evaluate_rollup, error_decomposition, recall_at_k, candidate_stats, conflict_rate, country_cutoff_quantile, threshold_grid, expected_f_decode, alpha_grid, logit_shift, train_priors, em_prior, match_count_crosstab, prob_histogram, missed_pairs, id_list_output, splice, intersect, vote,
         owner_map, validator_rules, stratified_split, snap_to_nearest, smape_mape, column_profile, event_props, ledger_union, bootstrap_ci, gbt_crossfit, isotonic_calibration, pseudo_labels, synthetic_lookalikes,
+        error_mining, recall_gap, data_profile, script_shares, shift_ratio, uncertain_band, blend_weights, full_match,
     )
 }
 
 _P = f"WITH {V.PAIRS}"
+_EASY = md5_sql("'easy' || s || ':' || q", 1000)
 ORACLE_SQL = {
     "one_owner": f"{_P}, {_OWN} SELECT s, q, p, keep FROM o",
     "cap_per_entity": f"{_P} SELECT s, q, p, place FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY p DESC, q) AS place FROM pairs) WHERE place <= 3",
@@ -542,4 +618,10 @@ SELECT s, q, second, round(CASE WHEN p >= best THEN p - second ELSE p - best END
     "event_props": "SELECT event_type, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS total, count(DISTINCT json_extract_string(props, '$.k')) AS kinds FROM events GROUP BY 1",
     "ledger_union": "SELECT CAST(r_regionkey AS VARCHAR) AS id, r_name, '' AS n_name FROM region UNION ALL SELECT CAST(n_nationkey AS VARCHAR), '', n_name FROM nation",
     "pseudo_labels": f"{_P} SELECT s, q, p >= 0.9::DOUBLE AS label FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY p DESC, s) AS k FROM pairs) WHERE (p >= 0.9::DOUBLE AND k = 1) OR p <= 0.05::DOUBLE",
+    "error_mining": _MINING_SQL,
+    "recall_gap": _GAPS_SQL,
+    "data_profile": f"{_P} SELECT coalesce(country, 'ALL') AS country, count(*) AS n, round(avg((t = 0)::INTEGER::DOUBLE), 6) AS singleton_share, round(avg(t), 6) AS mean_t, max(t) AS max_t FROM ents GROUP BY ROLLUP (country)",
+    "script_shares": r"SELECT lang, 0.0::DOUBLE AS indic, 0.0::DOUBLE AS other_script, round(avg(regexp_matches(coalesce(text, ''), '[^\x00-\x7F]')::INTEGER::DOUBLE), 6) AS non_ascii FROM documents GROUP BY 1",
+    "shift_ratio": _SHIFT_SQL,
+    "uncertain_band": f"{_P}, b AS (SELECT *, p BETWEEN 0.2::DOUBLE AND 0.8::DOUBLE AS in_band, {_EASY} AS place FROM pairs) SELECT s, q, in_band FROM b WHERE in_band OR place < 200",
 }

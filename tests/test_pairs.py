@@ -236,3 +236,39 @@ def test_arrivals_are_matched(spark, tmp_path):
     query = match_arrivals(arrivals, index, lambda rows, n: got.extend((x.s, x.q) for x in rows.collect()), str(tmp_path / "ck"))
     query.awaitTermination(60)
     assert got == [(5, 1)]
+
+
+def test_the_whole_way_finds_what_belongs_together(spark):
+    import random
+
+    from rowkin.functions.similarity import token_set_ratio
+    from rowkin.plans.matching import Plan, match
+
+    r = random.Random(1)
+    names = [f"{a} {b}" for a in ("acme", "zeta", "nova", "orbit", "delta", "sigma") for b in ("tools", "foods", "media", "paper", "steel", "glass", "wood", "light", "stone", "water")]
+    rec = [(i, n, "5 main st", "5", "1", 1) for i, n in enumerate(names)] + [(1000 + i, names[i % 60], "5 main st", "5", "1", 2 + i % 2) for i in range(240)]
+    pairs = []
+    for q in range(1000, 1240):
+        own = (q - 1000) % 60
+        for s in {own, *(r.randrange(60) for _ in range(6))}:
+            pairs.append((q, s, round(0.4 + 0.5 * r.random(), 3), s == own, 1.0 if s == own else round(0.6 * r.random(), 3)))
+    entities = df(spark, "s long, country string, t long", [(i, "US" if i % 2 else "India", 4) for i in range(60)])
+    out = match(df(spark, "q long, s long, p double, label boolean, sim double", pairs), df(spark, "rid long, name_core string, addr string, house_num string, postcode string, source int", rec), entities, ["sim"], token_set_ratio, Plan(rounds=2, depth=2))
+    assert {x.country: x for x in out.report.collect()}["ALL"].macro_f05 > 0.95
+    assert out.lists.count() == 60 and out.pairs.where("pred").groupBy("q").count().where("count > 1").count() == 0
+
+
+def test_error_costs_and_gaps(spark):
+    from rowkin.operators import diagnostics as G
+
+    counts = df(spark, "s long, t long, k long, tp long", [(1, 2, 2, 1)])
+    pairs = df(spark, "s long, q long, p double, label boolean, pred boolean", [(1, 10, 0.9, True, True), (1, 11, 0.8, False, True), (1, 12, 0.1, True, False)])
+    got = {x.kind: x for x in G.error_costs(counts, pairs).collect()}
+    assert got["wrong_accept"].gain == pytest.approx(1.25 / 1.5 - 0.5) and got["missed"].gain == pytest.approx(2.5 / 3.5 - 0.5) and got["missed"].p_bin == 2
+    words = lambda key, rows: df(spark, f"{key} long, token string", rows)
+    gaps = G.recall_gap(df(spark, "s long, q long", [(1, 1), (1, 2), (1, 3), (1, 4)]), words("s", [(1, "rare"), (1, "often")]), words("q", [(1, "rare"), (2, "often"), (3, "other"), (4, "rare")]), df(spark, "token string", [("rare",)]), df(spark, "s long, q long", [(1, 4)]))
+    assert {x.q: x.cause for x in gaps.collect()} == {1: "ranked_out", 2: "purged", 3: "zero_overlap"}
+    w = {x.guess: x.weight for x in G.blend_weights(df(spark, "a double, b double, y double", [(1.0, 3.0, 2.0), (2.0, 6.0, 4.0)]), ["a", "b"], "y").collect()}
+    assert w == {"a": 0.5, "b": 0.5}
+    with pytest.raises(ValueError):
+        G.text_of(counts, "other")
