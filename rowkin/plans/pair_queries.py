@@ -13,6 +13,7 @@ from rowkin.operators import diagnostics as G
 from rowkin.operators import features as X
 from rowkin.operators import learn, learner
 from rowkin.operators import metrics as M
+from rowkin.operators import relational as L
 from rowkin.operators import resample as R
 from rowkin.operators import submissions as S
 from rowkin.plans import matching
@@ -490,6 +491,30 @@ def synthetic_lookalikes(spark: SparkSession, d: str) -> DataFrame:
     return R.lookalikes(rec)
 
 
+# ---- checked joins and first rows ----
+
+
+def first_rows(spark: SparkSession, d: str) -> DataFrame:
+    """One part per name and type: the cheapest, then the lowest number."""
+    part = V.read(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
+    return L.first_rows(part, ["p_name", "p_type"], [F.col("p_retailprice"), F.col("p_partkey")])
+
+
+def validated_join(spark: SparkSession, d: str) -> DataFrame:
+    return L.one_to_one(V.entities(spark, d).select("s", "t"), V.read(spark, d, "orders").select(F.col("o_orderkey").alias("s"), "o_orderstatus"), ["s"])
+
+
+def stacked_scores(spark: SparkSession, d: str) -> DataFrame:
+    p = V.pairs(spark, d)
+    return L.stacked({"high": p.where("p >= 0.3"), "labelled": p.where("label"), "every": p}, ["s", "q"], "p")
+
+
+def review_sample(spark: SparkSession, d: str) -> DataFrame:
+    """Each country's five records of most words."""
+    rec = V.records(spark, d).select("rid", "country", F.size("tokens").cast("long").alias("n"))
+    return L.head_of_groups(rec, ["country"], [F.col("n").desc(), F.col("rid")], 5).select("country", "rid", "n", F.col("place").cast("long").alias("place"))
+
+
 # ---- diagnostics and the whole way ----
 
 
@@ -567,7 +592,7 @@ QUERIES = {
         one_owner, cap_per_entity, mutual_best, second_best_margin, crowd_features, sibling_support, cross_source_best, house_relation, house_gap, jaccard_tokens, jaro_winkler, indel_ratio, token_set_ratio, novel_words, idf_overlap, rewrite_select, embedding_cosine, f05_per_entity,
         evaluate_rollup, error_decomposition, recall_at_k, candidate_stats, conflict_rate, country_cutoff_quantile, threshold_grid, expected_f_decode, alpha_grid, logit_shift, train_priors, em_prior, match_count_crosstab, prob_histogram, missed_pairs, id_list_output, splice, intersect, vote,
         owner_map, validator_rules, stratified_split, snap_to_nearest, smape_mape, column_profile, event_props, ledger_union, bootstrap_ci, gbt_crossfit, isotonic_calibration, pseudo_labels, synthetic_lookalikes,
-        error_mining, recall_gap, data_profile, script_shares, shift_ratio, uncertain_band, blend_weights, full_match,
+        first_rows, validated_join, stacked_scores, review_sample, error_mining, recall_gap, data_profile, script_shares, shift_ratio, uncertain_band, blend_weights, full_match,
     )
 }
 
@@ -624,4 +649,8 @@ SELECT s, q, second, round(CASE WHEN p >= best THEN p - second ELSE p - best END
     "script_shares": r"SELECT lang, 0.0::DOUBLE AS indic, 0.0::DOUBLE AS other_script, round(avg(regexp_matches(coalesce(text, ''), '[^\x00-\x7F]')::INTEGER::DOUBLE), 6) AS non_ascii FROM documents GROUP BY 1",
     "shift_ratio": _SHIFT_SQL,
     "uncertain_band": f"{_P}, b AS (SELECT *, p BETWEEN 0.2::DOUBLE AND 0.8::DOUBLE AS in_band, {_EASY} AS place FROM pairs) SELECT s, q, in_band FROM b WHERE in_band OR place < 200",
+    "first_rows": "SELECT p_partkey, p_name, p_type, p_retailprice FROM (SELECT *, row_number() OVER (PARTITION BY p_name, p_type ORDER BY p_retailprice, p_partkey) AS k FROM part) WHERE k = 1",
+    "validated_join": f"{_P} SELECT s, t, o_orderstatus FROM ents JOIN orders ON o_orderkey = s",
+    "stacked_scores": f"{_P} SELECT s, q, p AS high, p AS labelled, p AS every FROM pairs WHERE p >= 0.3::DOUBLE AND label",
+    "review_sample": f"WITH {V.RECORDS} SELECT country, rid, n, place FROM (SELECT country, rid, len(tokens) AS n, row_number() OVER (PARTITION BY country ORDER BY len(tokens) DESC, rid) AS place FROM rec) WHERE place <= 5",
 }

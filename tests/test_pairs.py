@@ -272,3 +272,21 @@ def test_error_costs_and_gaps(spark):
     assert w == {"a": 0.5, "b": 0.5}
     with pytest.raises(ValueError):
         G.text_of(counts, "other")
+
+
+def test_checked_joins(spark):
+    from rowkin.operators import relational as L
+
+    a, b = df(spark, "k long, x string", [(1, "a"), (2, "b")]), df(spark, "k long, y string", [(1, "c"), (2, "d")])
+    assert sorted(map(tuple, L.one_to_one(a, b, ["k"]).collect())) == [(1, "a", "c"), (2, "b", "d")]
+    for bad in (b.where("k = 1"), b.unionByName(b)):
+        with pytest.raises(Exception, match="one to one"):
+            L.one_to_one(a, bad, ["k"]).collect()
+    rec = df(spark, "name string, rid long", [("x", 2), ("x", 1), ("y", 3)])
+    got = L.back_reference(df(spark, "name string, edit int", [("x", 1), ("z", 2)]), rec, ["name"], ["rid"], [F.col("rid")])
+    assert sorted((x.name, x.rid) for x in got.collect()) == [("x", 1), ("z", None)]
+    assert [x.name for x in L.by_length(df(spark, "name string", [("ccc",), ("a",), ("bb",)]).coalesce(1), "name").collect()] == ["a", "bb", "ccc"]
+    assert L.implied_share(0.9, {"a": (0.5, 1.0), "b": (0.3, 1.0)}, 0.2) == pytest.approx(0.5)
+    rows = df(spark, "id long, x double, y double", [(i, float(i % 10), float(i % 10) * 2) for i in range(100)])
+    out, models = learner.cv_regression(rows, ["x"], "y", 2, rounds=3)
+    assert out.count() == 100 and len(models) == 2 and out.where("abs(oof - y) > 4").count() == 0
