@@ -1,7 +1,7 @@
 """Shared pieces: scratch tables, UTF-8 blocks of whole texts, vectorised word hashing.
 
 Texts reach Python as Arrow batches. ``text_blocks`` cuts a batch into runs of
-whole documents of about ``BLOCK_BYTES`` so that numpy temporaries stay small;
+whole documents of at most ``BLOCK_BYTES`` so that numpy temporaries stay small;
 one longer document forms a block of its own and is never cut.
 """
 
@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 U64 = np.uint64
 
 
@@ -124,7 +124,7 @@ _powers = {"up": np.ones(1, U64), "down": np.ones(1, U64)}
 
 def _power(kind: str, n: int) -> np.ndarray:
     if len(_powers[kind]) < n:
-        size = 1 << max(21, int(n - 1).bit_length())
+        size = max(BLOCK_BYTES + 1, n)
         base = _BASE if kind == "up" else pow(_BASE, -1, 1 << 64)
         steps = np.full(size, base, U64)
         steps[0] = 1

@@ -55,7 +55,7 @@ class Join:
 
 
 KEY_SHIFT = U64(24)  # counted on 40 bits
-FLUSH = 4_000_000
+FLUSH = 1_500_000
 
 
 def _grams(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -152,7 +152,7 @@ def _merge(batches: Iterator[pa.RecordBatch], slice_bits: int, join: Join) -> It
 
 def _bit_fields(texts: DataFrame, join: Join) -> tuple[np.ndarray, np.ndarray]:
     """Two bit fields of fixed size, whatever the corpus: all that reaches the driver."""
-    slices = min(max(6, (2 * texts.rdd.getNumPartitions() - 1).bit_length()), 16)
+    slices = min(max(8, texts.rdd.getNumPartitions().bit_length()), 16)
     words = join.words
     counted = texts.mapInArrow(lambda b: give_back(_count(b, words, slices)), "slice long, keys binary, counts binary, n long")
     merged = counted.repartition("slice").sortWithinPartitions("slice").mapInArrow(lambda b: give_back(_merge(b, slices, join)), "slice long, shared binary, many binary")
