@@ -29,7 +29,7 @@ def token_df_idf(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _candidates(spark: SparkSession, d: str, weighted: bool, least: int = 1) -> DataFrame:
-    rec = V.records(spark, d)
+    rec = V.records(spark, d).select("rid", "country", "source", "tokens").persist()  # read by four branches
     posts = B.postings(rec, "rid", "tokens", _stats(rec), ("country", "source"))
     queries = posts.where("source = 1").select(F.col("rid").alias("s"), "country", "token")
     index = posts.where("source <> 1").select(F.col("rid").alias("q"), "country", "token", "idf")
@@ -66,7 +66,7 @@ def owned_candidates(spark: SparkSession, d: str) -> DataFrame:
 
 def field_block_sum_topk(spark: SparkSession, d: str) -> DataFrame:
     """Two fields, words and words of a first line, each probed alike, summed after keeping twice as many."""
-    rec = V.records(spark, d)
+    rec = V.records(spark, d).select("rid", "source", "tokens", "lines").persist()
     first = rec.withColumn("tokens", F.array_distinct(F.filter(F.split(F.coalesce(F.get("lines", F.lit(0)), F.lit("")), " "), lambda t: F.length(t) >= 2)))
     parts = []
     for one in (rec, first):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rowkin.functions import house as H
 from rowkin.functions import similarity as sim
+from rowkin.functions.hashing import fold_of
 from rowkin.operators import context as C
 from rowkin.operators import decode as D
 from rowkin.operators import diagnostics as G
@@ -332,12 +333,12 @@ def logit_shift(spark: SparkSession, d: str) -> DataFrame:
 
 
 def train_priors(spark: SparkSession, d: str) -> DataFrame:
-    rows = V.pairs(spark, d).join(V.entities(spark, d).select("s", "country"), "s").withColumn("rel", F.when(F.col("q") % 2 == 0, "near").otherwise("far"))
+    rows = V.pairs(spark, d).join(V.entities(spark, d).select("s", "country"), "s").withColumn("rel", F.when(F.col("p") >= 0.5, "near").otherwise("far"))
     return D.train_priors(rows).select("country", "rel", _r("rate").alias("rate"))
 
 
 def em_prior(spark: SparkSession, d: str) -> DataFrame:
-    rows = V.pairs(spark, d).join(V.entities(spark, d).select("s", "country"), "s").withColumn("rel", F.when(F.col("q") % 2 == 0, "near").otherwise("far"))
+    rows = V.pairs(spark, d).join(V.entities(spark, d).select("s", "country"), "s").withColumn("rel", F.when(F.col("p") >= 0.5, "near").otherwise("far"))
     return D.em_shifts(rows, D.train_priors(rows), 50)
 
 
@@ -467,7 +468,7 @@ def bootstrap_ci(spark: SparkSession, d: str) -> DataFrame:
 
 def _training(spark: SparkSession, d: str) -> DataFrame:
     p = V.pairs(spark, d)
-    rows = p.withColumn("margin", C.margin("q", "p")).withColumn("s_rank", C.first_in("s", F.col("p").desc(), F.col("q"))).withColumn("train", F.col("s") % 5 != 0)
+    rows = p.withColumn("margin", C.margin("q", "p")).withColumn("s_rank", C.first_in("s", F.col("p").desc(), F.col("q"))).withColumn("train", fold_of(F.col("s")) == "train")
     return learner.assembled(rows, ["p", "margin", "s_rank"]).withColumnRenamed("p", "p0")
 
 
@@ -479,7 +480,7 @@ def gbt_crossfit(spark: SparkSession, d: str) -> DataFrame:
 
 def isotonic_calibration(spark: SparkSession, d: str) -> DataFrame:
     p = V.pairs(spark, d)
-    return learner.calibrate(p.where(F.col("s") % 3 == 0), p).select("s", "q", "p", "p_cal")
+    return learner.calibrate(p.where(fold_of(F.col("s")) == "tune"), p).select("s", "q", "p", "p_cal")
 
 
 def pseudo_labels(spark: SparkSession, d: str) -> DataFrame:
@@ -626,7 +627,7 @@ SELECT s, q, second, round(CASE WHEN p >= best THEN p - second ELSE p - best END
     "expected_f_decode": _EXP_SQL,
     "alpha_grid": _ALPHA_SQL,
     "logit_shift": f"{_P}, z AS (SELECT *, least(greatest(p, 1e-6::DOUBLE), 1 - 1e-6::DOUBLE) AS c FROM pairs) SELECT s, q, round(ln(c / (1 - c)), 5) AS z, round(1 / (1 + exp(-(ln(c / (1 - c)) - 0.5::DOUBLE))), 5) AS shifted, p BETWEEN 0.1::DOUBLE AND 0.9::DOUBLE AS band FROM z",
-    "train_priors": f"{_P}, r AS (SELECT p.label, e.country, CASE WHEN p.q % 2 = 0 THEN 'near' ELSE 'far' END AS rel FROM pairs p JOIN ents e ON e.s = p.s) SELECT coalesce(country, '*') AS country, rel, round(avg(label::INTEGER::DOUBLE), 6) AS rate FROM r GROUP BY GROUPING SETS ((country, rel), (rel))",
+    "train_priors": f"{_P}, r AS (SELECT p.label, e.country, CASE WHEN p.p >= 0.5 THEN 'near' ELSE 'far' END AS rel FROM pairs p JOIN ents e ON e.s = p.s) SELECT coalesce(country, '*') AS country, rel, round(avg(label::INTEGER::DOUBLE), 6) AS rate FROM r GROUP BY GROUPING SETS ((country, rel), (rel))",
     "match_count_crosstab": _PIVOT_SQL,
     "prob_histogram": f"{_P} SELECT CAST(floor(p * 10) AS BIGINT) AS bin, count(*) AS n, CAST(sum(label::BIGINT) AS BIGINT) AS hits FROM pairs GROUP BY 1",
     "missed_pairs": f"{_P} SELECT s, q FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY p DESC, q) AS k FROM pairs) WHERE label AND k > 2",
