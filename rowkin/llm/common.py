@@ -12,7 +12,7 @@ import ctypes
 import sys
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,16 +42,27 @@ def steady(df: DataFrame) -> DataFrame:
     return df
 
 
-def give_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same batches; at the end freed memory goes back to the system, as idle workers stay for a while."""
+#: What a worker process keeps from task to task, by name, with what drops it.
+KEPT: dict[str, Callable[[], None]] = {}
+
+
+def _trim() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+    if trim is not None:
+        trim(0)
+
+
+def give_back(batches: Iterator[pa.RecordBatch], keep: str = "") -> Iterator[pa.RecordBatch]:
+    """The same batches; first drops what other passes kept in this worker, at the end returns freed memory to the system."""
+    for name, drop in KEPT.items():
+        if name != keep:
+            drop()
+    _trim()
     try:
         yield from batches
     finally:
-        pa.default_memory_pool().release_unused()
-        if sys.platform == "linux":
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim is not None:
-                trim(0)
+        _trim()
 
 
 def scratch_root(spark: SparkSession) -> str:

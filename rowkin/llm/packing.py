@@ -53,7 +53,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterato
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
-    return steady(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lambda batches: give_back(_cut(batches, path, capacity)), PIECES)
+    return steady(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lambda batches: give_back(_cut(batches, path, capacity), keep="tokens"), PIECES)
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[int, int, int, int, int]], int]:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowkin.llm.common import steady
+from rowkin.llm.common import give_back, steady
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 LABELS = ("plain", "email", "ip", "card", "phone", "secret", "handle")
@@ -406,7 +406,7 @@ def find_personal(docs: DataFrame, field: Field | None = None) -> DataFrame:
             types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
-    return steady(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(scan, SCHEMA)
+    return steady(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lambda batches: give_back(scan(batches)), SCHEMA)
 
 
 def masked(text: str, spans: list[Span]) -> str:
@@ -436,4 +436,4 @@ def mask_personal(docs: DataFrame, field: Field | None = None) -> DataFrame:
                 columns[n] = pa.array([None if t is None else len(t) for t in texts], batch.schema.field(n).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return steady(docs).mapInArrow(mask, schema)
+    return steady(docs).mapInArrow(lambda batches: give_back(mask(batches)), schema)

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowkin.llm.common import BYTE_VALUES, LOWER_VALUES, SPACE, U64, gram_hash, mix, owners, prefix_sums, span_hash, steady, text_blocks, word_spans
+from rowkin.llm.common import BYTE_VALUES, LOWER_VALUES, SPACE, U64, give_back, gram_hash, mix, owners, prefix_sums, span_hash, steady, text_blocks, word_spans
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[np.frombuffer(b"#*$%&|<>", np.uint8)] = True
@@ -144,7 +144,7 @@ def _measure(batches: Iterator[pa.RecordBatch], bands: Bands) -> Iterator[pa.Rec
 def quality_rules(docs: DataFrame, bands: Bands | None = None) -> DataFrame:
     """One row per input row, with counts, ratios and the verdict. One pass, no shuffle."""
     bands = bands or Bands()
-    return steady(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lambda batches: _measure(batches, bands), SCHEMA)
+    return steady(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lambda batches: give_back(_measure(batches, bands)), SCHEMA)
 
 
 #: Columns that the verdict reads, carried beside any columns of the input.
@@ -160,4 +160,4 @@ def keep_good(docs: DataFrame, bands: Bands | None = None) -> DataFrame:
             if verdict:
                 yield batch.filter(pa.chunked_array(verdict).combine_chunks())
 
-    return steady(docs).mapInArrow(filtered, docs.schema)
+    return steady(docs).mapInArrow(lambda batches: give_back(filtered(batches)), docs.schema)

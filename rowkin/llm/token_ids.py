@@ -15,7 +15,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-from rowkin.llm.common import BYTE_VALUES, LOWER_VALUES, SlotTable, prefix_sums, span_hash, text_blocks
+from rowkin.llm.common import BYTE_VALUES, KEPT, LOWER_VALUES, SlotTable, prefix_sums, span_hash, text_blocks
 
 #: Slots of a worker's table (16 bytes each) and ids that it holds at most (4 bytes each).
 SLOT_BITS, POOL_IDS = 21, 10_000_000
@@ -138,6 +138,7 @@ class BlockEncoder:
 
 
 _encoders: dict[str, BlockEncoder] = {}
+KEPT["tokens"] = _encoders.clear
 
 
 def encoder(path: str) -> BlockEncoder:

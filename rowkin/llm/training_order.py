@@ -170,12 +170,12 @@ def write_training_order(docs: DataFrame, folder: str | None = None, layout: Lay
     spark = docs.sparkSession
     folder = folder or f"{scratch_root(spark)}/rowkin-shards-{uuid.uuid4().hex}"
     texts = steady(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    counts = texts.mapInArrow(lambda b: give_back(_count(b, path, layout.stride)), "part long, n long, check long").collect()  # a row per partition
+    counts = texts.mapInArrow(lambda b: give_back(_count(b, path, layout.stride), keep="tokens"), "part long, n long, check long").collect()  # a row per partition
     begins, n = {}, 0
     for row in sorted(counts):
         begins[row["part"]] = (n, row["n"], row["check"])
         n += row["n"]
-    numbered = texts.mapInArrow(lambda b: give_back(_number(b, path, layout, begins, n)), "slot long, doc_id long, piece int, n_tokens int, packed binary")
+    numbered = texts.mapInArrow(lambda b: give_back(_number(b, path, layout, begins, n), keep="tokens"), "slot long, doc_id long, piece int, n_tokens int, packed binary")
     shards = -(-n // layout.slots_per_shard)
     parts = max(1, min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), n * layout.record_bytes // (64 << 20))))
     per_part = max(1, -(-shards // parts))
