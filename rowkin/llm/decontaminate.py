@@ -2,11 +2,14 @@
 
 Words become template tokens: a run of numbers is one <num>, a run of names
 (capitalised inside a sentence) one <name>, a unit after a number <unit>, any
-other word itself, lower-cased. Windows of ``Rules.window`` tokens of documents
-and items meet in a hash join. Along one diagonal (document place minus item
-place) the windows must cover enough of the item, and what stands in its slots
-must map consistently, so that a question asked again with other names and
-numbers is caught and unrelated text of the same shape isn't.
+other word itself, lower-cased. Windows of ``Rules.window`` tokens (fewer for
+short items, ``Rules.shorter``) of documents and items meet in a hash join.
+Chains of windows that follow each other in both texts must cover enough of the
+item, and what stands in its slots must map consistently, so that a question
+asked again with other names and numbers is caught and unrelated text of the
+same shape isn't. A chain may step to another diagonal (document place minus
+item place) by up to half the item's tokens, so words put in, left out or
+replaced don't break it; two copies of an item are further apart.
 
 Documents are filtered against a bit field of fixed size over the windows of
 all items before the join, whatever the benchmark's size; a false bit costs a
@@ -36,11 +39,21 @@ from rowkin.llm.common import LOWER_VALUES, NOT_ALNUM, U64, give_back, gram_hash
 class Rules:
     window: int = 8
     literals: int = 4  # words other than slots that a window needs
+    shorter: tuple[tuple[int, int, int], ...] = ((14, 3, 1), (23, 5, 2))  # items of fewer tokens: window, literals; a word replaced in the middle leaves half of the windows
     coverage: float = 0.5  # share of an item's windows
     conflicts: float = 0.2  # share of slot values that may map to more than one
     bits: int = 24  # 2 MB
     broadcast_rows: int = 1_000_000
 
+    @property
+    def sizes(self) -> list[tuple[int, int, int, int]]:
+        """(fewest tokens of an item, tokens it has fewer than, window, literals); below ``window`` tokens an item has none."""
+        out, low = [], self.window
+        for below, k, literals in self.shorter:
+            out.append((low, below, k, literals))
+            low = below
+        return [*out, (low, 1 << 62, self.window, self.literals)]
+
 
 #: Words that count as numbers, and units.
 NUMBER_WORDS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
@@ -101,9 +114,9 @@ def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.where(kind == WORD, hashes[keep], KIND_HASH[kind]), kind, values, np.searchsorted(keep, first)
 
 
-def _windows(tokens: np.ndarray, kind: np.ndarray, first: np.ndarray, rules: Rules) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _windows(tokens: np.ndarray, kind: np.ndarray, first: np.ndarray, k: int, literals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text, place in it and hash of each window with enough literal words."""
-    k, n = rules.window, len(tokens)
+    n = len(tokens)
     if n < k:
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(0, U64)
@@ -111,7 +124,7 @@ def _windows(tokens: np.ndarray, kind: np.ndarray, first: np.ndarray, rules: Rul
     text = owners(first)
     literal = np.zeros(n + 1, np.int64)
     np.cumsum(kind == WORD, out=literal[1:])
-    good = np.flatnonzero((text[: n - k + 1] == text[k - 1 :]) & (literal[k:] - literal[: n - k + 1] >= rules.literals))
+    good = np.flatnonzero((text[: n - k + 1] == text[k - 1 :]) & (literal[k:] - literal[: n - k + 1] >= literals))
     return text[good], good, hashes[good]
 
 
@@ -120,7 +133,7 @@ def _slots(kind: np.ndarray, values: np.ndarray, at: int, k: int) -> list[int]:
     return values[part][kind[part] != WORD].view(np.int64).tolist()
 
 
-ITEMS = "item_id long, place int, window long, slots array<long>, n_windows int"
+ITEMS = "item_id long, place int, window long, slots array<long>, n_windows int, n_tokens int, size int"
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[pa.RecordBatch]:
@@ -128,11 +141,17 @@ def _item_windows(batches: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[p
         for lo, hi, data, offsets in text_blocks(batch.column(1)):
             ids = batch.column(0).slice(lo, hi - lo).to_pylist()
             tokens, kind, values, first = template(data, offsets)
-            text, at, hashes = _windows(tokens, kind, first, rules)
-            count = np.bincount(text, minlength=hi - lo)
-            rows = [(ids[t], a - int(first[t]), h, _slots(kind, values, a, rules.window), int(count[t])) for t, a, h in zip(text.tolist(), at.tolist(), hashes.view(np.int64).tolist(), strict=True)]
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int32()), strict=True)], names=["item_id", "place", "window", "slots", "n_windows"])
+            length = np.diff(first)
+            rows = []
+            for low, below, k, literals in rules.sizes:
+                text, at, hashes = _windows(tokens, kind, first, k, literals)
+                own = (length[text] >= low) & (length[text] < below)
+                text, at, hashes = text[own], at[own], hashes[own]
+                count = np.bincount(text, minlength=hi - lo)
+                rows += [(ids[t], a - int(first[t]), h, _slots(kind, values, a, k), int(count[t]), int(length[t]), k) for t, a, h in zip(text.tolist(), at.tolist(), hashes.view(np.int64).tolist(), strict=True)]
+            columns = list(zip(*rows, strict=True)) or [()] * 7
+            types = (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[x.split()[0] for x in ITEMS.split(", ")])
 
 
 def _place(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -157,21 +176,88 @@ def _field(windows: DataFrame, bits: int) -> np.ndarray:
     return np.unpackbits(out).astype(bool)
 
 
-def _hits(batches: Iterator[pa.RecordBatch], rules: Rules, field: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _hits(batches: Iterator[pa.RecordBatch], rules: Rules, field: np.ndarray, sizes: list[int]) -> Iterator[pa.RecordBatch]:
     hit = pa.struct([("place", pa.int32()), ("window", pa.int64()), ("slots", pa.list_(pa.int64()))])
     for batch in batches:
         for lo, hi, data, offsets in text_blocks(batch.column(2)):
             tokens, kind, values, first = template(data, offsets)
-            text, at, hashes = _windows(tokens, kind, first, rules)
-            found = field[_place(hashes, rules.bits)]
             lists: list[list | None] = [None] * (hi - lo)
-            for t, a, h in zip(text[found].tolist(), at[found].tolist(), hashes[found].view(np.int64).tolist(), strict=True):
-                if lists[t] is None:
-                    lists[t] = []
-                lists[t].append({"place": a - int(first[t]), "window": h, "slots": _slots(kind, values, a, rules.window)})
+            for _, _, k, literals in rules.sizes:
+                if k not in sizes:
+                    continue
+                text, at, hashes = _windows(tokens, kind, first, k, literals)
+                found = field[_place(hashes, rules.bits)]
+                for t, a, h in zip(text[found].tolist(), at[found].tolist(), hashes[found].view(np.int64).tolist(), strict=True):
+                    if lists[t] is None:
+                        lists[t] = []
+                    lists[t].append({"place": a - int(first[t]), "window": h, "slots": _slots(kind, values, a, k)})
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).cast(pa.int64()), batch.column(1).slice(lo, hi - lo), pa.array(lists, pa.list_(hit))], names=["doc_id", "key", "hits"])
 
 
+Hit = tuple[int, int, list]
+
+
+def chains(hits: list[Hit], drift: int) -> list[list[Hit]]:
+    """Hits (place, item place, pairs) that follow each other in both texts: every diagonal's, and the longest from each first hit.
+
+    A step to another diagonal, ``drift`` away at most, costs half a window.
+    """
+    hits = sorted(hits, key=lambda x: x[:2])
+    diagonals: dict[int, list[Hit]] = {}
+    last: dict[int, int] = {}
+    score, back, root, best = [], [], [], {}
+    for x, (place, own, _) in enumerate(hits):
+        d = place - own
+        diagonals.setdefault(d, []).append(hits[x])
+        near = list(last) if len(last) <= 2 * drift else [e for e in range(d - drift, d + drift + 1) if e in last]
+        top, before = 0.0, -1
+        for e in near:
+            y = last[e]
+            if abs(e - d) <= drift and hits[y][0] < place and hits[y][1] < own and score[y] - 0.5 * (e != d) > top:
+                top, before = score[y] - 0.5 * (e != d), y
+        score.append(top + 1)
+        back.append(before)
+        root.append(root[before] if before >= 0 else x)
+        last[d] = x
+        if root[x] not in best or score[x] > score[best[root[x]]]:
+            best[root[x]] = x
+    out = list(diagonals.values())
+    for x in best.values():
+        chain = []
+        while x >= 0:
+            chain.append(hits[x])
+            x = back[x]
+        out.append(chain)
+    return out
+
+
+def _judge(hits: list[Hit], n_windows: int, n_tokens: int, size: int, rules: Rules) -> tuple[float, int] | None:
+    """(coverage, slots) of a document's copy of an item, if there is one."""
+    good = []
+    for chain in chains(hits, n_tokens // 2):
+        pairs = {p for _, _, ps in chain for p in ps}
+        n_slots = len({a for a, _ in pairs})
+        tokens = {i + j for _, i, _ in chain for j in range(size)}
+        if len(chain) >= rules.coverage * n_windows and len(tokens) >= rules.window - 1 and len(pairs) - n_slots <= rules.conflicts * n_slots:
+            good.append((len(chain) / n_windows, n_slots))
+    return (max(c for c, _ in good), max(n for _, n in good)) if good else None
+
+
+LEAKS = "key long, item_id long, coverage double, n_slots int"
+
+
+def _leaks(batches: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            hits = [(h["place"], h["item_place"], [(p["a"], p["b"]) for p in h["pairs"]]) for h in row["hits"]]
+            found = _judge(hits, row["n_windows"], row["n_tokens"], row["size"], rules)
+            if found:
+                out.append((row["key"], row["item_id"], *found))
+        columns = list(zip(*out, strict=True)) or [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.int32()), strict=True)], names=[x.split()[0] for x in LEAKS.split(", ")])
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules | None = None) -> tuple[DataFrame, DataFrame]:
     """(doc_id and key of every row, leaks as key, item_id, coverage, n_slots). A key stands for a text."""
     rules = rules or Rules()
@@ -179,20 +265,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules | None = None
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).mapInArrow(lambda b: _item_windows(b, rules), ITEMS)
     items = materialise(items)
     field = spark.sparkContext.broadcast(_field(items, rules.bits))
+    sizes = [x["size"] for x in items.select("size").distinct().collect()]
     keyed = steady(docs).select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("key"), F.col("text").cast("string"))
-    seen = materialise(keyed.mapInArrow(lambda b: give_back(_hits(b, rules, field.value)), "doc_id long, key long, hits array<struct<place:int,window:long,slots:array<long>>>"))
+    seen = materialise(keyed.mapInArrow(lambda b: give_back(_hits(b, rules, field.value, sizes)), "doc_id long, key long, hits array<struct<place:int,window:long,slots:array<long>>>"))
     hits = seen.where("hits IS NOT NULL").select("key", F.explode("hits").alias("hit")).select("key", "hit.place", "hit.window", F.col("hit.slots").alias("own")).distinct()
     met = hits.join(items.withColumnRenamed("place", "item_place"), "window")
     pairs = F.zip_with("slots", "own", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    runs = (
-        met.select("key", "item_id", (F.col("place") - F.col("item_place")).alias("diagonal"), "item_place", "n_windows", pairs.alias("pairs"))
-        .groupBy("key", "item_id", "diagonal", "n_windows")
-        .agg(F.countDistinct("item_place").alias("n"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    grouped = (
+        met.select("key", "item_id", "n_windows", "n_tokens", "size", F.struct("place", "item_place", pairs.alias("pairs")).alias("hit"))
+        .groupBy("key", "item_id", "n_windows", "n_tokens", "size")
+        .agg(F.collect_list("hit").alias("hits"))
+        .where(F.size(F.array_distinct(F.col("hits.item_place"))) >= rules.coverage * F.col("n_windows"))
     )
-    sources = F.size(F.array_distinct(F.transform("pairs", lambda x: x["a"])))
-    runs = runs.select("key", "item_id", (F.col("n") / F.col("n_windows")).alias("coverage"), sources.alias("n_slots"), (F.size("pairs") - sources).alias("n_conflicts"))
-    good = runs.where((F.col("coverage") >= rules.coverage) & (F.col("n_conflicts") <= rules.conflicts * F.col("n_slots")))
-    return seen.select("doc_id", "key"), good.groupBy("key", "item_id").agg(F.max("coverage").alias("coverage"), F.max("n_slots").alias("n_slots"))
+    leaks = grouped.mapInArrow(lambda b: give_back(_leaks(b, rules)), LEAKS)
+    return seen.select("doc_id", "key"), leaks
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, rules: Rules | None = None) -> DataFrame:
