@@ -2,7 +2,9 @@
 
 A text is judged by its zstandard ratio (compressed bytes / bytes) as a whole
 and in fixed chunks, against limits that depend on its length: text that packs
-too well repeats itself, text that hardly packs is noise. Two counting rules
+too well repeats itself, text that hardly packs is noise. Chunks cover every
+byte: the last one ends with the text and overlaps the one before, and shorter
+texts are cut into smaller chunks with limits of their own. Two counting rules
 (too few words, too many repeated three-word windows) come before the bands.
 
 Defined results: null and empty texts have zero counts, ratio null, fail the
@@ -34,12 +36,14 @@ LEADING[0x80:0xC0] = False
 class Bands:
     """Rows of (shortest length in bytes, lowest ratio, highest ratio); a text takes the last row it reaches.
 
-    ``bad_chunks``: the largest share of chunks that may lie outside ``chunk_band``.
+    ``short_chunks`` are rows of (bytes, lowest ratio, highest ratio) for texts of fewer than two chunks of ``chunk_bytes``.
+    ``bad_chunks``: the largest share of a text that may lie in chunks outside their band.
     """
 
     whole: tuple[tuple[int, float, float], ...] = ((0, 0.02, 1.60), (256, 0.14, 0.95), (1024, 0.14, 0.80), (4096, 0.12, 0.72), (16384, 0.10, 0.68), (65536, 0.08, 0.66))
     chunk_bytes: int = 4096
     chunk_band: tuple[float, float] = (0.10, 0.80)
+    short_chunks: tuple[tuple[int, float, float], ...] = ((256, 0.10, 0.95), (1024, 0.10, 0.88))
     bad_chunks: float = 0.5
     level: int = 3
     min_words: int = 50
@@ -100,17 +104,35 @@ def _limits(length: int, bands: Bands) -> tuple[float, float]:
     return low, high
 
 
+def _chunk_size(length: int, bands: Bands) -> tuple[int, float, float]:
+    """The largest chunk of which a text has two, or the smallest, and its band."""
+    rows = (*bands.short_chunks, (bands.chunk_bytes, *bands.chunk_band))
+    return max((x for x in rows if length >= 2 * x[0]), default=min(rows))
+
+
 def compression(text: bytes, packer: zstandard.ZstdCompressor, bands: Bands) -> tuple[float | None, int, int, bool]:
-    """(whole ratio, chunks, chunks outside the band, verdict). Only full chunks count, so short tails don't."""
+    """(whole ratio, chunks, chunks outside the band, verdict). A text below the smallest chunk is one chunk, judged as a whole.
+
+    A chunk weighs as many bytes as no chunk before it holds.
+    """
     if not text:
         return None, 0, 0, False
-    ratio = len(packer.compress(text)) / len(text)
-    low, high = _limits(len(text), bands)
-    size, bad, chunks = bands.chunk_bytes, 0, len(text) // bands.chunk_bytes
-    for k in range(chunks):
-        part = len(packer.compress(text[k * size : (k + 1) * size])) / size
-        bad += not bands.chunk_band[0] <= part <= bands.chunk_band[1]
-    return ratio, chunks, bad, low <= ratio <= high and bad <= bands.bad_chunks * chunks
+    n = len(text)
+    ratio = len(packer.compress(text)) / n
+    low, high = _limits(n, bands)
+    inside = low <= ratio <= high
+    size, least, most = _chunk_size(n, bands)
+    if n < size:
+        return ratio, 1, int(not inside), inside
+    bad = bad_bytes = chunks = 0
+    for at in range(0, n, size):
+        end = min(at + size, n)
+        part = len(packer.compress(text[end - size : end])) / size
+        chunks += 1
+        if not least <= part <= most:
+            bad += 1
+            bad_bytes += end - at
+    return ratio, chunks, bad, inside and bad_bytes <= bands.bad_chunks * n
 
 
 def _measure(batches: Iterator[pa.RecordBatch], bands: Bands) -> Iterator[pa.RecordBatch]:
