@@ -8,8 +8,9 @@ spelled by byte frequencies, so every text's probability is comparable.
 
 What the model knows is gathered from the whole corpus: word and byte counts of
 every document, then rounds of training in which every task trains a copy on
-its own documents, each giving every ``Shape.stride``-th place, and the copies
-are averaged, weighted by their places. All of this grows with the input; the
+its own documents, and the copies are averaged, weighted by their places. A round
+masks ``1 / rounds`` of the residues of ``Shape.stride``, so that over all rounds
+every word of every document is masked once. All of this grows with the input; the
 model, which is all that reaches the driver, doesn't.
 
 Defined results: null and empty texts, and texts without a word, have no words,
@@ -172,6 +173,15 @@ def _pick(x: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return at - np.log(total), x, total
 
 
+def _sum_rows(context: np.ndarray, d_in: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows of the table that a batch reads, ascending, and the sum of d_in over the words that read each)."""
+    read = context.reshape(-1)
+    order = np.argsort(read.astype(np.uint16) if len(read) and read.max() < 1 << 16 else read, kind="stable")
+    ranked = read[order]
+    begin = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]][: len(ranked)])
+    return ranked[begin], np.add.reduceat(d_in[order // context.shape[1]], begin, axis=0)
+
+
 def log_probs(model: dict, context: np.ndarray, ids: np.ndarray, shape: Shape, grads: dict | None = None) -> np.ndarray:
     """log p(word | both sides) of each word; with ``grads``, also the summed gradients of minus that."""
     h = model["vectors"][context[:, 0]]
@@ -212,7 +222,8 @@ def log_probs(model: dict, context: np.ndarray, ids: np.ndarray, shape: Shape, g
         d_in = (d_h * (1 - h * h)).astype(np.float32)
         grads["bias"] = d_in.sum(0)
         grads["vectors"] = np.zeros_like(model["vectors"])
-        np.add.at(grads["vectors"], context.reshape(-1), np.repeat(d_in, context.shape[1], 0))
+        rows, sums = _sum_rows(context, d_in)
+        grads["vectors"][rows] = sums
     return out
 
 
@@ -237,11 +248,12 @@ class Trainer:
     def step(self, context: np.ndarray, ids: np.ndarray) -> None:
         grads: dict = {}
         log_probs(self.model, context, ids, self.shape, grads)
+        read = np.zeros(len(self.model["vectors"]), bool)
+        read[context.reshape(-1)] = True
         for k, g in grads.items():
-            g = (g / len(ids)).astype(np.float32)
-            if k == "vectors":
-                rows = np.unique(context)
-                g = g[rows]
+            rows = np.flatnonzero(read) if k == "vectors" else None
+            g = ((g if rows is None else g[rows]) / len(ids)).astype(np.float32)
+            if rows is not None:
                 self.squares[k][rows] += g * g
                 self.model[k][rows] -= self.shape.rate * g / np.sqrt(self.squares[k][rows])
             else:
@@ -250,13 +262,18 @@ class Trainer:
         self.places += len(ids)
 
 
+def taught(at: np.ndarray, turn: int, shape: Shape) -> np.ndarray:
+    """Whether a round masks the words at these places of their documents: over all rounds, each place once."""
+    return at % shape.stride % shape.rounds == turn
+
+
 def _train(batches: Iterator[pa.RecordBatch], model: dict, vocabulary: Vocabulary, shape: Shape, turn: int) -> Iterator[pa.RecordBatch]:
     reader, trainer = Reader(vocabulary, shape), Trainer(model, shape)
     for batch in batches:
         for _, _, data, offsets in text_blocks(batch.column(0)):
             ids, _, first = reader.read(data, offsets, spell=False)
             at = np.arange(len(ids)) - np.repeat(first[:-1], np.diff(first))
-            chosen = np.flatnonzero((at + turn * shape.stride // shape.rounds) % shape.stride == 0)
+            chosen = np.flatnonzero(taught(at, turn, shape))
             chosen = chosen[np.argsort(mix(chosen.astype(U64)))]
             context = contexts(ids, first, shape, chosen)
             for i in range(0, len(chosen), shape.batch):

@@ -2,9 +2,12 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 
+from rowkin.llm import pseudo_likelihood
 from rowkin.llm.decontaminate import chains, decontaminate
 from rowkin.llm.quality import Bands, _limits, compression
 
@@ -45,3 +48,15 @@ def test_op9_judges_tails_and_short_texts_by_chunks(prose, noise):
     assert chunks >= 3 and bad > chunks / 2 and not kept
     assert compression(calm[: prose + noise], packer, bands)[2:] == (0, True)
     assert compression(calm[:prose] + text[prose : prose + 200], packer, bands)[3]  # a short noisy tail is tolerated
+
+
+@pytest.mark.parametrize("shape", [pseudo_likelihood.Shape(), pseudo_likelihood.Shape(stride=5, rounds=3), pseudo_likelihood.Shape(stride=1, rounds=1)])
+def test_op7_rounds_mask_every_word_once(shape):
+    texts = ["one two three four", "five", "", " ".join(f"w{i}" for i in range(37))]
+    vocabulary = pseudo_likelihood.Vocabulary(np.zeros(0, np.uint64), np.zeros(256), np.ones(shape.size))
+    model = pseudo_likelihood.start_model(vocabulary, shape)
+    places = 0
+    for turn in range(shape.rounds):
+        for out in pseudo_likelihood._train(iter([pa.record_batch([pa.array(texts)], names=["text"])]), model, vocabulary, shape, turn):
+            places += out.column(1)[0].as_py()
+    assert places == 4 + 1 + 37
