@@ -1,8 +1,9 @@
 """Operator 3, personal data by exact patterns and a skip-chain conditional random field.
 
 Patterns give the base spans (email, ip, card, phone). The field labels tokens
-that could be personal at all (they hold a digit or an @, or stand beside such
-a token or a cue word); every other token is plain and cuts the chain. Its
+that could be personal at all (they hold a digit or an @, a cue word announces
+them, as in "password: x", "token=x" and "username x", or they repeat the name or
+value of such a token); every other token is plain and cuts the chain. Its
 potentials join neighbours in the chain and, across any distance, tokens of one
 document that are the same or similar; loopy belief propagation carries what is
 certain at one place to the others. Tokens it labels become further spans.
@@ -96,6 +97,30 @@ _TRIM = "\"'.,;:!?()[]{}<>"
 #: Words that announce a kind.
 CUES = {"email": {"email", "e-mail", "mail", "contact"}, "ip": {"ip", "address", "host", "server"}, "card": {"card", "visa", "mastercard", "credit"}, "phone": {"phone", "tel", "call", "mobile", "fax"}, "secret": {"password", "passwd", "token", "secret", "key", "apikey", "api_key"}, "handle": {"user", "username", "login", "account", "id"}}
 _KEYED = re.compile(r"(?i)(?:password|passwd|pwd|token|secret|api_?key|key)\W*[=:]\W*")
+#: Words that announce the next token whatever it is made of: those that do so with = or :, and those that need no sign.
+_SAID = ("password", "passwd", "pwd", "token", "secret", "apikey", "api_key", "username", "user", "login")
+_BARE = ("password", "passwd", "apikey", "api_key", "username", "login")
+_ANNOUNCED = re.compile(rf"(?i)(?<![a-z0-9])(?:(?:{'|'.join(_SAID)})[\"']?\s*[=:]\s*|key=|(?:{'|'.join(_BARE)})\s+)(?=([^\s]+))")
+#: Words that follow a cue in plain sentences.
+_FUNCTION = frozenset("is was are be and or for of to in the a an as with on at not must should can could will would has have had may that which this by from your my our his her their its it if when reset field page name".split())
+
+
+def _announced(text: str) -> list[tuple[int, int]]:
+    """Tokens without a digit or @ that a cue word announces."""
+    low = text.lower()
+    if not any(w in low for w in (*_SAID, "key=")):
+        return []
+    out = set()
+    for m in _ANNOUNCED.finditer(text):
+        a, b = m.span(1)
+        value = m.group(1).strip(_TRIM)
+        if len(value) < 3 or value.lower() in _FUNCTION or "=" in value:
+            continue
+        while a and not text[a - 1].isspace():
+            a -= 1
+        if not _CANDIDATE.match(text[a:b]):
+            out.add((a, b))
+    return sorted(out)
 
 
 def shape(token: str) -> list[str]:
@@ -206,21 +231,22 @@ class Graph:
     skip: list[tuple[int, int]]
 
 
-def _digits_or_at(text: str) -> bool:
-    return _CANDIDATE.search(text) is not None
+def _has_nodes(text: str) -> bool:
+    return _CANDIDATE.search(text) is not None or bool(_announced(text))
 
 
 def graph_of(text: str) -> Graph:
     """Nodes in text order; chain edges join neighbours, skip edges each token to the previous one with the same key."""
-    spans = [m.span() for m in _CANDIDATE.finditer(text)]
+    said = set(_announced(text))
+    spans = sorted([*(m.span() for m in _CANDIDATE.finditer(text)), *said])
     before = [text[max(0, a - 48) : a].split()[-3:] for a, _ in spans]
     named = {k for a, b in spans for k in similar_keys(text[a:b]) if k[0] == "n" and not k[2:].isdigit()}
-    tokens, features = list(spans), [shape(text[a:b]) + cues(w) for (a, b), w in zip(spans, before, strict=True)]
-    wanted = {k[2:] for k in named if k[2:].isalpha()}
-    if wanted:  # plain words that repeat the name of an address
+    tokens, features = list(spans), [shape(text[a:b]) + cues(w) + ["said"] * ((a, b) in said) for (a, b), w in zip(spans, before, strict=True)]
+    wanted = {k[2:] for k in named if not _CANDIDATE.match(k[2:])} | {k[2:] for a, b in said for k in similar_keys(text[a:b])}
+    if wanted:  # other words that repeat the name of an address or what was announced
         for m in _WORD.finditer(text):
             core = m.group().strip(_TRIM).lower()
-            if core in wanted and not _CANDIDATE.match(m.group()):
+            if core in wanted and m.span() not in said and not _CANDIDATE.match(m.group()):
                 tokens.append(m.span())
                 features.append(shape(m.group()) + cues(text[max(0, m.start() - 48) : m.start()].split()[-3:]))
     order = sorted(range(len(tokens)), key=lambda i: tokens[i])
@@ -286,6 +312,12 @@ def _generated(n: int, seed: int) -> list[tuple[Graph, list[int]]]:
             if kind == "handle" or r.rand() < 0.25:
                 words.append(str(r.choice(sorted(CUES[kind]))))
             text, core = make(kind)
+            if kind in ("secret", "handle") and r.rand() < 0.25:  # letters alone, told by a cue word
+                core = letters(4, 20) if kind == "secret" else letters(3, 9)
+                cue, sign = str(r.choice(["password", "token", "secret", "api_key"] if kind == "secret" else ["username", "login", "user"])), r.rand()
+                text = f"{cue}={core}" if sign < 0.4 else core
+                if sign >= 0.4:
+                    words.append(f"{cue}:" if sign < 0.7 or cue not in _BARE else cue)
             say(text, LABELS.index(kind))
             if r.rand() < 0.5:
                 for _ in range(r.randint(1, 6)):
@@ -375,7 +407,7 @@ def field_spans(text: str, field: Field, taken: list[Span], least: float = 0.5)
 
 def all_spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans): by kind as listed in LABELS, then start."""
-    if not _digits_or_at(text):
+    if not _has_nodes(text):
         return [], []
     base = base_spans(text)
     more = field_spans(text, field, base)

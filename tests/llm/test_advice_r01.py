@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 import zstandard
 
-from rowkin.llm import pseudo_likelihood
+from rowkin.llm import pii, pseudo_likelihood
 from rowkin.llm.decontaminate import chains, decontaminate
 from rowkin.llm.quality import Bands, _limits, compression
 
@@ -60,3 +60,14 @@ def test_op7_rounds_mask_every_word_once(shape):
         for out in pseudo_likelihood._train(iter([pa.record_batch([pa.array(texts)], names=["text"])]), model, vocabulary, shape, turn):
             places += out.column(1)[0].as_py()
     assert places == 4 + 1 + 37
+
+
+@pytest.mark.parametrize(("told", "value", "kind"), [("password: ", "correcthorsebattery", "secret"), ("token=", "abcdefghijklmnop", "secret"), ("username ", "alice", "handle"), ("secret = ", "correct-horse-battery", "secret"), ("login: ", "marlowe", "handle")])
+def test_op3_finds_secrets_and_handles_of_letters_alone(told, value, kind):
+    field = pii.train()
+    text = f"write it down, {told}{value} and go. " + f"they saw {value} again. " * 9
+    _, every = pii.all_spans(text, field)
+    assert {k for k, _, _ in every} == {kind} and len(every) == 10
+    assert value not in pii.masked(text, every)
+    for plain in ("the password is kept in the drawer", "the key point and the user manual", "the login page and a token of thanks"):
+        assert pii.all_spans(plain, field) == ([], [])
