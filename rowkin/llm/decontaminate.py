@@ -11,13 +11,17 @@ same shape isn't. A chain may step to another diagonal (document place minus
 item place) by up to half the item's tokens, so words put in, left out or
 replaced don't break it; two copies of an item are further apart.
 
+An item without such windows (too short, or of slots alone) is matched as a
+whole: its words, lower-cased, must stand in the document one after another, and
+signs of longer UTF-8 sequences are words of their own in both. Two windows whose
+length is a power of two, from its start and to its end, hold all of its words.
+An item of fewer than ``Rules.whole`` words must be the whole document.
+
 Documents are filtered against a bit field of fixed size over the windows of
 all items before the join, whatever the benchmark's size; a false bit costs a
 row, never a result.
 
-Defined results: null and empty texts, and texts of fewer tokens than a window,
-are clean; an item shorter than a window, or of slots alone, can't be told from
-chance and matches nothing. Repeated rows get the same verdict each. Ties: item ids
+Defined results: null and empty texts and items are clean and match nothing. Repeated rows get the same verdict each. Ties: item ids
 are listed in ascending order. Extra columns are ignored. Empty tables: all
 documents are clean, or no rows.
 """
@@ -42,6 +46,7 @@ class Rules:
     shorter: tuple[tuple[int, int, int], ...] = ((14, 3, 1), (23, 5, 2))  # items of fewer tokens: window, literals; a word replaced in the middle leaves half of the windows
     coverage: float = 0.5  # share of an item's windows
     conflicts: float = 0.2  # share of slot values that may map to more than one
+    whole: int = 3  # words that an item without windows needs to be found inside a document
     bits: int = 24  # 2 MB
     broadcast_rows: int = 1_000_000
 
@@ -128,12 +133,51 @@ def _windows(tokens: np.ndarray, kind: np.ndarray, first: np.ndarray, k: int, li
     return text[good], good, hashes[good]
 
 
+def plain_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of words, each sign beyond ASCII a word of its own, and each text's first word."""
+    n = len(data)
+    inside = ~NOT_ALNUM[data]
+    wide = data >= 0x80
+    edge = np.zeros(n + 1, bool)
+    edge[offsets] = True
+    begins = inside & edge[:-1]
+    begins[1:] |= inside[1:] & (~inside[:-1] | (wide[1:] != wide[:-1]))
+    begins |= data >= 0xC0
+    start = np.flatnonzero(begins)
+    ends = np.zeros(n + 1, bool)
+    ends[start] = True
+    ends[:-1] |= ~inside
+    ends |= edge
+    stops = np.flatnonzero(ends)
+    end = stops[np.searchsorted(stops, start, "right")] if len(start) else start
+    return span_hash(prefix_sums(data, LOWER_VALUES), start, end), np.searchsorted(start, offsets)
+
+
+def _power_below(n: int) -> int:
+    return 1 << (n.bit_length() - 1)
+
+
+def _whole_windows(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, place and hash of every k words of a text, by doubling: k is a power of two."""
+    n = len(words)
+    if n < k:
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(0, U64)
+    hashes, size = mix(words ^ U64(0x5851F42D4C957F2D)), 1
+    while size < k:
+        hashes = mix(hashes[: len(hashes) - size] * U64(0x9E3779B97F4A7C15) + hashes[size:])
+        size *= 2
+    text = owners(first)
+    good = np.flatnonzero(text[: n - k + 1] == text[k - 1 :])
+    return text[good], good, hashes[good]
+
+
 def _slots(kind: np.ndarray, values: np.ndarray, at: int, k: int) -> list[int]:
     part = slice(at, at + k)
     return values[part][kind[part] != WORD].view(np.int64).tolist()
 
 
-ITEMS = "item_id long, place int, window long, slots array<long>, n_windows int, n_tokens int, size int"
+ITEMS = "item_id long, place int, window long, slots array<long>, n_windows int, n_tokens int, size int, whole int"
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[pa.RecordBatch]:
@@ -142,15 +186,22 @@ def _item_windows(batches: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[p
             ids = batch.column(0).slice(lo, hi - lo).to_pylist()
             tokens, kind, values, first = template(data, offsets)
             length = np.diff(first)
-            rows = []
+            rows, windowed = [], np.zeros(hi - lo, bool)
             for low, below, k, literals in rules.sizes:
                 text, at, hashes = _windows(tokens, kind, first, k, literals)
                 own = (length[text] >= low) & (length[text] < below)
                 text, at, hashes = text[own], at[own], hashes[own]
                 count = np.bincount(text, minlength=hi - lo)
-                rows += [(ids[t], a - int(first[t]), h, _slots(kind, values, a, k), int(count[t]), int(length[t]), k) for t, a, h in zip(text.tolist(), at.tolist(), hashes.view(np.int64).tolist(), strict=True)]
-            columns = list(zip(*rows, strict=True)) or [()] * 7
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.int32())
+                windowed |= count > 0
+                rows += [(ids[t], a - int(first[t]), h, _slots(kind, values, a, k), int(count[t]), int(length[t]), k, 0) for t, a, h in zip(text.tolist(), at.tolist(), hashes.view(np.int64).tolist(), strict=True)]
+            words, at = plain_words(data, offsets)
+            for t in np.flatnonzero(~windowed & (np.diff(at) > 0)).tolist():
+                own, n = words[at[t] : at[t + 1]], int(at[t + 1] - at[t])
+                k = _power_below(n)
+                ends = _whole_windows(own, np.array([0, n]), k)[2].view(np.int64)
+                rows += [(ids[t], place, int(ends[place]), [], len({0, n - k}), n, k, n) for place in sorted({0, n - k})]
+            columns = list(zip(*rows, strict=True)) or [()] * 8
+            types = (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[x.split()[0] for x in ITEMS.split(", ")])
 
 
@@ -176,8 +227,8 @@ def _field(windows: DataFrame, bits: int) -> np.ndarray:
     return np.unpackbits(out).astype(bool)
 
 
-def _hits(batches: Iterator[pa.RecordBatch], rules: Rules, field: np.ndarray, sizes: list[int]) -> Iterator[pa.RecordBatch]:
-    hit = pa.struct([("place", pa.int32()), ("window", pa.int64()), ("slots", pa.list_(pa.int64()))])
+def _hits(batches: Iterator[pa.RecordBatch], rules: Rules, field: np.ndarray, sizes: list[int], wholes: list[int]) -> Iterator[pa.RecordBatch]:
+    hit = pa.struct([("place", pa.int32()), ("n_words", pa.int32()), ("window", pa.int64()), ("slots", pa.list_(pa.int64()))])
     for batch in batches:
         for lo, hi, data, offsets in text_blocks(batch.column(2)):
             tokens, kind, values, first = template(data, offsets)
@@ -190,7 +241,16 @@ def _hits(batches: Iterator[pa.RecordBatch], rules: Rules, field: np.ndarray, si
                 for t, a, h in zip(text[found].tolist(), at[found].tolist(), hashes[found].view(np.int64).tolist(), strict=True):
                     if lists[t] is None:
                         lists[t] = []
-                    lists[t].append({"place": a - int(first[t]), "window": h, "slots": _slots(kind, values, a, k)})
+                    lists[t].append({"place": a - int(first[t]), "n_words": 0, "window": h, "slots": _slots(kind, values, a, k)})
+            if wholes:
+                words, begin = plain_words(data, offsets)
+                for k in wholes:
+                    text, at, hashes = _whole_windows(words, begin, k)
+                    found = field[_place(hashes, rules.bits)]
+                    for t, a, h in zip(text[found].tolist(), at[found].tolist(), hashes[found].view(np.int64).tolist(), strict=True):
+                        if lists[t] is None:
+                            lists[t] = []
+                        lists[t].append({"place": a - int(begin[t]), "n_words": int(begin[t + 1] - begin[t]), "window": h, "slots": []})
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).cast(pa.int64()), batch.column(1).slice(lo, hi - lo), pa.array(lists, pa.list_(hit))], names=["doc_id", "key", "hits"])
 
 
@@ -231,8 +291,14 @@ def chains(hits: list[Hit], drift: int) -> list[list[Hit]]:
     return out
 
 
-def _judge(hits: list[Hit], n_windows: int, n_tokens: int, size: int, rules: Rules) -> tuple[float, int] | None:
+def _judge(hits: list[Hit], n_windows: int, n_tokens: int, size: int, whole: int, n_words: int, rules: Rules) -> tuple[float, int] | None:
     """(coverage, slots) of a document's copy of an item, if there is one."""
+    if whole:
+        places: dict[int, set[int]] = {}
+        for place, own, _ in hits:
+            places.setdefault(place - own, set()).add(own)
+        inside = whole >= rules.whole or n_words == whole
+        return (1.0, 0) if inside and max(map(len, places.values())) == n_windows else None
     good = []
     for chain in chains(hits, n_tokens // 2):
         pairs = {p for _, _, ps in chain for p in ps}
@@ -251,7 +317,7 @@ def _leaks(batches: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[pa.Recor
         out = []
         for row in batch.to_pylist():
             hits = [(h["place"], h["item_place"], [(p["a"], p["b"]) for p in h["pairs"]]) for h in row["hits"]]
-            found = _judge(hits, row["n_windows"], row["n_tokens"], row["size"], rules)
+            found = _judge(hits, row["n_windows"], row["n_tokens"], row["size"], row["whole"], row["n_words"], rules)
             if found:
                 out.append((row["key"], row["item_id"], *found))
         columns = list(zip(*out, strict=True)) or [()] * 4
@@ -265,15 +331,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules | None = None
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).mapInArrow(lambda b: _item_windows(b, rules), ITEMS)
     items = materialise(items)
     field = spark.sparkContext.broadcast(_field(items, rules.bits))
-    sizes = [x["size"] for x in items.select("size").distinct().collect()]
+    used = items.select("size", (F.col("whole") > 0).alias("whole")).distinct().collect()
+    sizes, wholes = [x["size"] for x in used if not x["whole"]], sorted(x["size"] for x in used if x["whole"])
     keyed = steady(docs).select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("key"), F.col("text").cast("string"))
-    seen = materialise(keyed.mapInArrow(lambda b: give_back(_hits(b, rules, field.value, sizes)), "doc_id long, key long, hits array<struct<place:int,window:long,slots:array<long>>>"))
-    hits = seen.where("hits IS NOT NULL").select("key", F.explode("hits").alias("hit")).select("key", "hit.place", "hit.window", F.col("hit.slots").alias("own")).distinct()
+    seen = materialise(keyed.mapInArrow(lambda b: give_back(_hits(b, rules, field.value, sizes, wholes)), "doc_id long, key long, hits array<struct<place:int,n_words:int,window:long,slots:array<long>>>"))
+    hits = seen.where("hits IS NOT NULL").select("key", F.explode("hits").alias("hit")).select("key", "hit.place", "hit.n_words", "hit.window", F.col("hit.slots").alias("own")).distinct()
     met = hits.join(items.withColumnRenamed("place", "item_place"), "window")
     pairs = F.zip_with("slots", "own", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     grouped = (
-        met.select("key", "item_id", "n_windows", "n_tokens", "size", F.struct("place", "item_place", pairs.alias("pairs")).alias("hit"))
-        .groupBy("key", "item_id", "n_windows", "n_tokens", "size")
+        met.select("key", "item_id", "n_windows", "n_tokens", "size", "whole", "n_words", F.struct("place", "item_place", pairs.alias("pairs")).alias("hit"))
+        .groupBy("key", "item_id", "n_windows", "n_tokens", "size", "whole", "n_words")
         .agg(F.collect_list("hit").alias("hits"))
         .where(F.size(F.array_distinct(F.col("hits.item_place"))) >= rules.coverage * F.col("n_windows"))
     )

@@ -71,3 +71,12 @@ def test_op3_finds_secrets_and_handles_of_letters_alone(told, value, kind):
     assert value not in pii.masked(text, every)
     for plain in ("the password is kept in the drawer", "the key point and the user manual", "the login page and a token of thanks"):
         assert pii.all_spans(plain, field) == ([], [])
+
+
+def test_op2_finds_whole_items_without_windows(spark):
+    items = {1: "12 15 18 21 24 27 30 33", 2: "Name three primes", 3: "今天天气怎么样呢", 4: "yes", 5: "Paris Rome London Madrid Lisbon"}
+    texts = {1: "we had 12, 15, 18, 21, 24, 27, 30, 33 in a row", 2: "so: name THREE primes!", 3: "他问今天天气怎么样呢然后走了", 4: "Yes.", 5: "they saw Paris, Rome, London, Madrid, Lisbon",
+             6: "yes it is", 7: "we had 12, 15, 18, 21, 24, 27, 30, 34 in a row", 8: "name two primes", 9: "今天天气怎么样", 10: "Rome Paris London Madrid Lisbon", 11: None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {x.doc_id: x.item_ids for x in decontaminate(docs, spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()}
+    assert got == {i: str(i) if i <= 5 else "" for i in texts}
