@@ -463,7 +463,7 @@ def ledger_union(spark: SparkSession, d: str) -> DataFrame:
 def bootstrap_ci(spark: SparkSession, d: str) -> DataFrame:
     per = _counts(spark, d)
     delta = per.select("s", (M.f05(F.col("t"), F.col("k"), F.col("tp")) - M.f05(F.col("t"), F.col("r"), F.col("r"))).alias("delta"))
-    return R.paired_bootstrap(delta, 100)
+    return R.paired_bootstrap(delta, 1000)
 
 
 def _training(spark: SparkSession, d: str) -> DataFrame:
@@ -474,7 +474,7 @@ def _training(spark: SparkSession, d: str) -> DataFrame:
 
 def gbt_crossfit(spark: SparkSession, d: str) -> DataFrame:
     rows = _training(spark, d)
-    out = learner.cross_fit(rows, 2, lambda r, g: learner.fit_gbt(r, 42 + g, rounds=3, depth=3))
+    out = learner.cross_fit(rows, 2, lambda r, g: learner.fit_gbt(r, 42 + g))
     return out.select("s", "q", "label", "p", "train")
 
 

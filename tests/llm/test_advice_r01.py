@@ -80,3 +80,15 @@ def test_op2_finds_whole_items_without_windows(spark):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {x.doc_id: x.item_ids for x in decontaminate(docs, spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()}
     assert got == {i: str(i) if i <= 5 else "" for i in texts}
+
+
+def test_resampling_and_cross_fitting_use_full_settings(spark, monkeypatch):
+    from rowkin.plans import pair_queries as P
+
+    monkeypatch.setattr(P.R, "paired_bootstrap", lambda delta, replicates=200: replicates)
+    assert P.bootstrap_ci(spark, "/root/testdata/sf0.001") == 1000
+    said = []
+    monkeypatch.setattr(P.learner, "fit_gbt", lambda rows, seed, **options: said.append(options))
+    monkeypatch.setattr(P.learner, "cross_fit", lambda rows, k, fit: fit(rows, 0) or rows.selectExpr("s", "q", "label", "p0 AS p", "train"))
+    P.gbt_crossfit(spark, "/root/testdata/sf0.001")
+    assert said == [{}]
