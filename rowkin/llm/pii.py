@@ -91,8 +91,9 @@ def base_spans(text: str) -> list[Span]:
 
 # ---- the field ----
 
-_CANDIDATE = re.compile(r"[^\s]*[0-9@][^\s]*")
-_WORD = re.compile(r"[^\s]+")
+_MARK = re.compile(r"[0-9@]")
+_MARKED = re.compile(r"[0-9@]\S*+")  # from a token's first mark to its end
+_WORD = re.compile(r"\S++")
 _TRIM = "\"'.,;:!?()[]{}<>"
 #: Words that announce a kind.
 CUES = {"email": {"email", "e-mail", "mail", "contact"}, "ip": {"ip", "address", "host", "server"}, "card": {"card", "visa", "mastercard", "credit"}, "phone": {"phone", "tel", "call", "mobile", "fax"}, "secret": {"password", "passwd", "token", "secret", "key", "apikey", "api_key"}, "handle": {"user", "username", "login", "account", "id"}}
@@ -100,27 +101,42 @@ _KEYED = re.compile(r"(?i)(?:password|passwd|pwd|token|secret|api_?key|key)\W*[=
 #: Words that announce the next token whatever it is made of: those that do so with = or :, and those that need no sign.
 _SAID = ("password", "passwd", "pwd", "token", "secret", "apikey", "api_key", "username", "user", "login")
 _BARE = ("password", "passwd", "apikey", "api_key", "username", "login")
-_ANNOUNCED = re.compile(rf"(?i)(?<![a-z0-9])(?:(?:{'|'.join(_SAID)})[\"']?\s*[=:]\s*|key=|(?:{'|'.join(_BARE)})\s+)(?=([^\s]+))")
+_CUE = re.compile(rf"(?i)(?<![a-z0-9])(?:(?:{'|'.join(_SAID)})[\"']?\s*+[=:]\s*+|key=|(?:{'|'.join(_BARE)})\s++)(?=\S)")
 #: Words that follow a cue in plain sentences.
 _FUNCTION = frozenset("is was are be and or for of to in the a an as with on at not must should can could will would has have had may that which this by from your my our his her their its it if when reset field page name".split())
 
 
+def _token_start(text: str, at: int) -> int:
+    while at and not text[at - 1].isspace():
+        at -= 1
+    return at
+
+
+def _candidates(text: str) -> list[tuple[int, int]]:
+    """Tokens with a digit or @. Each sign is looked at a bounded number of times, however long a token is."""
+    return [(_token_start(text, m.start()), m.end()) for m in _MARKED.finditer(text)]
+
+
 def _announced(text: str) -> list[tuple[int, int]]:
-    """Tokens without a digit or @ that a cue word announces."""
+    """Tokens without a digit or @ that a cue word announces; of several cues inside one token, those after its last = count."""
     low = text.lower()
     if not any(w in low for w in (*_SAID, "key=")):
         return []
-    out = set()
-    for m in _ANNOUNCED.finditer(text):
-        a, b = m.span(1)
-        value = m.group(1).strip(_TRIM)
-        if len(value) < 3 or value.lower() in _FUNCTION or "=" in value:
+    out: list[tuple[int, int]] = []
+    begin = end = last = -1  # of the token that was looked at last: its bounds, its last =
+    taken = False
+    for m in _CUE.finditer(text):
+        a = m.end()
+        if a >= end:
+            begin, end = _token_start(text, a), _WORD.match(text, a).end()
+            last, taken = text.rfind("=", a, end), _MARK.search(text, begin, end) is not None
+        if taken or last >= a:
             continue
-        while a and not text[a - 1].isspace():
-            a -= 1
-        if not _CANDIDATE.match(text[a:b]):
-            out.add((a, b))
-    return sorted(out)
+        value = text[a:end].strip(_TRIM)
+        if len(value) >= 3 and not (len(value) <= 8 and value.lower() in _FUNCTION):
+            out.append((begin, end))
+            taken = True
+    return out
 
 
 def shape(token: str) -> list[str]:
@@ -139,6 +155,7 @@ def shape(token: str) -> list[str]:
         out.append("plus")
     if digits >= 12 and digits == len(core.replace("-", "")):
         out.append("longnum")
+        out.append("luhn" if luhn("".join(c for c in core if c in "0123456789")) else "noluhn")
     if "." in core and digits and digits < n and "@" not in core and core[:1].isalpha():
         out.append("dotname")
     if _KEYED.search(token):
@@ -180,6 +197,10 @@ def similar_keys(token: str) -> list[str]:
     return keys
 
 
+#: Edges whose messages are computed at once.
+EDGES = 1 << 14
+
+
 @dataclass
 class Field:
     """unary: feature -> weight per label; chain, skip: label by label."""
@@ -199,18 +220,21 @@ class Field:
         pairs = np.array([*chain, *skip], np.int64).reshape(-1, 2)
         if not len(pairs):
             return _softmax(unary)
-        weight = np.concatenate([np.repeat(self.chain[None], len(chain), 0), np.repeat(self.skip[None], len(skip), 0)])
+        pair = np.stack([self.chain, self.skip, self.chain.T, self.skip.T])
+        kind = np.repeat([0, 1, 2, 3], [len(chain), len(skip), len(chain), len(skip)])
         src = np.concatenate([pairs[:, 0], pairs[:, 1]])
         dst = np.concatenate([pairs[:, 1], pairs[:, 0]])
-        weight = np.concatenate([weight, weight.transpose(0, 2, 1)])
         back = (np.arange(len(src)) + len(pairs)) % len(src)
         messages = np.zeros((len(src), len(LABELS)))
         for _ in range(self.rounds):
             belief = unary.copy()
             np.add.at(belief, dst, messages)
-            cavity = (belief[src] - messages[back])[:, :, None] + weight
-            top = cavity.max(1, keepdims=True)
-            new = np.log(np.exp(cavity - top).sum(1)) + top[:, 0]
+            new = np.empty_like(messages)
+            for i in range(0, len(src), EDGES):
+                some = slice(i, i + EDGES)
+                cavity = (belief[src[some]] - messages[back[some]])[:, :, None] + pair[kind[some]]
+                top = cavity.max(1, keepdims=True)
+                new[some] = np.log(np.exp(cavity - top).sum(1)) + top[:, 0]
             new -= new.max(1, keepdims=True)
             messages = 0.5 * messages + 0.5 * new
         belief = unary.copy()
@@ -232,21 +256,21 @@ class Graph:
 
 
 def _has_nodes(text: str) -> bool:
-    return _CANDIDATE.search(text) is not None or bool(_announced(text))
+    return _MARK.search(text) is not None or bool(_announced(text))
 
 
 def graph_of(text: str) -> Graph:
     """Nodes in text order; chain edges join neighbours, skip edges each token to the previous one with the same key."""
     said = set(_announced(text))
-    spans = sorted([*(m.span() for m in _CANDIDATE.finditer(text)), *said])
+    spans = sorted([*_candidates(text), *said])
     before = [text[max(0, a - 48) : a].split()[-3:] for a, _ in spans]
     named = {k for a, b in spans for k in similar_keys(text[a:b]) if k[0] == "n" and not k[2:].isdigit()}
     tokens, features = list(spans), [shape(text[a:b]) + cues(w) + ["said"] * ((a, b) in said) for (a, b), w in zip(spans, before, strict=True)]
-    wanted = {k[2:] for k in named if not _CANDIDATE.match(k[2:])} | {k[2:] for a, b in said for k in similar_keys(text[a:b])}
+    wanted = {k[2:] for k in named if not _MARK.search(k[2:])} | {k[2:] for a, b in said for k in similar_keys(text[a:b])}
     if wanted:  # other words that repeat the name of an address or what was announced
         for m in _WORD.finditer(text):
             core = m.group().strip(_TRIM).lower()
-            if core in wanted and m.span() not in said and not _CANDIDATE.match(m.group()):
+            if core in wanted and m.span() not in said and not _MARK.search(m.group()):
                 tokens.append(m.span())
                 features.append(shape(m.group()) + cues(text[max(0, m.start() - 48) : m.start()].split()[-3:]))
     order = sorted(range(len(tokens)), key=lambda i: tokens[i])
@@ -272,15 +296,21 @@ def _generated(n: int, seed: int) -> list[tuple[Graph, list[int]]]:
     def number(k: int) -> str:
         return "".join(str(x) for x in r.randint(0, 10, k))
 
+    def long_number(valid: bool) -> str:
+        """Sixteen digits that pass the check sum of cards, or don't."""
+        body = number(15)
+        right = next(c for c in "0123456789" if luhn(body + c))
+        return body + (right if valid else str((int(right) + r.randint(1, 10)) % 10))
+
     def make(kind: str) -> tuple[str, str]:
         """(text, core that may be repeated later)"""
         if kind == "email":
             name = f"{letters(3, 9)}.{number(2)}" if r.rand() < 0.6 else letters(4, 10)
             return f"{name}@{letters(3, 8)}.{letters(2, 3)}", name
-        if kind == "ip":
+        if kind == "card":
+            t = long_number(True)
+        elif kind == "ip":
             t = ".".join(str(x) for x in r.randint(0, 256, 4))
-        elif kind == "card":
-            t = number(16)
         elif kind == "phone":
             t = f"+{number(11)}"
         elif kind == "secret":
@@ -306,7 +336,7 @@ def _generated(n: int, seed: int) -> list[tuple[Graph, list[int]]]:
                 words.append(letters(1, 9))
             roll = r.rand()
             if roll < 0.3:
-                say(str(r.choice([number(r.randint(1, 4)), f"{r.randint(1800, 2030)}", f"{number(1)}.{number(2)}", f"{number(2)}%", f"{letters(2, 5)}{number(1)}", f"{number(2)}-{number(2)}", f"v{number(1)}.{number(1)}.{number(1)}"])), 0)
+                say(str(r.choice([number(r.randint(1, 4)), f"{r.randint(1800, 2030)}", f"{number(1)}.{number(2)}", f"{number(2)}%", f"{letters(2, 5)}{number(1)}", f"{number(2)}-{number(2)}", f"v{number(1)}.{number(1)}.{number(1)}", long_number(False), number(r.randint(7, 15))])), 0)
                 continue
             kind = LABELS[r.randint(1, len(LABELS))]
             if kind == "handle" or r.rand() < 0.25:
