@@ -1,9 +1,10 @@
 """Operator 10, license scans by ordered signature rules, in DataFrame functions alone.
 
-A cheap pattern over the raw text finds texts that hold any gate word at all.
-Only these are cut into words; the gate words they hold select rules, each
-rule's regular expression runs over the words, and of detections that overlap,
-one contained in another of the same or a higher priority is dropped.
+The signatures stand in ``license_rules``. A cheap pattern over the raw text finds
+texts that hold any gate word at all. Only these are cut into words; the gate
+words they hold select rules, each rule's regular expression runs over the words,
+and of detections that overlap, one contained in another of the same or a higher
+priority is dropped. Time is linear in the text and in its detections.
 
 Defined results: a null text is empty: no words, no labels, score 0. Repeated
 rows are scanned one by one. Detections of the same place and priority: the
@@ -17,53 +18,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowkin.llm.license_rules import table
+
 #: A word, before A-Z are lower-cased.
 WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]++"
 
-#: Fixed values: (label, name as words, versions, other names). Rules are built from these.
-FAMILIES = (
-    ("mit", "mit", (), ("expat",)),
-    ("x11", "x11", (), ("mit x11",)),
-    ("isc", "isc", (), ("internet systems consortium",)),
-    ("apache", "apache", ("1 0", "1 1", "2 0"), ("apache software", "asl")),
-    ("gpl", "gnu general public", ("1", "2", "3"), ("gpl", "gnu gpl", "general public")),
-    ("lgpl", "gnu lesser general public", ("2", "2 1", "3"), ("lgpl", "gnu lgpl", "gnu library general public")),
-    ("agpl", "gnu affero general public", ("1", "3"), ("agpl", "gnu agpl", "affero general public")),
-    ("gfdl", "gnu free documentation", ("1 1", "1 2", "1 3"), ("gfdl", "gnu fdl")),
-    ("mpl", "mozilla public", ("1 0", "1 1", "2 0"), ("mpl",)),
-    ("epl", "eclipse public", ("1 0", "2 0"), ("epl",)),
-    ("cddl", "common development and distribution", ("1 0", "1 1"), ("cddl",)),
-    ("cpl", "common public", ("1 0",), ("cpl",)),
-    ("eupl", "european union public", ("1 1", "1 2"), ("eupl",)),
-    ("bsl", "boost software", ("1 0",), ("bsl",)),
-    ("artistic", "artistic", ("1 0", "2 0"), ("perl artistic",)),
-    ("zlib", "zlib", (), ("zlib libpng",)),
-    ("python", "python software foundation", ("2",), ("psf",)),
-    ("php", "php", ("3 0", "3 01"), ()),
-    ("w3c", "w3c software notice", (), ("w3c",)),
-    ("ofl", "sil open font", ("1 0", "1 1"), ("ofl", "open font")),
-    ("unlicense", "unlicense", (), ("the unlicense",)),
-    ("wtfpl", "wtfpl", ("2",), ()),
-    ("odbl", "open database", ("1 0",), ("odbl",)),
-    ("bsd", "bsd", ("2 clause", "3 clause", "4 clause"), ("modified bsd", "new bsd", "simplified bsd")),
-    ("ms-pl", "microsoft public", (), ("ms pl",)),
-    ("openssl", "openssl", (), ("ssleay",)),
-)
-#: Creative Commons terms and versions.
-CC_TERMS, CC_VERSIONS = ("by", "by sa", "by nc", "by nd", "by nc sa", "by nc nd"), ("1 0", "2 0", "2 5", "3 0", "4 0")
-#: Fixed values: (label, gate, pattern, priority, confidence) of sentences without a license's name.
-SENTENCES = (
-    ("mit", "permission", "permission is hereby granted free of charge to any person obtaining a copy", 4, 0.95),
-    ("isc", "permission", "permission to use copy modify and or distribute this software for any purpose", 4, 0.95),
-    ("bsd", "redistribution", "redistribution and use in source and binary forms with or without modification are permitted", 4, 0.95),
-    ("zlib", "altered", "altered source versions must be plainly marked as such", 4, 0.9),
-    ("public-domain", "domain", "(?:released|placed|dedicated|is) (?:in|into|to) the public domain", 2, 0.7),
-    ("proprietary", "reserved", "all rights reserved", 1, 0.4),
-    ("unlicense", "unencumbered", "free and unencumbered software released into the public domain", 4, 0.95),
-    ("cc0", "cc0", "cc0(?: 1 0)?(?: universal)?", 3, 0.85),
-    ("disclaimer", "warranty", "without (?:any )?warranty", 1, 0.3),
-)
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -75,35 +34,8 @@ class Rule:
 
 
 def rules() -> list[Rule]:
-    """Several hundred signatures, more specific ones with a higher priority."""
-    out: list[Rule] = []
-    end = "licen[cs]e(?:s|d)?"
-    for label, name, versions, others in FAMILIES:
-        for said in (name, *others):
-            gate = max(said.split(), key=len)
-            out.append(Rule(label, gate, f"{said} {end}", 1, 0.6))
-            out.append(Rule(label, gate, f"(?:licensed|released|distributed|available) under (?:the )?(?:terms of )?(?:the )?{said}(?: {end})?", 2, 0.8))
-            out.append(Rule(label, gate, f"spdx license identifier {said}(?: only| or later)?", 4, 1.0))
-            for v in versions:
-                exact = f"{label}-{v.replace(' ', '.') if 'clause' not in v else v.replace(' ', '-')}"
-                out.append(Rule(exact, gate, f"{said}(?: {end})?(?: version| v)? v?{v}(?: only| or later)?", 3, 0.9))
-                out.append(Rule(exact, gate, f"spdx license identifier {said} {v}(?: only| or later)?", 5, 1.0))
-                if "clause" in v:
-                    out.append(Rule(exact, gate, f"{v} {said}(?: {end})?", 3, 0.9))
-    for terms in CC_TERMS:
-        for v in CC_VERSIONS:
-            out.append(Rule(f"cc-{terms.replace(' ', '-')}-{v.replace(' ', '.')}", "cc", f"cc {terms} {v}", 3, 0.9))
-        out.append(Rule(f"cc-{terms.replace(' ', '-')}", "cc", f"cc {terms}", 2, 0.7))
-    long = {"by": "attribution", "sa": "sharealike", "nc": "noncommercial", "nd": "noderivatives"}
-    for terms in CC_TERMS:
-        spelled = " ".join(long[t] for t in terms.split())
-        out.append(Rule(f"cc-{terms.replace(' ', '-')}", "commons", f"creative commons {spelled}(?: {end})?", 2, 0.8))
-        out += [Rule(f"cc-{terms.replace(' ', '-')}-{v.replace(' ', '.')}", "commons", f"creative commons {spelled} {v}(?: [a-z]+)?(?: {end})?", 3, 0.9) for v in CC_VERSIONS]
-    out += [Rule(*x) for x in SENTENCES]
-    return out
-
-
-PRIORITIES = 5
+    """The hand-written signatures, more specific ones with a higher priority."""
+    return [Rule(*x) for x in table()]
 
 
 def _gates(signatures: list[Rule]) -> list[str]:
@@ -130,36 +62,44 @@ def _prefilter(gates: list[str]) -> str:
     return f"(?<![0-9a-z])(?=[{starts}])(?:{branch(tree)})(?![0-9a-z])"
 
 
-def _spaces(text: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
+OPEN, CLOSE = "\x01", "\x02"  # never part of a word
+
+
+def _marked(joined: Column, rule: Column) -> Column:
+    """The words with a sign before and behind each match of a rule, so that places follow from one pass over them."""
+    return F.struct(rule["number"].alias("number"), rule["label"].alias("label"), rule["priority"].alias("priority"), rule["confidence"].alias("confidence"), F.regexp_replace(joined, rule["pattern"], F.lit(f" {OPEN}$1{CLOSE}")).alias("marked"))
+
+
+def _places(m: Column) -> Column:
+    """Detections of one rule: a match begins at a word with the first sign and ends behind one with the second."""
+    words = F.split(m["marked"], " ")
+    begins = F.filter(F.transform(words, lambda w, i: F.when(w.startswith(OPEN), i - 1)), lambda i: i.isNotNull())
+    ends = F.filter(F.transform(words, lambda w, i: F.when(w.endswith(CLOSE), i)), lambda i: i.isNotNull())
+    return F.zip_with(begins, ends, lambda a, z: F.struct(a.alias("start"), (-z).alias("back"), (-m["priority"]).alias("order"), m["number"].alias("number"), m["label"].alias("label"), m["confidence"].alias("confidence")))
 
 
-def _detections(joined: Column, rule: Column) -> Column:
-    """The places of one rule: words before, and in, each match follow from the pieces between matches."""
-    pieces = F.transform(F.split(joined, rule["pattern"], -1), _spaces)
-    found = F.transform(F.regexp_extract_all(joined, rule["pattern"], F.lit(0)), _spaces)
+#: How many detections before one are looked at for one that contains it; each is taken only where it is proven to be enough.
+LOOK_BACK = (64, 1024)
 
-    def place(size: Column, i: Column) -> Column:
-        start = F.aggregate(F.slice(pieces, 1, i + 1), F.lit(0), lambda a, x: a + x) + F.aggregate(F.slice(found, 1, i), F.lit(0), lambda a, x: a + x)
-        return F.struct(start.alias("start"), (start + size).alias("end"), (-rule["priority"]).alias("order"), rule["number"].alias("number"), rule["label"].alias("label"), rule["confidence"].alias("confidence"))
 
-    return F.transform(found, place)
+def _look_back(ordered: Column, longest: Column) -> Column:
+    """The least step of LOOK_BACK beyond which all earlier detections begin too far away to reach into a later one, else all."""
 
+    def enough(k: int) -> Column:
+        gaps = F.transform(ordered, lambda h, i: F.get(ordered, i + k)["start"] - h["start"])
+        return ~F.exists(gaps, lambda gap: F.coalesce(gap <= longest, F.lit(False)))
 
-def _kept(hits: Column) -> Column:
-    """Drops detections contained in one of the same or a higher priority: a sweep by start, longest first."""
-    ordered = F.array_sort(F.transform(hits, lambda h: F.struct(h["start"].alias("start"), (-h["end"]).alias("back"), h["order"].alias("order"), h["number"].alias("number"), h["label"].alias("label"), h["confidence"].alias("confidence"))))
-    none = F.array().cast("array<struct<start:int,end:int,label:string,confidence:double>>")
-    begin = F.struct(F.array_repeat(F.lit(-1), PRIORITIES).alias("reach"), none.alias("kept"))
+    out = F.when(enough(LOOK_BACK[0]), LOOK_BACK[0])
+    for k in LOOK_BACK[1:]:
+        out = out.when(enough(k), k)
+    return out.otherwise(F.size(ordered))
 
-    def step(state: Column, h: Column) -> Column:
-        end, priority = -h["back"], -h["order"]
-        covered = F.exists(F.slice(state["reach"], priority, F.lit(PRIORITIES) - priority + 1), lambda r: r >= end)
-        reach = F.transform(state["reach"], lambda r, i: F.when(i + 1 == priority, F.greatest(r, end)).otherwise(r))
-        one = F.array(F.struct(h["start"].alias("start"), end.alias("end"), h["label"].alias("label"), h["confidence"].alias("confidence")))
-        return F.struct(reach.alias("reach"), F.when(covered, state["kept"]).otherwise(F.concat(state["kept"], one)).alias("kept"))
 
-    return F.aggregate(ordered, begin, step)["kept"]
+def _kept(ordered: Column, back: Column) -> Column:
+    """Detections that none of the same or a higher priority contains. Sorted by start, longest and strongest first, only earlier ones can."""
+    earlier = lambda i: F.slice(ordered, F.greatest(i - back, F.lit(0)) + 1, F.least(i, back))
+    alone = F.filter(ordered, lambda h, i: ~F.exists(earlier(i), lambda g: (g["back"] <= h["back"]) & (g["order"] <= h["order"])))
+    return F.transform(alone, lambda h: F.struct(h["start"].alias("start"), (-h["back"]).alias("end"), h["label"].alias("label"), h["confidence"].alias("confidence")))
 
 
 def scan_licenses(docs: DataFrame, signatures: list[Rule] | None = None) -> DataFrame:
@@ -181,11 +121,15 @@ def scan_licenses(docs: DataFrame, signatures: list[Rule] | None = None) -> Data
     out = out.withColumn("base", F.filter(F.transform(words, base), lambda x: x.isNotNull()))
     out = out.withColumn("joined", F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")))
     out = out.withColumn("gates", F.array_intersect(words, F.array(*map(F.lit, gates))))
-    table = F.array(*(F.struct(F.lit(i).alias("number"), F.lit(r.label).alias("label"), F.lit(r.gate).alias("gate"), F.lit(f" {r.pattern}(?= )").alias("pattern"), F.lit(r.priority).alias("priority"), F.lit(r.confidence).alias("confidence")) for i, r in enumerate(signatures)))
-    chosen = F.filter(table, lambda r: F.array_contains(F.col("gates"), r["gate"]))
-    hits = F.flatten(F.transform(chosen, lambda r: _detections(F.col("joined"), r)))
-    empty = F.array().cast("array<struct<start:int,end:int,label:string,confidence:double>>")
-    out = out.withColumn("found", F.when(F.size("gates") > 0, _kept(hits)).otherwise(empty))
+    every = F.array(*(F.struct(F.lit(i).alias("number"), F.lit(r.label).alias("label"), F.lit(r.gate).alias("gate"), F.lit(f" ({r.pattern})(?= )").alias("pattern"), F.lit(r.priority).alias("priority"), F.lit(r.confidence).alias("confidence")) for i, r in enumerate(signatures)))
+    chosen = F.filter(every, lambda r: F.array_contains(F.col("gates"), r["gate"]))
+    marked = F.filter(F.transform(chosen, lambda r: _marked(F.col("joined"), r)), lambda m: m["marked"] != F.col("joined"))
+    hit = "array<struct<start:int,back:int,order:int,number:int,label:string,confidence:double>>"
+    out = out.withColumn("ordered", F.when(F.size("gates") > 0, F.array_sort(F.flatten(F.transform(marked, _places)))).otherwise(F.array().cast(hit)))
+    # columns of their own: inside a lambda they would be computed again for every detection
+    out = out.withColumn("longest", F.array_max(F.transform("ordered", lambda h: -h["back"] - h["start"])))
+    out = out.withColumn("back", F.when(F.size("ordered") > 1, _look_back(F.col("ordered"), F.col("longest"))).otherwise(1))
+    out = out.withColumn("found", _kept(F.col("ordered"), F.col("back")))
     starts, base_labels = F.transform("base", lambda x: x["at"]), F.transform("base", lambda x: x["label"])
     labels = F.array_union(base_labels, F.transform("found", lambda x: x["label"]))
     surest = F.aggregate("found", F.when(F.size("base") > 0, F.lit(0.6)).otherwise(F.lit(0.0)), lambda a, x: F.greatest(a, x["confidence"]))
