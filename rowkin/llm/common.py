@@ -7,7 +7,6 @@ one longer document forms a block of its own and is never cut.
 
 from __future__ import annotations
 
-import atexit
 import ctypes
 import sys
 import tempfile
@@ -66,30 +65,47 @@ def give_back(batches: Iterator[pa.RecordBatch], keep: str = "") -> Iterator[pa.
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir; a local one only if unset."""
+    """The shared folder the cluster names in spark.checkpoint.dir. Only a session without a cluster may leave it unset and gets a local one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all machines of {master} share")
         root = "file://" + tempfile.mkdtemp(prefix="rowkin-scratch-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # the session has ended; the cluster's own cleaning applies
-        return
+def _hadoop(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it back: cuts lineage and survives lost executors."""
+    """Writes df as a table in the shared folder and reads it back: cuts lineage and survives lost executors.
+
+    The table goes when ``release`` is called or else when the driver's JVM ends.
+    """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/rowkin-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    target, files = _hadoop(spark, path)
+    files.deleteOnExit(target)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.rowkin_scratch = path
+    return out
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Deletes tables of ``materialise``, and those that a plan says it reads (``rowkin_reads``): call it once what was made of them is written."""
+    for df in tables:
+        if df is None:
+            continue
+        release(*df.__dict__.pop("rowkin_reads", ()))
+        path = df.__dict__.pop("rowkin_scratch", None)
+        if path:
+            target, files = _hadoop(df.sparkSession, path)
+            files.delete(target, True)
 
 
 #: Rows of a thin table that may be broadcast; beyond that Spark joins it by shuffling both sides.
@@ -101,6 +117,23 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+#: No more keys than this can each hold more than one part in HOT_KEYS of all rows.
+HOT_KEYS = 2000
+
+
+def look_up(rows: DataFrame, table: DataFrame, key: str, n: str, total: int) -> DataFrame:
+    """Inner join of rows with a table of one row per key whose column n counts the key's rows, of total in all.
+
+    Keys with more than one in HOT_KEYS of the rows are at most HOT_KEYS by count: they
+    are broadcast, so that no task gets a hot key's rows. All other keys are small and
+    joined by shuffle.
+    """
+    least = total // HOT_KEYS + 1
+    hot = F.broadcast(table.where(F.col(n) > least))
+    cold = rows.join(hot.select(key), key, "left_anti").join(table.where(F.col(n) <= least), key)
+    return rows.join(hot, key).unionByName(cold)
+
+
 def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, offsets) of consecutive whole texts; null counts as empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

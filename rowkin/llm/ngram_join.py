@@ -4,9 +4,9 @@ A document's set holds its distinct five-word shingles. Two documents link when
 their sets' Jaccard similarity reaches 0.8. Copies of a set are one node.
 
 1. Every shingle's document count is taken over all documents, on packed, sorted
-   hashes. Two bit fields of fixed size say which hashes lie in two documents or
-   more, and which in many. They only order shingles, so a false bit costs time,
-   never a link.
+   hashes. Two bit fields, sized by these counts up to a bound, say which hashes lie
+   in two documents or more, and which in many. They only order shingles, so a false
+   bit costs time, never a link.
 2. In that order (in one document, in a few, in many) linked sets share one of
    their first n - ceil(0.8 n) + 1 shingles. Shingles in one document link
    nothing and are dropped; few texts without near copies keep any.
@@ -31,6 +31,7 @@ import heapq
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowkin.llm.common import LOWER_VALUES, U64, broadcast_if_small, give_back, gram_hash, materialise, mix, prefix_sums, span_hash, steady, text_blocks, word_spans
+from rowkin.llm.common import LOWER_VALUES, U64, broadcast_if_small, give_back, gram_hash, look_up, materialise, mix, prefix_sums, release, span_hash, steady, text_blocks, word_spans
 from rowkin.llm.graph import components
 
 
@@ -46,16 +47,23 @@ from rowkin.llm.graph import components
 class Join:
     words: int = 5
     percent: int = 80
-    shared_bits: int = 27  # 16 MB: hashes in two documents or more
-    many_bits: int = 24  # 2 MB: hashes in more than ``many`` documents
+    field: int = 16  # bits per counted hash in the fields of shared and of common shingles
+    least_bits: int = 20
+    most_bits: int = 30  # 128 MB: what is broadcast has this bound, however many shingles there are
     many: int = 64
     block: int = 256  # nodes of a block that is searched at once
     chunk: int = 512  # nodes of a larger block that are dealt together, or twice the pivots if more
     pivots: tuple[int, ...] = (64, 1024, 4096)
+    rows_per_task: int = 256  # a row of a search costs about a millisecond, whatever its bytes
 
 
-KEY_SHIFT = U64(24)  # counted on 40 bits
+COUNTED = 48  # bits of a shingle's hash that are counted
+KEY_SHIFT = U64(64 - COUNTED)
 FLUSH = 1_500_000
+#: The most slices (as a power of two) of the hash range: one task holds a slice.
+SLICES = 18
+#: Nodes that a task remembers having sent; forgetting some only sends a copy again.
+SEEN = 1_000_000
 
 
 def _grams(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -91,16 +99,16 @@ def unpack(raw: bytes, opener: zstandard.ZstdDecompressor) -> np.ndarray:
 
 
 def _count(batches: Iterator[pa.RecordBatch], words: int, slice_bits: int) -> Iterator[pa.RecordBatch]:
-    """Sorted 40-bit hashes with their counts, packed by slices of the hash range."""
+    """Sorted hashes with their counts, packed by slices of the hash range."""
     packer = zstandard.ZstdCompressor(level=1)
 
     def flush(held: list[np.ndarray]) -> pa.RecordBatch:
         keys, counts = np.unique(np.concatenate(held), return_counts=True)
-        cuts = np.searchsorted(keys, np.arange((1 << slice_bits) + 1, dtype=np.uint64) << U64(40 - slice_bits))
+        cuts = np.searchsorted(keys, np.arange((1 << slice_bits) + 1, dtype=np.uint64) << U64(COUNTED - slice_bits))
         rows = []
         for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
             if b > a:
-                part = keys[a:b] - (U64(i) << U64(40 - slice_bits))
+                part = keys[a:b] - (U64(i) << U64(COUNTED - slice_bits))
                 rows.append((i, packer.compress(_planes(np.diff(part, prepend=U64(0)))), packer.compress(np.minimum(counts[a:b], 255).astype(np.uint8).tobytes()), b - a))
         columns = list(zip(*rows, strict=True))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary(), pa.int64()), strict=True)], names=["slice", "keys", "counts", "n"])
@@ -119,15 +127,10 @@ def _count(batches: Iterator[pa.RecordBatch], words: int, slice_bits: int) -> It
         yield flush(held)
 
 
-def _merge(batches: Iterator[pa.RecordBatch], slice_bits: int, join: Join) -> Iterator[pa.RecordBatch]:
-    """Per slice, its part of both bit fields. Rows come sorted by slice."""
+def _merge(batches: Iterator[pa.RecordBatch], many: int) -> Iterator[pa.RecordBatch]:
+    """Per slice, the hashes of two documents or more, those of many first. Rows come sorted by slice."""
     opener, packer = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
 
-    def field(keys: np.ndarray, bits: int) -> bytes:
-        out = np.zeros(1 << (bits - slice_bits), bool)
-        out[(keys >> U64(40 - bits)).astype(np.int64)] = True
-        return packer.compress(np.packbits(out).tobytes())
-
     def finish(at: int, held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         keys = np.concatenate([x[0] for x in held])
         order = np.argsort(keys)
@@ -135,7 +138,8 @@ def _merge(batches: Iterator[pa.RecordBatch], slice_bits: int, join: Join) -> It
         begin = np.flatnonzero(np.diff(keys, prepend=keys[:1] + U64(1)) != 0)
         total = np.add.reduceat(counts, begin)
         keys = keys[begin]
-        return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([field(keys[total > 1], join.shared_bits)], pa.binary()), pa.array([field(keys[total > join.many], join.many_bits)], pa.binary())], names=["slice", "shared", "many"])
+        often, some = keys[total > many], keys[(total > 1) & (total <= many)]
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((at, pa.int64()), (len(often), pa.int64()), (len(some), pa.int64()), *((pack(k, packer) if len(k) else b"", pa.binary()) for k in (often, some)))], names=[x.split()[0] for x in MERGED.split(", ")])
 
     at, held = -1, []
     for batch in batches:
@@ -150,20 +154,44 @@ def _merge(batches: Iterator[pa.RecordBatch], slice_bits: int, join: Join) -> It
         yield finish(at, held)
 
 
+MERGED = "slice long, n_often long, n_some long, often binary, some binary"
+
+
+def _paint(batches: Iterator[pa.RecordBatch], slice_bits: int, bits: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """Per slice, its part of the field of shared hashes and of the field of common ones."""
+    opener, packer = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
+
+    def field(keys: np.ndarray, width: int) -> bytes:
+        out = np.zeros(1 << (width - slice_bits), bool)
+        out[(keys >> U64(COUNTED - width)).astype(np.int64)] = True
+        return packer.compress(np.packbits(out).tobytes())
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            often, some = (unpack(row[k], opener) if row[f"n_{k}"] else np.zeros(0, U64) for k in ("often", "some"))
+            yield pa.RecordBatch.from_arrays([pa.array([row["slice"]], pa.int64()), pa.array([field(np.concatenate([often, some]), bits[0])], pa.binary()), pa.array([field(often, bits[1])], pa.binary())], names=["slice", "shared", "many"])
+
+
+def _bits(n: int, join: Join, slice_bits: int) -> int:
+    """The width of a field for n hashes, so that few others hit it; a slice of it is a byte at least."""
+    return min(max((n * join.field).bit_length(), join.least_bits, slice_bits + 3), join.most_bits)
+
+
 def _bit_fields(texts: DataFrame, join: Join) -> tuple[np.ndarray, np.ndarray]:
-    """Two bit fields of fixed size, whatever the corpus: all that reaches the driver."""
-    slices = min(max(8, texts.rdd.getNumPartitions().bit_length()), 16)
-    words = join.words
+    """The fields of shingles in two documents or more and in many. Their widths follow the counts up to a bound; they are all that reaches the driver."""
+    slices = min(max(8, texts.rdd.getNumPartitions().bit_length()), SLICES)
+    words, many = join.words, join.many
     counted = texts.mapInArrow(lambda b: give_back(_count(b, words, slices)), "slice long, keys binary, counts binary, n long")
-    merged = counted.repartition("slice").sortWithinPartitions("slice").mapInArrow(lambda b: give_back(_merge(b, slices, join)), "slice long, shared binary, many binary")
+    merged = materialise(counted.repartition("slice").sortWithinPartitions("slice").mapInArrow(lambda b: give_back(_merge(b, many)), MERGED))
+    sums = merged.agg(F.sum("n_often").alias("often"), F.sum(F.col("n_often") + F.col("n_some")).alias("shared")).first()
+    bits = (_bits(sums["shared"] or 0, join, slices), _bits(sums["often"] or 0, join, slices))
     opener = zstandard.ZstdDecompressor()
-    fields = []
-    for bits in (join.shared_bits, join.many_bits):
-        fields.append(np.zeros(1 << (bits - 3), np.uint8))
-    for row in merged.toLocalIterator():
+    fields = [np.zeros(1 << (x - 3), np.uint8) for x in bits]
+    for row in merged.mapInArrow(lambda b: give_back(_paint(b, slices, bits)), "slice long, shared binary, many binary").toLocalIterator():
         for field, packed in zip(fields, (row["shared"], row["many"]), strict=True):
             size = len(field) >> slices
             field[row["slice"] * size : (row["slice"] + 1) * size] = np.frombuffer(opener.decompress(packed, max_output_size=size), np.uint8)
+    release(merged)
     return fields[0], fields[1]
 
 
@@ -173,10 +201,10 @@ def _bit(field: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], join: Join, shared: np.ndarray, many: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Per text: set size, node, and if it may link at all its tokens (signature) and ordered set.
+    """Per text: set size, node (null without a shingle), and if it may link at all its tokens (signature) and ordered set.
 
-    Keys hold the class of a shingle in the two highest bits, so they sort by class; of
-    the hash 46 bits are kept. A node's later copies within the task carry nothing.
+    Keys hold the class of a shingle in the two highest bits, so they sort by class. Tokens
+    keep 62 bits of the hash, sets 46. A node's later copies within the task carry nothing.
     """
     seen: set[int] = set()
     packer = zstandard.ZstdCompressor(level=1)
@@ -187,22 +215,22 @@ def _sets(batches: Iterator[pa.RecordBatch], join: Join, shared: np.ndarray, man
         kind = _bit(shared, whole).astype(U64) + (_bit(shared, whole) & _bit(many, whole)).astype(U64)
         whole = (kind << U64(62)) | (whole >> U64(2))
         at = 0
-        for doc_id, grams in zip(ids.to_pylist(), texts, strict=True):
+        for grams in texts:
             own = np.unique(whole[at : at + len(grams)])
             at += len(grams)
             n = len(own)
-            node = int((mix(own ^ U64(0x5851F42D4C957F2D)).sum() if n else mix(np.array([doc_id or 0], np.int64).astype(U64))[0]).astype(np.int64))
+            node = int(mix(own ^ U64(0x5851F42D4C957F2D)).sum().astype(np.int64)) if n else None
             head = own[: n - -(-join.percent * n // 100) + 1]
             head = head[head >= U64(1 << 62)]
             if not n or node in seen:
                 head = head[:0]
             if len(head):
-                if len(seen) > 1_000_000:
+                if len(seen) > SEEN:
                     seen.clear()
                 seen.add(node)
             sizes.append(n)
             nodes.append(node)
-            tokens.append(np.unique(head >> U64(16)).view(np.int64) if len(head) else None)
+            tokens.append(head.view(np.int64) if len(head) else None)
             keys.append(pack(np.unique(own >> U64(16)), packer) if len(head) else None)
         yield pa.RecordBatch.from_arrays(
             [ids.cast(pa.int64()), rows.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(tokens, pa.list_(pa.int64())), pa.array(keys, pa.binary())],
@@ -362,36 +390,41 @@ def _search(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["a", "b"])
 
 
-def _searched(rows: DataFrame, join: Join) -> DataFrame:
-    """rows: block, chunk, rest (false for pivots), node, keys."""
+def _searched(rows: DataFrame, join: Join, n: int) -> DataFrame:
+    """rows: block, chunk, rest (false for pivots), node, keys; about n of them, dealt to as many tasks as their search needs."""
     percent = join.percent
-    dealt = rows.select("block", "chunk", "rest", "node", "keys").repartition("block", "chunk").sortWithinPartitions("block", "chunk", "rest", "node")
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // join.rows_per_task))
+    dealt = rows.select("block", "chunk", "rest", "node", "keys").repartition(tasks, "block", "chunk").sortWithinPartitions("block", "chunk", "rest", "node")
     return dealt.mapInArrow(lambda b: give_back(_search(b, percent)), "a long, b long")
 
 
-def _large(members: DataFrame, join: Join) -> DataFrame | None:
-    """Links of blocks with more nodes than are searched at once."""
+def _large(members: DataFrame, join: Join) -> list[DataFrame]:
+    """Tables of links of blocks with more nodes than are searched at once. Each turn's tables go when the next turn's are written."""
     spare = members.select("block", "node", F.xxhash64("node").alias("hash"))
-    links, used, todo, turn = None, None, materialise(spare), 0
+    found: list[DataFrame] = []
+    used, todo, turn, n = None, materialise(spare), 0, members.count()
     while todo.count():
         take = join.pivots[min(turn, len(join.pivots) - 1)]
         turn += 1
         order = Window.partitionBy("block").orderBy("hash", "node")
         pivots = materialise(todo.withColumn("at", F.row_number().over(order)).where(F.col("at") <= take).select("block", "node"))
-        used = pivots if used is None else used.union(pivots)
         chunks = F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / max(join.chunk, 2 * take))).cast("int").alias("chunks")
         sizes = materialise(members.groupBy("block").agg(chunks).join(pivots.select("block").distinct(), "block"))
         turned = members.join(broadcast_if_small(sizes), "block").join(broadcast_if_small(pivots.withColumn("pivot", F.lit(True))), ["block", "node"], "left")
         chunk = F.explode(F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), "chunks").cast("int"))))
         rows = turned.select("block", chunk.alias("chunk"), F.col("pivot").isNull().alias("rest"), "node", "keys")
-        found = materialise(_searched(rows, join))
-        links = found if links is None else links.union(found)
+        found.append(materialise(_searched(rows, join, n)))
+        reached = components(reduce(DataFrame.union, found))
         # what lies outside its block's largest component, and was no pivot yet, may still link
-        roots = materialise(spare.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node")))
+        roots = materialise(spare.join(reached, "node", "left").withColumn("root", F.coalesce("root", "node")))
         counts = roots.groupBy("block", "root").agg(F.count(F.lit(1)).alias("n"))
         largest = counts.groupBy("block").agg(F.max_by("root", F.struct("n", "root")).alias("largest"))
+        before, earlier = todo, used
+        used = pivots if used is None else materialise(used.union(pivots))
         todo = materialise(roots.join(largest, "block").where("root != largest").join(used, ["block", "node"], "left_anti").select("block", "node", "hash"))
-    return links
+        release(before, sizes, roots, reached, *([] if earlier is None else [earlier, pivots]))
+    release(todo, used)
+    return found
 
 
 def classes(docs: DataFrame, join: Join | None = None) -> DataFrame:
@@ -411,22 +444,34 @@ def classes(docs: DataFrame, join: Join | None = None) -> DataFrame:
     lists = able.select("node", F.explode("tokens").alias("token"))
     heads = lists.groupBy("token").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head != last").select("token", "head")
     ties = lists.join(heads, "token").where("node != head").select("node", F.col("head").alias("other")).distinct()
-    blocks = components(ties, "node", "other").withColumnRenamed("root", "block")
+    tied = components(ties, "node", "other")
+    blocks = tied.withColumnRenamed("root", "block")
     sized = materialise(blocks.join(blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n")), "block"))
     members = able.select("node", "keys").join(broadcast_if_small(sized), "node")
 
     small = members.where(F.col("n") <= join.block).withColumn("chunk", F.lit(0)).withColumn("rest", F.lit(False))
-    links = materialise(_searched(small, join))
-    large = members.where(F.col("n") > join.block).dropDuplicates(["node"]).select("block", "node", "keys")
-    more = _large(materialise(large), join)
-    links = links if more is None else links.union(more)
-
-    least = sets.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("least"))
-    linked = components(links)
-    tops = least.join(linked, "node").groupBy("root").agg(F.min("least").alias("top"))
-    lookup = least.join(linked.join(tops, "root"), "node", "left").select("node", F.coalesce("top", "least").alias("top"))
-    out = sets.select("doc_id", "key", "n_shingles", "node").join(lookup, "node")
-    return out.select("doc_id", "key", "n_shingles", F.col("top.doc_id").alias("component_id"), (F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (F.col("key") == F.col("top.key"))).alias("stays"))
+    links = [materialise(_searched(small, join, sized.where(F.col("n") <= join.block).count()))]
+    large = materialise(members.where(F.col("n") > join.block).dropDuplicates(["node"]).select("block", "node", "keys"))
+    links += _large(large, join)
+    release(large, sized, tied)
+
+    # a row per node: its least row and how many it has; then a row per linked class
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("least")
+    least = materialise(sets.where("node IS NOT NULL").groupBy("node").agg(first, F.count(F.lit(1)).alias("rows")))
+    joined = components(reduce(DataFrame.union, links))
+    linked = materialise(joined.join(least.select("node", "least"), "node"))
+    release(joined, *links)
+    tops = materialise(linked.groupBy("root").agg(F.min("least").alias("top"), F.count(F.lit(1)).alias("nodes")))
+    top_of = look_up(linked.select("node", "root"), tops, "root", "nodes", linked.count()).select("node", "top")
+    lookup = materialise(least.join(top_of, "node", "left").select("node", "rows", F.coalesce("top", "least").alias("top")))
+    release(least, linked, tops)
+    thin = sets.select("doc_id", "key", "n_shingles", "node")
+    out = look_up(thin.where("node IS NOT NULL"), lookup, "node", "rows", sets.count())
+    same = F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (F.col("key") == F.col("top.key"))
+    alone = thin.where("node IS NULL").select("doc_id", "key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("stays"))
+    named = out.select("doc_id", "key", "n_shingles", F.col("top.doc_id").alias("component_id"), same.alias("stays")).unionByName(alone)
+    named.rowkin_reads = (sets, lookup)
+    return named
 
 
 def near_duplicates(docs: DataFrame, join: Join | None = None) -> DataFrame:
@@ -435,8 +480,21 @@ def near_duplicates(docs: DataFrame, join: Join | None = None) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, join: Join | None = None) -> DataFrame:
-    """One row of each class with the input's columns: the one with the least doc_id."""
-    first = classes(docs, join).where("stays").select(F.col("doc_id").alias("rowkin_id"), F.col("key").alias("rowkin_key")).distinct()
-    key = F.xxhash64(docs["text"].cast("string"))
-    joined = docs.withColumn("rowkin_key_", key).join(first, (F.col("rowkin_key_") == F.col("rowkin_key")) & docs["doc_id"].cast("long").eqNullSafe(F.col("rowkin_id")))
-    return joined.dropDuplicates(["rowkin_id", "rowkin_key"]).select(*[docs[c] for c in docs.columns])
+    """One row of each class with the input's columns: the one with the least doc_id.
+
+    Rows that equal each other by doc_id and text are told apart by nothing else that
+    is known to be whole, so only these few are shuffled with their texts; all others are
+    kept or dropped by a join with thin rows. Texts without a shingle are linked with
+    nothing: all of them stay, but for repeated rows.
+    """
+    found = classes(docs, join)
+    thin = materialise(found.groupBy("doc_id", "key").agg(F.first("stays").alias("stays"), F.count(F.lit(1)).alias("n")))
+    own = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("key"))
+    release(found)
+    both = lambda table: [own["doc_id"].eqNullSafe(table["doc_id"]), own["key"] == table["key"]]
+    out = materialise(thin.where("NOT stays OR n > 1").select("doc_id", "key"))
+    again = materialise(thin.where("stays AND n > 1").select("doc_id", "key"))
+    release(thin)
+    single = own.join(broadcast_if_small(out), both(out), "left_anti")
+    repeated = own.join(broadcast_if_small(again), both(again), "left_semi").dropDuplicates(["doc_id", "key"])
+    return single.select("row").union(repeated.select("row")).select("row.*")
