@@ -17,6 +17,14 @@ signs of longer UTF-8 sequences are words of their own in both. Two windows whos
 length is a power of two, from its start and to its end, hold all of its words.
 An item of fewer than ``Rules.whole`` words must be the whole document.
 
+Consistency holds both ways: few values of the item may stand for several values of
+the document, and few of the document for several of the item. Items that agree in
+their template and in which of their slots are equal are one group: every document
+matches all of them or none, so they are joined once.
+
+Number words and units are English; a noun of a language that writes nouns with a
+capital is a name, in the item as in the document.
+
 Documents are filtered against a bit field of fixed size over the windows of
 all items before the join, whatever the benchmark's size; a false bit costs a
 row, never a result.
@@ -36,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowkin.llm.common import LOWER_VALUES, NOT_ALNUM, U64, give_back, gram_hash, materialise, mix, owners, prefix_sums, span_hash, steady, text_blocks, word_spans
+from rowkin.llm.common import HOT_KEYS, LOWER_VALUES, NOT_ALNUM, U64, broadcast_if_small, give_back, gram_hash, materialise, mix, owners, prefix_sums, span_hash, steady, text_blocks, word_spans
 
 
 @dataclass(frozen=True)
@@ -172,12 +180,25 @@ def _whole_windows(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.nda
     return text[good], good, hashes[good]
 
 
+def _groups(tokens: np.ndarray, kind: np.ndarray, values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(each item's group: hash of its tokens and of which slots are equal, slot values as numbers of their first occurrence)."""
+    numbers, groups = np.zeros(len(values), U64), np.zeros(len(first) - 1, np.int64)
+    for t in range(len(first) - 1):
+        own = slice(int(first[t]), int(first[t + 1]))
+        slots = np.flatnonzero(kind[own] != WORD) + own.start
+        _, where, back = np.unique(values[slots], return_index=True, return_inverse=True)
+        numbers[slots] = where[back].astype(U64)
+        parts = mix(np.where(kind[own] == WORD, tokens[own], tokens[own] + numbers[own] * U64(0x9E3779B97F4A7C15)) + np.arange(own.stop - own.start, dtype=np.uint64))
+        groups[t] = mix(np.array([parts.sum(dtype=np.uint64) + U64(own.stop - own.start)], U64)).view(np.int64)[0]
+    return groups, numbers
+
+
 def _slots(kind: np.ndarray, values: np.ndarray, at: int, k: int) -> list[int]:
     part = slice(at, at + k)
     return values[part][kind[part] != WORD].view(np.int64).tolist()
 
 
-ITEMS = "item_id long, place int, window long, slots array<long>, n_windows int, n_tokens int, size int, whole int"
+ITEMS = "item_id long, grp long, place int, window long, slots array<long>, n_windows int, n_tokens int, size int, whole int"
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[pa.RecordBatch]:
@@ -186,6 +207,7 @@ def _item_windows(batches: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[p
             ids = batch.column(0).slice(lo, hi - lo).to_pylist()
             tokens, kind, values, first = template(data, offsets)
             length = np.diff(first)
+            groups, numbers = _groups(tokens, kind, values, first)
             rows, windowed = [], np.zeros(hi - lo, bool)
             for low, below, k, literals in rules.sizes:
                 text, at, hashes = _windows(tokens, kind, first, k, literals)
@@ -193,15 +215,16 @@ def _item_windows(batches: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[p
                 text, at, hashes = text[own], at[own], hashes[own]
                 count = np.bincount(text, minlength=hi - lo)
                 windowed |= count > 0
-                rows += [(ids[t], a - int(first[t]), h, _slots(kind, values, a, k), int(count[t]), int(length[t]), k, 0) for t, a, h in zip(text.tolist(), at.tolist(), hashes.view(np.int64).tolist(), strict=True)]
+                rows += [(ids[t], int(groups[t]), a - int(first[t]), h, _slots(kind, numbers, a, k), int(count[t]), int(length[t]), k, 0) for t, a, h in zip(text.tolist(), at.tolist(), hashes.view(np.int64).tolist(), strict=True)]
             words, at = plain_words(data, offsets)
             for t in np.flatnonzero(~windowed & (np.diff(at) > 0)).tolist():
                 own, n = words[at[t] : at[t + 1]], int(at[t + 1] - at[t])
                 k = _power_below(n)
                 ends = _whole_windows(own, np.array([0, n]), k)[2].view(np.int64)
-                rows += [(ids[t], place, int(ends[place]), [], len({0, n - k}), n, k, n) for place in sorted({0, n - k})]
-            columns = list(zip(*rows, strict=True)) or [()] * 8
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.int32(), pa.int32())
+                group = int(mix(gram_hash(own, n) + U64(n)).view(np.int64)[0])
+                rows += [(ids[t], group, place, int(ends[place]), [], len({0, n - k}), n, k, n) for place in sorted({0, n - k})]
+            columns = list(zip(*rows, strict=True)) or [()] * 9
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[x.split()[0] for x in ITEMS.split(", ")])
 
 
@@ -302,14 +325,15 @@ def _judge(hits: list[Hit], n_windows: int, n_tokens: int, size: int, whole: int
     good = []
     for chain in chains(hits, n_tokens // 2):
         pairs = {p for _, _, ps in chain for p in ps}
-        n_slots = len({a for a, _ in pairs})
+        n_slots, n_said = len({a for a, _ in pairs}), len({b for _, b in pairs})
+        steady_slots = len(pairs) - n_slots <= rules.conflicts * n_slots and len(pairs) - n_said <= rules.conflicts * n_said
         tokens = {i + j for _, i, _ in chain for j in range(size)}
-        if len(chain) >= rules.coverage * n_windows and len(tokens) >= rules.window - 1 and len(pairs) - n_slots <= rules.conflicts * n_slots:
+        if len(chain) >= rules.coverage * n_windows and len(tokens) >= rules.window - 1 and steady_slots:
             good.append((len(chain) / n_windows, n_slots))
     return (max(c for c, _ in good), max(n for _, n in good)) if good else None
 
 
-LEAKS = "key long, item_id long, coverage double, n_slots int"
+LEAKS = "key long, grp long, coverage double, n_slots int"
 
 
 def _leaks(batches: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[pa.RecordBatch]:
@@ -319,33 +343,57 @@ def _leaks(batches: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[pa.Recor
             hits = [(h["place"], h["item_place"], [(p["a"], p["b"]) for p in h["pairs"]]) for h in row["hits"]]
             found = _judge(hits, row["n_windows"], row["n_tokens"], row["size"], row["whole"], row["n_words"], rules)
             if found:
-                out.append((row["key"], row["item_id"], *found))
+                out.append((row["key"], row["grp"], *found))
         columns = list(zip(*out, strict=True)) or [()] * 4
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.int32()), strict=True)], names=[x.split()[0] for x in LEAKS.split(", ")])
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules | None = None) -> tuple[DataFrame, DataFrame]:
-    """(doc_id and key of every row, leaks as key, item_id, coverage, n_slots). A key stands for a text."""
-    rules = rules or Rules()
+def _met(hits: DataFrame, windows: DataFrame, rules: Rules) -> DataFrame:
+    """Hits and the items' windows of the same hash.
+
+    Windows that are few enough are broadcast, so that a window of many documents burdens
+    no task. Otherwise both sides are shuffled, and a window of more than its share of the
+    hits is dealt out in parts, its item rows copied to each; such windows are at most HOT_KEYS.
+    """
+    if windows.count() <= rules.broadcast_rows:
+        return hits.join(F.broadcast(windows), "window")
+    hits = materialise(hits)
+    share = hits.count() // HOT_KEYS + 1
+    hot = F.broadcast(hits.groupBy("window").agg(F.ceil(F.count(F.lit(1)) / share).cast("int").alias("parts")).where("parts > 1"))
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = hits.join(hot, "window", "left").withColumn("part", F.pmod(F.xxhash64("key", "place"), parts)).drop("parts")
+    copied = windows.join(hot, "window", "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long")))).drop("parts")
+    return dealt.join(copied, ["window", "part"]).drop("part")
+
+
+def _find(docs: DataFrame, benchmark: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id and key of every row, leaks as key, grp, coverage, n_slots, members as grp, item_id). A key stands for a text."""
     spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).mapInArrow(lambda b: _item_windows(b, rules), ITEMS)
-    items = materialise(items)
-    field = spark.sparkContext.broadcast(_field(items, rules.bits))
-    used = items.select("size", (F.col("whole") > 0).alias("whole")).distinct().collect()
+    items = materialise(benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).mapInArrow(lambda b: _item_windows(b, rules), ITEMS))
+    windows = materialise(items.drop("item_id").dropDuplicates(["grp", "place"]))
+    members = items.select("grp", "item_id").distinct()
+    field = spark.sparkContext.broadcast(_field(windows, rules.bits))
+    used = windows.select("size", (F.col("whole") > 0).alias("whole")).distinct().collect()
     sizes, wholes = [x["size"] for x in used if not x["whole"]], sorted(x["size"] for x in used if x["whole"])
     keyed = steady(docs).select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("key"), F.col("text").cast("string"))
     seen = materialise(keyed.mapInArrow(lambda b: give_back(_hits(b, rules, field.value, sizes, wholes)), "doc_id long, key long, hits array<struct<place:int,n_words:int,window:long,slots:array<long>>>"))
     hits = seen.where("hits IS NOT NULL").select("key", F.explode("hits").alias("hit")).select("key", "hit.place", "hit.n_words", "hit.window", F.col("hit.slots").alias("own")).distinct()
-    met = hits.join(items.withColumnRenamed("place", "item_place"), "window")
+    met = _met(hits, windows.withColumnRenamed("place", "item_place"), rules)
     pairs = F.zip_with("slots", "own", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    by = ["key", "grp", "n_windows", "n_tokens", "size", "whole", "n_words"]
     grouped = (
-        met.select("key", "item_id", "n_windows", "n_tokens", "size", "whole", "n_words", F.struct("place", "item_place", pairs.alias("pairs")).alias("hit"))
-        .groupBy("key", "item_id", "n_windows", "n_tokens", "size", "whole", "n_words")
+        met.select(*by, F.struct("place", "item_place", pairs.alias("pairs")).alias("hit"))
+        .groupBy(*by)
         .agg(F.collect_list("hit").alias("hits"))
         .where(F.size(F.array_distinct(F.col("hits.item_place"))) >= rules.coverage * F.col("n_windows"))
     )
-    leaks = grouped.mapInArrow(lambda b: give_back(_leaks(b, rules)), LEAKS)
-    return seen.select("doc_id", "key"), leaks
+    return seen.select("doc_id", "key"), grouped.mapInArrow(lambda b: give_back(_leaks(b, rules)), LEAKS), members
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules | None = None) -> tuple[DataFrame, DataFrame]:
+    """(doc_id and key of every row, leaks as key, item_id, coverage, n_slots). A key stands for a text."""
+    rows, leaks, members = _find(docs, benchmark, rules or Rules())
+    return rows, leaks.join(members, "grp").drop("grp")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, rules: Rules | None = None) -> DataFrame:
@@ -359,8 +407,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, rules: Rules | None = N
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules | None = None) -> DataFrame:
     """The input's rows and columns without contaminated texts. Texts move only if the leaks exceed ``broadcast_rows``."""
     rules = rules or Rules()
-    _, leaks = find_leaks(docs, benchmark, rules)
-    keys = materialise(leaks.select(F.col("key").alias("rowkin_key")).distinct())
-    if keys.count() <= rules.broadcast_rows:
-        keys = F.broadcast(keys)
-    return docs.join(keys, F.xxhash64(docs["text"].cast("string")) == keys["rowkin_key"], "left_anti")
+    _, leaks, _ = _find(docs, benchmark, rules)
+    keys = materialise(leaks.select("key").distinct())
+    own = docs.select(F.struct("*").alias("row"), F.xxhash64(docs["text"].cast("string")).alias("key"))
+    return own.join(broadcast_if_small(keys, rules.broadcast_rows), "key", "left_anti").select("row.*")

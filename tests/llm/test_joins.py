@@ -116,3 +116,115 @@ def test_slots_must_map_consistently(spark):
     docs = spark.createDataFrame([(1, good), (2, bad)], "doc_id long, text string")
     got = {x.doc_id: x.contaminated for x in decontaminate(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
     assert got == {1: True, 2: False}
+
+
+def plain_template(text):
+    """Template tokens as (kind, said), by rules of its own: regular expressions and loops over words."""
+    from rowkin.llm.decontaminate import NUMBER_WORDS, UNITS
+
+    out, last = [], None
+    for m in re.finditer(r"[0-9A-Za-z\u0080-\U0010FFFF]+", text):
+        w, gap = m.group(), text[last.end() : m.start()] if last else ""
+        opens = last is None or re.search(r"[.!?:;\n\"()]", gap)
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in w)
+        if re.search("[0-9]", w) or low in NUMBER_WORDS:
+            kind = "num"
+        elif (w[0].isascii() and w[0].isupper() or "\u00c0" <= w[0] <= "\u00de") and not opens and len(w.encode()) > (1 if w[0].isascii() else 2):
+            kind = "name"
+        elif low in UNITS and out and out[-1][0] == "num":
+            kind = "unit"
+        else:
+            kind = "word"
+        if kind in ("num", "name") and out and out[-1][0] == kind:
+            out[-1] = (kind, out[-1][1] + (low,))
+        else:
+            out.append((kind, (low,)))
+        last = m
+    return out
+
+
+def plain_contains(doc, item):
+    """Whether a document holds an item, by the longest chain of equal windows over all pairs of places."""
+    a, b = plain_template(item), plain_template(doc)
+    k, least = (3, 1) if len(a) < 14 else (5, 2) if len(a) < 23 else (8, 4)
+    shown = lambda t: t[1] if t[0] == "word" else t[0]
+    good = [i for i in range(len(a) - k + 1) if sum(t[0] == "word" for t in a[i : i + k]) >= least]
+    spots = [(j, i) for i in good for j in range(len(b) - k + 1) if all(shown(x) == shown(y) for x, y in zip(a[i : i + k], b[j : j + k], strict=True))]
+    chains = {}
+    for j, i in sorted(spots):  # one diagonal after the other: copies here have no words put in
+        chains.setdefault(j - i, []).append((j, i))
+    for chain in chains.values():
+        pairs = {(a[i + x][1], b[j + x][1]) for j, i in chain for x in range(k) if a[i + x][0] != "word"}
+        left, right = {x for x, _ in pairs}, {y for _, y in pairs}
+        if len(chain) >= 0.5 * len(good) and len({i + x for _, i in chain for x in range(k)}) >= 7 and len(pairs) - len(left) <= 0.2 * len(left) and len(pairs) - len(right) <= 0.2 * len(right):
+            return True
+    return False
+
+
+@pytest.mark.parametrize("rows", [1_000_000, 0])
+def test_decontamination_equals_the_plain_version(spark, rows):
+    r = random.Random(8)
+    words = ["".join(r.choice("abdeiklmnorstu") for _ in range(r.randint(3, 7))) for _ in range(60)]
+    names = ["Alda", "Bert", "Cleo", "Dora", "Egon", "Fred", "Gina", "Hugo"]
+
+    def sentence(n):
+        return " ".join(r.choice(names) if r.random() < 0.12 else f"{r.randint(2, 99)} apples" if r.random() < 0.15 else r.choice(words) for _ in range(n))
+
+    items = [f"Then {sentence(r.randint(10, 30))}." for _ in range(25)]
+    items += [re.sub(r"[0-9]+", lambda m: str(int(m.group()) + 7), items[0]), items[3]]  # the same template; the same text
+
+    def asked_again(text, clash):
+        numbers, people = {}, dict(zip(names, r.sample(names, len(names)), strict=True))
+        text = re.sub(r"[0-9]+", lambda m: "5" if clash else numbers.setdefault(m.group(), str(100 + len(numbers))), text)
+        return " ".join(people.get(w, w) for w in text.split(" "))
+
+    docs = [sentence(r.randint(5, 60)) for _ in range(60)]
+    for k, i in enumerate(items):
+        docs += [f"{sentence(6)}. {i} {sentence(5)}", f"{sentence(4)}. {asked_again(i, False)} {sentence(9)}", f"So. {asked_again(i, True)}", " ".join(i.split()[: len(i.split()) // 3]), f"{items[k - 1]} {i}"]
+    from rowkin.llm.decontaminate import Rules
+
+    got = {x.doc_id: x.item_ids for x in decontaminate(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(4), spark.createDataFrame(list(enumerate(items)), "item_id long, text string"), Rules(broadcast_rows=rows)).collect()}
+    want = {d: ",".join(str(k) for k, i in enumerate(items) if plain_contains(text, i)) for d, text in enumerate(docs)}
+    assert sum(map(bool, want.values())) > 60 and got == want
+
+
+def test_hot_keys_are_joined_whole(spark):
+    from pyspark.sql import functions as F
+
+    from rowkin.llm import common
+
+    rows = spark.range(5000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
+    table = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top"))
+    got = common.look_up(rows, table, "k", "n", 5000)
+    assert got.count() == 5000 and got.where("k = 0").agg(F.min("top")).first()[0] == 4998
+    assert table.where(F.col("n") > 5000 // common.HOT_KEYS + 1).count() == 1
+
+
+def test_scratch_tables_go_when_released(spark):
+    import os
+
+    from rowkin.llm.common import materialise, release
+
+    df = materialise(spark.range(5))
+    path = df.rowkin_scratch.removeprefix("file:")
+    assert os.path.exists(path) and df.count() == 5
+    release(df, None)
+    release(df)
+    assert not os.path.exists(path)
+    found = ngram_join.classes(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, None)], "doc_id long, text string"))
+    assert found.count() == 3 and len(found.rowkin_reads) == 2
+
+
+def test_empties_without_an_id_join_nothing(spark):
+    rows = [(None, None), (None, ""), (0, ""), (0, ""), (0, "a b"), (5, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F_key()).withColumn("row", F_key())
+    got = sorted((x.doc_id is None, x.doc_id or 0, x.n_shingles, x.component_id is None, x.component_id or 0) for x in near_duplicates(docs).collect())
+    assert got == [(False, 0, 0, False, 0), (False, 0, 0, False, 0), (False, 0, 1, False, 0), (False, 5, 0, False, 5), (True, 0, 0, True, 0), (True, 0, 0, True, 0)]
+    kept = keep_one(docs)
+    assert kept.columns == ["doc_id", "text", "key", "row"] and kept.count() == 5  # the repeated row goes
+
+
+def F_key():
+    from pyspark.sql import functions as F
+
+    return F.lit("clash")
