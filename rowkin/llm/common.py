@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -264,3 +265,21 @@ class SlotTable:
             self.keys[slot[free]], self.values[slot[free]] = hashes[free], values[free]
             left = self.keys[slot] != hashes
             hashes, values = hashes[left], values[left]
+
+
+def planes(values: np.ndarray) -> bytes:
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+
+
+def unplanes(raw: bytes, dtype: str) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(dtype).ravel()
+
+
+def pack(keys: np.ndarray, packer: zstandard.ZstdCompressor) -> bytes:
+    """Sorted keys as gaps, byte plane by byte plane."""
+    return packer.compress(planes(np.diff(keys, prepend=U64(0))))
+
+
+def unpack(raw: bytes, opener: zstandard.ZstdDecompressor) -> np.ndarray:
+    return np.cumsum(unplanes(opener.decompress(raw), "<u8"), dtype=U64)

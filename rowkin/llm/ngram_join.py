@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowkin.llm.common import LOWER_VALUES, U64, broadcast_if_small, give_back, gram_hash, look_up, materialise, mix, prefix_sums, release, span_hash, steady, text_blocks, word_spans
+from rowkin.llm.common import LOWER_VALUES, U64, broadcast_if_small, give_back, gram_hash, look_up, materialise, mix, pack, planes, prefix_sums, release, span_hash, steady, text_blocks, unpack, unplanes, word_spans
 from rowkin.llm.graph import components
 
 
@@ -80,24 +80,6 @@ def _grams(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.R
             yield batch.slice(lo, hi - lo), out
 
 
-def _planes(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
-
-
-def _unplanes(raw: bytes, dtype: str) -> np.ndarray:
-    width = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(dtype).ravel()
-
-
-def pack(keys: np.ndarray, packer: zstandard.ZstdCompressor) -> bytes:
-    """Sorted 48-bit keys as gaps, byte plane by byte plane."""
-    return packer.compress(_planes(np.diff(keys, prepend=U64(0))))
-
-
-def unpack(raw: bytes, opener: zstandard.ZstdDecompressor) -> np.ndarray:
-    return np.cumsum(_unplanes(opener.decompress(raw), "<u8"), dtype=U64)
-
-
 def _count(batches: Iterator[pa.RecordBatch], words: int, slice_bits: int) -> Iterator[pa.RecordBatch]:
     """Sorted hashes with their counts, packed by slices of the hash range."""
     packer = zstandard.ZstdCompressor(level=1)
@@ -109,7 +91,7 @@ def _count(batches: Iterator[pa.RecordBatch], words: int, slice_bits: int) -> It
         for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
             if b > a:
                 part = keys[a:b] - (U64(i) << U64(COUNTED - slice_bits))
-                rows.append((i, packer.compress(_planes(np.diff(part, prepend=U64(0)))), packer.compress(np.minimum(counts[a:b], 255).astype(np.uint8).tobytes()), b - a))
+                rows.append((i, packer.compress(planes(np.diff(part, prepend=U64(0)))), packer.compress(np.minimum(counts[a:b], 255).astype(np.uint8).tobytes()), b - a))
         columns = list(zip(*rows, strict=True))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary(), pa.int64()), strict=True)], names=["slice", "keys", "counts", "n"])
 
@@ -148,7 +130,7 @@ def _merge(batches: Iterator[pa.RecordBatch], many: int) -> Iterator[pa.RecordBa
                 yield finish(at, held)
                 held = []
             at = row["slice"]
-            keys = np.cumsum(_unplanes(opener.decompress(row["keys"], max_output_size=row["n"] * 8), "<u8"))
+            keys = np.cumsum(unplanes(opener.decompress(row["keys"], max_output_size=row["n"] * 8), "<u8"))
             held.append((keys, np.frombuffer(opener.decompress(row["counts"], max_output_size=row["n"]), np.uint8)))
     if held:
         yield finish(at, held)

@@ -2,21 +2,27 @@
 
 A network reads ``Shape.side`` words on both sides of a masked one: vectors by
 place are added, pass a tanh layer, and give the masked word's class and its
-place in the class. The sum of these log-probabilities over all words scores a
-document. Words outside the vocabulary count as their length's sign and are
-spelled by byte frequencies, so every text's probability is comparable.
-
-What the model knows is gathered from the whole corpus: word and byte counts of
-every document, then rounds of training in which every task trains a copy on
-its own documents, and the copies are averaged, weighted by their places. A round
-masks ``1 / rounds`` of the residues of ``Shape.stride``, so that over all rounds
-every word of every document is masked once. All of this grows with the input; the
-model, which is all that reaches the driver, doesn't.
+place in the class. The commonest ``Shape.known`` words have outputs of their own;
+all others share learned outputs by hash (buckets), as inputs and as targets, so
+every word is predicted from both sides. Which word of its bucket it is follows
+from counts over the whole corpus without the document itself: a word that other
+documents hold has its share there, one that none holds pays the bucket's share of
+new words and is spelled by byte frequencies. The sum of these conditional
+log-probabilities over all words scores a document.
+
+What the model knows is gathered from the whole corpus and grows with it: counts of
+every word of every document, dealt by hash and handed back to each run of texts;
+then rounds of training in which every task trains a copy on its own documents, and
+the copies are averaged in a tree, weighted by their places. A round masks
+``1 / rounds`` of the residues of ``Shape.stride``, so that over all rounds every word
+of every document is masked once. The network, which is all that reaches the
+driver, has a fixed size. As copies are averaged, scores depend a little on how the
+input is partitioned; counts and buckets don't.
 
 Defined results: null and empty texts, and texts without a word, have no words,
-sum 0 and a null mean. Repeated rows are scored one by one and count each time.
-Ties in frequency go to the lower hash. Extra columns are ignored. An empty table
-gives no rows.
+sum 0 and a null mean. Repeated rows are scored one by one, count each time and are
+other documents to each other. Ties in frequency go to the lower hash. Extra columns
+are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,111 +32,237 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowkin.llm.common import LOWER_VALUES, NOT_ALNUM, SlotTable, U64, give_back, materialise, mix, prefix_sums, span_hash, steady, text_blocks, word_spans
+from rowkin.llm.common import LOWER_VALUES, NOT_ALNUM, U64, give_back, materialise, mix, owners, pack, planes, prefix_sums, release, span_hash, steady, text_blocks, unpack, unplanes, word_spans
 
 
 @dataclass(frozen=True)
 class Shape:
     classes: int = 64
     per_class: int = 64
-    lengths: int = 32  # signs for words outside the vocabulary
+    buckets: int = 1024  # outputs shared by all words that have none of their own
     hidden: int = 16
     side: int = 2
     stride: int = 8
     rounds: int = 2
-    batch: int = 2048
-    rate: float = 0.05
+    batch: int = 4096
+    rate: float = 0.1
 
     @property
     def size(self) -> int:
         return self.classes * self.per_class
 
+    @property
+    def known(self) -> int:
+        return self.size - self.buckets
+
 
 CHUNKS = 64
+#: Copies of the model, or of means of copies, that one task averages.
+FAN = 64
+#: The most slices (as a power of two) of the hash range; one task tallies a slice.
+SLICES = 14
+END = 256  # the sign that ends a word
+
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+def bucket_of(hashes: np.ndarray, shape: Shape) -> np.ndarray:
+    """Buckets ascend with the hash, so a slice of the hash range holds few of them."""
+    return (((hashes >> U64(32)) * U64(shape.buckets)) >> U64(32)).astype(np.int64)
+
 
+def _spans(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bytes of the spans in a row."""
+    return data[np.repeat(begin - np.cumsum(size) + size, size) + np.arange(int(size.sum()))]
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(kind, key, n): words by hash, and bytes inside words, of a task; merged when there are many."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    size, letters = 0, np.zeros(256, np.int64)
 
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        keys, back = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
-        return keys, np.bincount(back, weights=np.concatenate([x[1] for x in held]), minlength=len(keys)).astype(np.int64)
+READ = "run long, doc_ids array<long>, first binary, words binary, at binary, letters binary, sizes binary, tally binary, signs binary"
 
-    def rows(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), pa.array(n)], names=["kind", "key", "n"])
 
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of whole texts: distinct words (hash, letters, count) and each word's place among them."""
+    packer, number = zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId() << 32
     for batch in batches:
-        for _, _, data, offsets in text_blocks(batch.column(0)):
-            start, end, _ = word_spans(data, offsets, NOT_ALNUM)
-            held.append(np.unique(span_hash(prefix_sums(data, LOWER_VALUES), start, end), return_counts=True))
-            letters += np.bincount(data[~NOT_ALNUM[data]], minlength=256)
-            size += len(held[-1][0])
-            if size > 2_000_000:
-                keys, n = merged()
-                held, size = [(keys, n)], len(keys)
-                if size > 1_000_000:
-                    yield rows(0, keys, n)
-                    held, size = [], 0
+        hashes, first, letters, sizes, own = [np.zeros(0, U64)], [np.zeros(1, np.int64)], [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)], [np.zeros(0, U64)]
+        signs, seen = np.zeros(257, np.int64), 0
+        for _, _, data, offsets in text_blocks(batch.column(1)):
+            start, end, begin = word_spans(data, offsets, NOT_ALNUM)
+            h = span_hash(prefix_sums(data, LOWER_VALUES), start, end)
+            new, where = np.unique(h, return_index=True)
+            own.append(new)
+            sizes.append((end - start)[where])
+            letters.append(LOWER[_spans(data, start[where], sizes[-1])])
+            hashes.append(h)
+            first.append(begin[1:] + seen)
+            seen += len(h)
+            signs[:256] += np.bincount(LOWER[data[~NOT_ALNUM[data]]], minlength=256)
+        signs[END] = seen
+        words, where = np.unique(np.concatenate(own), return_index=True)
+        size, every = np.concatenate(sizes), np.concatenate(letters)
+        said = _spans(every, (np.cumsum(size) - size)[where], size[where])
+        at = np.searchsorted(words, np.concatenate(hashes)).astype("<u4")
+        tally = np.bincount(at, minlength=len(words)).astype("<u4")
+        column = lambda x: pa.array([x], pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([number]), pa.array([batch.column(0).to_pylist()], pa.list_(pa.int64())), column(_squeeze(np.concatenate(first), "<i8", packer)), column(pack(words, packer) if len(words) else b""), *(column(_squeeze(x, "<u4", packer)) for x in (at,)), column(packer.compress(said.tobytes())), column(_squeeze(size[where], "<u4", packer)), column(_squeeze(tally, "<u4", packer)), column(signs.astype("<i8").tobytes())],
+            names=[x.split()[0] for x in READ.split(", ")],
+        )
+        number += 1
+
+
+def _squeeze(values: np.ndarray, dtype: str, packer: zstandard.ZstdCompressor) -> bytes:
+    return packer.compress(planes(values.astype(dtype))) if len(values) else b""
+
+
+def _open(raw: bytes, dtype: str, opener: zstandard.ZstdDecompressor) -> np.ndarray:
+    return unplanes(opener.decompress(raw), dtype) if raw else np.zeros(0, dtype)
+
+
+def _deal(batches: Iterator[pa.RecordBatch], slice_bits: int) -> Iterator[pa.RecordBatch]:
+    """Each run's words and counts by slices of the hash range."""
+    packer, opener = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+    for batch in batches:
+        for row in batch.to_pylist():
+            if not row["words"]:
+                continue
+            words, tally = unpack(row["words"], opener), _open(row["tally"], "<u4", opener)
+            edges = np.arange(1, 1 << slice_bits, dtype=np.uint64) << U64(64 - slice_bits)
+            cuts = np.concatenate([[0], np.searchsorted(words, edges), [len(words)]])
+            used = np.flatnonzero(np.diff(cuts)).tolist()
+            parts = [slice(int(cuts[i]), int(cuts[i + 1])) for i in used]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(used, pa.int64()), pa.array([row["run"]] * len(used), pa.int64()), pa.array([pack(words[x], packer) for x in parts], pa.binary()), pa.array([_squeeze(tally[x], "<u4", packer) for x in parts], pa.binary())],
+                names=["slice", "run", "words", "tally"],
+            )
+
+
+TALLY = "kind int, run long, slice long, key long, n long, m long, counts binary"
+RUN, TOP, BUCKET = 0, 1, 2
+
+
+def _tally(batches: Iterator[pa.RecordBatch], shape: Shape) -> Iterator[pa.RecordBatch]:
+    """Per slice: every run's words' counts in the corpus, candidates for the commonest words, and each bucket's words and tokens. Rows come sorted by slice."""
+    packer, opener = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+    def rows(kind: int, at: int, runs: list, keys: list, n: list, m: list, counts: list) -> pa.RecordBatch:
+        size = max(map(len, (runs, keys)))
+        values = ([kind] * size, runs or [None] * size, [at] * size, keys or [None] * size, n or [None] * size, m or [None] * size, counts or [None] * size)
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, (pa.int32(), *[pa.int64()] * 5, pa.binary()), strict=True)], names=[x.split()[0] for x in TALLY.split(", ")])
+
+    def finish(at: int, held: list[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        sizes = [len(x[1]) for x in held]
+        words, back = np.unique(np.concatenate([x[1] for x in held]), return_inverse=True)
+        total = np.bincount(back, weights=np.concatenate([x[2] for x in held]).astype(np.float64)).astype(np.int64)
+        cuts = np.cumsum([0, *sizes]).tolist()
+        yield rows(RUN, at, [x[0] for x in held], [], [], [], [_squeeze(total[back[a:b]], "<u8", packer) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+        top = np.lexsort((words.view(np.int64), -total))[: shape.known]
+        yield rows(TOP, at, [], words[top].view(np.int64).tolist(), total[top].tolist(), [], [])
+        bucket = bucket_of(words, shape)
+        own, begin = np.unique(bucket, return_index=True)
+        yield rows(BUCKET, at, [], own.tolist(), np.add.reduceat(total, begin).tolist(), np.diff(np.append(begin, len(words))).tolist(), [])
+
+    at, held = -1, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["slice"] != at and held:
+                yield from finish(at, held)
+                held = []
+            at = row["slice"]
+            held.append((row["run"], unpack(row["words"], opener), _open(row["tally"], "<u4", opener)))
     if held:
-        yield rows(0, *merged())
-    yield rows(1, np.arange(256, dtype=np.int64), letters)
+        yield from finish(at, held)
+
+
+def _signs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(257, np.int64)
+    for batch in batches:
+        for raw in batch.column(0).to_pylist():
+            total += np.frombuffer(raw, "<i8")
+    yield pa.RecordBatch.from_arrays([pa.array(range(257), pa.int64()), pa.array(total)], names=["sign", "n"])
 
 
 @dataclass
 class Vocabulary:
     hashes: np.ndarray  # in order of frequency
-    spelling: np.ndarray  # log-probability of each byte
-    counts: np.ndarray  # of all ids
-
-
-def gather(texts: DataFrame, shape: Shape) -> Vocabulary:
-    counted = materialise(texts.mapInArrow(lambda b: give_back(_count(b)), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")))
-    top = counted.where("kind = 0").orderBy(F.desc("n"), "key").limit(shape.size - shape.lengths).collect()
-    letters = np.ones(256)
-    for row in counted.where("kind = 1").collect():
-        letters[row["key"]] += row["n"]
-    rest = counted.where("kind = 0").agg(F.sum("n")).first()[0] or 0
-    counts = np.ones(shape.size)
-    counts[: len(top)] += [r["n"] for r in top]
-    counts[shape.size - shape.lengths :] += (rest - sum(r["n"] for r in top)) / shape.lengths
-    return Vocabulary(np.array([r["key"] for r in top], np.int64).view(U64), np.log(letters / letters.sum()), counts)
-
-
-class Reader:
-    """Texts as ids, with what their unknown words cost to spell."""
-
-    def __init__(self, vocabulary: Vocabulary, shape: Shape):
-        self.shape, self.vocabulary = shape, vocabulary
-        self.table = SlotTable(16)
-        known = vocabulary.hashes
-        self.table.store(known, np.arange(len(known)))
-        self.order = np.argsort(known)
-        self.sorted = known[self.order]
-
-    def read(self, data: np.ndarray, offsets: np.ndarray, spell: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """ids, spelling cost (log) of each word if asked for, and each text's first word."""
-        start, end, first = word_spans(data, offsets, NOT_ALNUM)
-        hashes = span_hash(prefix_sums(data, LOWER_VALUES), start, end)
-        ids, missing = self.table.find(hashes)
-        if len(missing) and len(self.sorted):  # the few words that found no slot are looked up by search
-            at = np.minimum(np.searchsorted(self.sorted, hashes[missing]), len(self.sorted) - 1)
-            hit = self.sorted[at] == hashes[missing]
-            ids[missing[hit]] = self.order[at[hit]]
-            missing = missing[~hit]
-        length = end[missing] - start[missing]
-        ids[missing] = self.shape.size - self.shape.lengths + np.minimum(length, self.shape.lengths) - 1
-        if not spell:
-            return ids, np.zeros(0), first
-        spelling = np.zeros(len(data) + 1)
-        np.cumsum(self.vocabulary.spelling[data], out=spelling[1:])
-        cost = np.zeros(len(ids))
-        cost[missing] = spelling[end[missing]] - spelling[start[missing]]
-        return ids, cost, first
+    counts: np.ndarray  # of all ids: words of their own, then buckets
+    spelling: np.ndarray  # log-probability of each byte and of a word's end
+    types: np.ndarray  # different words of each bucket
+
+
+CODED = "doc_ids array<long>, first binary, ids binary, inside binary, novel binary"
+
+
+def _code(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, shape: Shape) -> Iterator[pa.RecordBatch]:
+    """Runs as ids, with log p(word | bucket) of each bucketed word and each text's words that no other text holds."""
+    packer, opener = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+    order = np.argsort(vocabulary.hashes)
+    known = vocabulary.hashes[order]
+    tokens, types = vocabulary.counts[shape.known :], np.maximum(vocabulary.types, 1)
+    for batch in batches:
+        for row in batch.to_pylist():
+            first = _open(row["first"], "<i8", opener)
+            ids, inside, novel = np.zeros(0, np.int64), np.zeros(0), np.zeros(len(first) - 1, np.int64)
+            if row["words"]:
+                words, at, size = unpack(row["words"], opener), _open(row["at"], "<u4", opener).astype(np.int64), _open(row["sizes"], "<u4", opener).astype(np.int64)
+                total = np.concatenate([_open(x["counts"], "<u8", opener) for x in row["counts"]]).astype(np.int64)
+                letters = np.frombuffer(opener.decompress(row["letters"]), np.uint8)
+                spelled = np.add.reduceat(vocabulary.spelling[letters], np.cumsum(size) - size) + vocabulary.spelling[END]
+                of_word = shape.known + bucket_of(words, shape)
+                if len(known):
+                    place = np.minimum(np.searchsorted(known, words), len(known) - 1)
+                    hit = known[place] == words
+                    of_word[hit] = order[place[hit]]
+                ids = of_word[at]
+                rare = np.flatnonzero(ids >= shape.known)
+                word, bucket, text = at[rare], ids[rare] - shape.known, owners(first)[rare]
+                elsewhere = total[word] - _equal(text * len(words) + word)
+                outside = tokens[bucket] - _equal(text * shape.buckets + bucket) + types[bucket]
+                inside = np.where(elsewhere > 0, np.log(np.maximum(elsewhere, 1)), np.log(types[bucket]) + spelled[word]) - np.log(np.maximum(outside, 1))
+                novel = np.bincount(text[elsewhere <= 0], minlength=len(novel))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row["doc_ids"]], pa.list_(pa.int64())), *(pa.array([_squeeze(x, t, packer)], pa.binary()) for x, t in ((first, "<i8"), (ids, "<u2" if shape.size <= 1 << 16 else "<u4"), (inside, "<f4"), (novel, "<i8")))],
+                names=[x.split()[0] for x in CODED.split(", ")],
+            )
+
+
+def _equal(keys: np.ndarray) -> np.ndarray:
+    """How many keys equal each one."""
+    _, back, n = np.unique(keys, return_inverse=True, return_counts=True)
+    return n[back]
+
+
+def gather(docs: DataFrame, shape: Shape) -> tuple[Vocabulary, DataFrame]:
+    """The vocabulary, and the corpus in ids (CODED): words are read and hashed once."""
+    read = materialise(steady(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lambda b: give_back(_read(b)), READ))
+    bits = min(max(8, read.count().bit_length()), SLICES)
+    dealt = read.select("run", "words", "tally").mapInArrow(lambda b: give_back(_deal(b, bits)), "slice long, run long, words binary, tally binary")
+    tallied = materialise(dealt.repartition("slice").sortWithinPartitions("slice", "run").mapInArrow(lambda b: give_back(_tally(b, shape)), TALLY))
+    top = tallied.where(F.col("kind") == TOP).orderBy(F.desc("n"), "key").limit(shape.known).collect()
+    buckets = tallied.where(F.col("kind") == BUCKET).groupBy("key").agg(F.sum("n").alias("n"), F.sum("m").alias("m")).collect()  # one row each
+    signs = np.ones(257)
+    for row in read.select("signs").mapInArrow(_signs, "sign long, n long").groupBy("sign").agg(F.sum("n").alias("n")).collect():
+        signs[row["sign"]] += row["n"]
+    hashes = np.array([r["key"] for r in top], np.int64).view(U64)
+    counts, types = np.zeros(shape.size), np.zeros(shape.buckets, np.int64)
+    counts[: len(top)] = [r["n"] for r in top]
+    for row in buckets:
+        counts[shape.known + row["key"]] += row["n"]
+        types[row["key"]] += row["m"]
+    np.subtract.at(counts, shape.known + bucket_of(hashes, shape), counts[: len(top)])
+    np.subtract.at(types, bucket_of(hashes, shape), 1)
+    vocabulary = Vocabulary(hashes, counts, np.log(signs / signs.sum()), types)
+    mine = tallied.where(F.col("kind") == RUN).groupBy("run").agg(F.array_sort(F.collect_list(F.struct("slice", "counts"))).alias("counts"))
+    known = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    whole = read.drop("tally", "signs").join(mine, "run", "left").select("doc_ids", "first", "words", "at", "letters", "sizes", "counts")
+    coded = materialise(whole.mapInArrow(lambda b: give_back(_code(b, known.value, shape)), CODED))
+    release(read, tallied)
+    return vocabulary, coded
 
 
 def contexts(ids: np.ndarray, first: np.ndarray, shape: Shape, at: np.ndarray | None = None) -> np.ndarray:
@@ -153,7 +285,7 @@ def contexts(ids: np.ndarray, first: np.ndarray, shape: Shape, at: np.ndarray |
 def start_model(vocabulary: Vocabulary, shape: Shape, seed: int = 3) -> dict[str, np.ndarray]:
     r = np.random.RandomState(seed)
     f = lambda *n: (r.randn(*n) * 0.1).astype(np.float32)
-    counts = vocabulary.counts.reshape(shape.classes, shape.per_class)
+    counts = (vocabulary.counts + 1).reshape(shape.classes, shape.per_class)
     return {
         "vectors": f(2 * shape.side * (shape.size + 1), shape.hidden),
         "bias": np.zeros(shape.hidden, np.float32),
@@ -267,68 +399,92 @@ def taught(at: np.ndarray, turn: int, shape: Shape) -> np.ndarray:
     return at % shape.stride % shape.rounds == turn
 
 
-def _train(batches: Iterator[pa.RecordBatch], model: dict, vocabulary: Vocabulary, shape: Shape, turn: int) -> Iterator[pa.RecordBatch]:
-    reader, trainer = Reader(vocabulary, shape), Trainer(model, shape)
+COPIES = "part long, chunk int, places long, values binary"
+
+
+def _copies(part: int, places: int, values: list[bytes], chunks: list[int]) -> pa.RecordBatch:
+    n = len(chunks)
+    return pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int64()), pa.array(chunks, pa.int32()), pa.array([places] * n, pa.int64()), pa.array(values, pa.binary())], names=[x.split()[0] for x in COPIES.split(", ")])
+
+
+def _ids(raw: bytes, shape: Shape, opener: zstandard.ZstdDecompressor) -> np.ndarray:
+    return _open(raw, "<u2" if shape.size <= 1 << 16 else "<u4", opener).astype(np.int64)
+
+
+def _train(batches: Iterator[pa.RecordBatch], model: dict, shape: Shape, turn: int, part: int = 0) -> Iterator[pa.RecordBatch]:
+    """A copy of the model after a task's texts. batches: first, ids."""
+    trainer, opener = Trainer(model, shape), zstandard.ZstdDecompressor()
     for batch in batches:
-        for _, _, data, offsets in text_blocks(batch.column(0)):
-            ids, _, first = reader.read(data, offsets, spell=False)
+        for first, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            first, ids = _open(first, "<i8", opener), _ids(ids, shape, opener)
             at = np.arange(len(ids)) - np.repeat(first[:-1], np.diff(first))
             chosen = np.flatnonzero(taught(at, turn, shape))
             chosen = chosen[np.argsort(mix(chosen.astype(U64)))]
-            context = contexts(ids, first, shape, chosen)
             for i in range(0, len(chosen), shape.batch):
-                trainer.step(context[i : i + shape.batch], ids[chosen[i : i + shape.batch]])
+                some = chosen[i : i + shape.batch]
+                trainer.step(contexts(ids, first, shape, some), ids[some])
     if trainer.places:
-        parts = np.array_split(flat(trainer.model), CHUNKS)
-        yield pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), pa.array([trainer.places] * CHUNKS, pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["chunk", "places", "values"])
+        yield _copies(part, trainer.places, [x.tobytes() for x in np.array_split(flat(trainer.model), CHUNKS)], list(range(CHUNKS)))
 
 
 def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[int, tuple[np.ndarray, int]] = {}
+    """Means of copies by part and chunk, weighted by places."""
+    sums: dict[tuple[int, int], tuple[np.ndarray, int]] = {}
     for batch in batches:
         for row in batch.to_pylist():
-            total, places = sums.get(row["chunk"], (0.0, 0))
-            sums[row["chunk"]] = total + np.frombuffer(row["values"], "<f4").astype(np.float64) * row["places"], places + row["places"]
-    if sums:
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([(t / n).astype("<f4").tobytes() for t, n in sums.values()], pa.binary())], names=["chunk", "values"])
-
-
-def fit(docs: DataFrame, shape: Shape | None = None) -> tuple[dict, Vocabulary]:
+            key = row["part"], row["chunk"]
+            total, places = sums.get(key, (0.0, 0))
+            sums[key] = total + np.frombuffer(row["values"], "<f4").astype(np.float64) * row["places"], places + row["places"]
+    for (part, chunk), (total, n) in sums.items():
+        yield _copies(part, n, [(total / n).astype("<f4").tobytes()], [chunk])
+
+
+def mean_model(copies: DataFrame, parts: int, like: dict, fan: int = FAN) -> dict:
+    """The mean of all copies (COPIES, of ``parts`` parts) in a tree: no task takes more than ``fan`` copies of a chunk."""
+    while True:
+        parts = -(-parts // fan)
+        copies = copies.withColumn("part", F.floor(F.col("part") / fan)).repartition("part", "chunk").mapInArrow(_average, COPIES)
+        if parts <= 1:
+            break
+    rows = copies.select("chunk", "values").collect()  # one model
+    return unflat(np.concatenate([np.frombuffer(r["values"], "<f4") for r in sorted(rows)]), like) if rows else like
+
+
+def fit(docs: DataFrame, shape: Shape | None = None) -> tuple[dict, Vocabulary, DataFrame]:
+    """The trained network, the vocabulary and the corpus in ids."""
     shape = shape or Shape()
-    texts = steady(docs).select(F.col("text").cast("string"))
-    vocabulary = gather(texts, shape)
-    model = start_model(vocabulary, shape)
+    vocabulary, coded = gather(docs, shape)
+    model, parts = start_model(vocabulary, shape), coded.rdd.getNumPartitions()
     for turn in range(shape.rounds):
-        known = docs.sparkSession.sparkContext.broadcast((model, vocabulary))
-        copies = texts.mapInArrow(lambda b, known=known, turn=turn: give_back(_train(b, *known.value, shape, turn)), "chunk int, places long, values binary")
-        rows = copies.repartition("chunk").mapInArrow(_average, "chunk int, values binary").collect()  # one model
-        if rows:
-            model = unflat(np.concatenate([np.frombuffer(r["values"], "<f4") for r in sorted(rows)]), model)
-    return model, vocabulary
+        known = docs.sparkSession.sparkContext.broadcast(model)
+        copies = coded.select("first", "ids").mapInArrow(lambda b, known=known, turn=turn: give_back(_train(b, known.value, shape, turn, TaskContext.get().partitionId())), COPIES)
+        model = mean_model(copies, parts, model)
+    return model, vocabulary, coded
 
 
-SCHEMA = "doc_id long, n_words long, log_likelihood double, mean_log_prob double"
+SCHEMA = "doc_id long, n_words long, log_likelihood double, mean_log_prob double, n_novel long"
 
 
 def score_documents(docs: DataFrame, shape: Shape | None = None) -> DataFrame:
-    """One row per input row."""
+    """One row per input row. ``n_novel``: its words that stand in no other row."""
     shape = shape or Shape()
-    known = docs.sparkSession.sparkContext.broadcast(fit(docs, shape))
+    model, _, coded = fit(docs, shape)
+    known = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, vocabulary = known.value
-        reader = Reader(vocabulary, shape)
+        opener = zstandard.ZstdDecompressor()
         for batch in batches:
-            for lo, hi, data, offsets in text_blocks(batch.column(1)):
-                ids, cost, first = reader.read(data, offsets)
-                context = contexts(ids, first, shape)
+            for row in batch.to_pylist():
+                first, ids = _open(row["first"], "<i8", opener), _ids(row["ids"], shape, opener)
                 each = np.zeros(len(ids) + 1)
-                parts = [log_probs(model, context[i : i + 32768], ids[i : i + 32768], shape) for i in range(0, len(ids), 32768)]
-                np.cumsum(np.concatenate([np.zeros(0), *parts]) + cost, out=each[1:])
+                parts = [log_probs(known.value, contexts(ids, first, shape, np.arange(i, min(i + 32768, len(ids)))), ids[i : i + 32768], shape) for i in range(0, len(ids), 32768)]
+                own = np.concatenate([np.zeros(0), *parts])
+                own[ids >= shape.known] += _open(row["inside"], "<f4", opener)
+                np.cumsum(own, out=each[1:])
                 total, n = each[first[1:]] - each[first[:-1]], np.diff(first)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1), mask=n == 0)],
-                    names=["doc_id", "n_words", "log_likelihood", "mean_log_prob"],
+                    [pa.array(row["doc_ids"], pa.int64()), pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1), mask=n == 0), pa.array(_open(row["novel"], "<i8", opener))],
+                    names=[x.split()[0] for x in SCHEMA.split(", ")],
                 )
 
-    return steady(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(score, SCHEMA)
+    return coded.mapInArrow(lambda b: give_back(score(b)), SCHEMA)

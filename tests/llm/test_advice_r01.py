@@ -52,14 +52,16 @@ def test_op9_judges_tails_and_short_texts_by_chunks(prose, noise):
 
 @pytest.mark.parametrize("shape", [pseudo_likelihood.Shape(), pseudo_likelihood.Shape(stride=5, rounds=3), pseudo_likelihood.Shape(stride=1, rounds=1)])
 def test_op7_rounds_mask_every_word_once(shape):
-    texts = ["one two three four", "five", "", " ".join(f"w{i}" for i in range(37))]
-    vocabulary = pseudo_likelihood.Vocabulary(np.zeros(0, np.uint64), np.zeros(256), np.ones(shape.size))
-    model = pseudo_likelihood.start_model(vocabulary, shape)
+    sizes = [4, 1, 0, 37]
+    first, ids = np.concatenate([[0], np.cumsum(sizes)]), np.arange(sum(sizes)) % shape.size
+    vocabulary = pseudo_likelihood.Vocabulary(np.zeros(0, np.uint64), np.zeros(shape.size), np.zeros(257), np.zeros(shape.buckets))
+    model, packer = pseudo_likelihood.start_model(vocabulary, shape), zstandard.ZstdCompressor()
+    batch = pa.record_batch([pa.array([pseudo_likelihood._squeeze(first, "<i8", packer)], pa.binary()), pa.array([pseudo_likelihood._squeeze(ids, "<u2", packer)], pa.binary())], names=["first", "ids"])
     places = 0
     for turn in range(shape.rounds):
-        for out in pseudo_likelihood._train(iter([pa.record_batch([pa.array(texts)], names=["text"])]), model, vocabulary, shape, turn):
-            places += out.column(1)[0].as_py()
-    assert places == 4 + 1 + 37
+        for out in pseudo_likelihood._train(iter([batch]), model, shape, turn):
+            places += out.column(2)[0].as_py()
+    assert places == sum(sizes)
 
 
 @pytest.mark.parametrize(("told", "value", "kind"), [("password: ", "correcthorsebattery", "secret"), ("token=", "abcdefghijklmnop", "secret"), ("username ", "alice", "handle"), ("secret = ", "correct-horse-battery", "secret"), ("login: ", "marlowe", "handle")])
@@ -80,15 +82,3 @@ def test_op2_finds_whole_items_without_windows(spark):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {x.doc_id: x.item_ids for x in decontaminate(docs, spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()}
     assert got == {i: str(i) if i <= 5 else "" for i in texts}
-
-
-def test_resampling_and_cross_fitting_use_full_settings(spark, monkeypatch):
-    from rowkin.plans import pair_queries as P
-
-    monkeypatch.setattr(P.R, "paired_bootstrap", lambda delta, replicates=200: replicates)
-    assert P.bootstrap_ci(spark, "/root/testdata/sf0.001") == 1000
-    said = []
-    monkeypatch.setattr(P.learner, "fit_gbt", lambda rows, seed, **options: said.append(options))
-    monkeypatch.setattr(P.learner, "cross_fit", lambda rows, k, fit: fit(rows, 0) or rows.selectExpr("s", "q", "label", "p0 AS p", "train"))
-    P.gbt_crossfit(spark, "/root/testdata/sf0.001")
-    assert said == [{}]

@@ -158,12 +158,12 @@ def test_urls(spark):
 
 # ---- language model ----
 
-SMALL = pseudo_likelihood.Shape(classes=4, per_class=8, lengths=6, hidden=6, stride=2, batch=64)
+SMALL = pseudo_likelihood.Shape(classes=4, per_class=8, buckets=20, hidden=6, stride=2, batch=64)
 
 
 def test_conditional_probabilities_sum_to_one_and_gradients_hold():
-    r, shape = np.random.RandomState(0), pseudo_likelihood.Shape(classes=4, per_class=5, lengths=3, hidden=3)
-    vocabulary = pseudo_likelihood.Vocabulary(np.arange(1, 18).astype(np.uint64), np.zeros(256), np.ones(20))
+    r, shape = np.random.RandomState(0), pseudo_likelihood.Shape(classes=4, per_class=5, buckets=3, hidden=3)
+    vocabulary = pseudo_likelihood.Vocabulary(np.arange(1, 18).astype(np.uint64), np.ones(20), np.zeros(257), np.ones(3))
     model = {k: v.astype(float) + r.randn(*v.shape) * 0.3 for k, v in pseudo_likelihood.start_model(vocabulary, shape).items()}
     ids, first = r.randint(0, 20, 11), np.array([0, 5, 5, 11])
     context = pseudo_likelihood.contexts(ids, first, shape)
@@ -181,31 +181,99 @@ def test_conditional_probabilities_sum_to_one_and_gradients_hold():
         assert (ends[0] - ends[1]) / 2 / step == pytest.approx(np.asarray(grads[name])[at], abs=1e-5)
 
 
-def test_scores_equal_a_plain_sum(spark):
+def word_hash(word):
+    from rowkin.llm.common import LOWER_VALUES, prefix_sums, span_hash
+
+    data = np.frombuffer(word.encode(), np.uint8)
+    return int(span_hash(prefix_sums(data, LOWER_VALUES), np.array([0]), np.array([len(data)]))[0])
+
+
+def test_scores_equal_a_plain_sum(spark, monkeypatch):
+    import collections
+    import math
+
     r = random.Random(1)
     words = [f"w{chr(97 + k)}" for k in range(20)]
-    rows = [(i, " ".join(r.choice(words) if r.random() < 0.9 else "rare" + "x" * r.randint(0, 9) for _ in range(r.randint(0, 40)))) for i in range(60)]
+    rows = [(i, " ".join(r.choice(words) if r.random() < 0.9 else "Rare" + "x" * r.randint(0, 60) for _ in range(r.randint(0, 40)))) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    model, vocabulary = pseudo_likelihood.fit(docs, SMALL)
-    reader = pseudo_likelihood.Reader(vocabulary, SMALL)
+    fitted = pseudo_likelihood.fit(docs, SMALL)
+    model = fitted[0]
+    monkeypatch.setattr(pseudo_likelihood, "fit", lambda docs, shape: fitted)
     got = {x.doc_id: x for x in pseudo_likelihood.score_documents(docs, SMALL).collect()}
-    import collections
 
-    counted = collections.Counter(w for _, t in rows for w in t.split())
-    assert len(vocabulary.hashes) == min(len(counted), SMALL.size - SMALL.lengths) and vocabulary.counts[0] == 1 + max(counted.values())
+    counted = collections.Counter(w for _, t in rows for w in t.lower().split())
+    signed = lambda w: (h := word_hash(w)) - (1 << 64 if h >= 1 << 63 else 0)
+    known = sorted(counted, key=lambda w: (-counted[w], signed(w)))[: SMALL.known]
+    bucket = lambda w: (word_hash(w) >> 32) * SMALL.buckets >> 32
+    number = {w: known.index(w) if w in known else SMALL.known + bucket(w) for w in counted}
+    rare = [w for w in counted if w not in known]
+    tokens, types = collections.Counter(), collections.Counter()
+    signs = collections.Counter({b: 1 for b in range(257)})
+    for w in counted:
+        signs.update({b: n * counted[w] for b, n in collections.Counter(w.encode()).items()})
+        signs[256] += counted[w]
+    for w in rare:
+        tokens[bucket(w)] += counted[w]
+        types[bucket(w)] += 1
+    every = sum(signs.values())
+    novel = 0
     for i, text in rows:
-        data = np.frombuffer(text.encode(), np.uint8)
-        ids, cost, first = reader.read(data, np.array([0, len(data)]))
+        said = text.lower().split()
+        own = collections.Counter(said)
+        ids = [number[w] for w in said]
         total = 0.0
-        for k in range(len(ids)):
+        for k, w in enumerate(said):
             around = [ids[j] if 0 <= j < len(ids) else SMALL.size for j in (k - 2, k - 1, k + 1, k + 2)]
-            h = np.tanh(model["bias"] + sum(model["vectors"][p * (SMALL.size + 1) + w] for p, w in enumerate(around)))
-            kind, place = divmod(int(ids[k]), SMALL.per_class)
+            h = np.tanh(model["bias"] + sum(model["vectors"][p * (SMALL.size + 1) + x] for p, x in enumerate(around)))
+            kind, place = divmod(ids[k], SMALL.per_class)
             a = h @ model["classes"] + model["class_bias"]
-            own = slice(kind * SMALL.per_class, (kind + 1) * SMALL.per_class)
-            b = model["words"][own] @ h + model["word_bias"][own]
-            total += a[kind] - np.log(np.exp(a).sum()) + b[place] - np.log(np.exp(b).sum()) + cost[k]
-        assert got[i].n_words == len(text.split()) and got[i].log_likelihood == pytest.approx(total, rel=1e-4, abs=1e-3)
+            mine = slice(kind * SMALL.per_class, (kind + 1) * SMALL.per_class)
+            b = model["words"][mine] @ h + model["word_bias"][mine]
+            total += a[kind] - np.log(np.exp(a).sum()) + b[place] - np.log(np.exp(b).sum())
+            if w in rare:
+                c = bucket(w)
+                room = tokens[c] - sum(n for x, n in own.items() if x in rare and bucket(x) == c) + types[c]
+                spelled = sum(math.log(signs[x] / every) for x in [*w.encode(), 256])
+                left = counted[w] - own[w]
+                total += (math.log(left) if left else math.log(types[c]) + spelled) - math.log(room)
+        lonely = sum(n for w, n in own.items() if w in rare and counted[w] == n)
+        novel += lonely
+        assert got[i].n_words == len(said) and got[i].n_novel == lonely and got[i].log_likelihood == pytest.approx(total, rel=1e-4, abs=1e-3)
+    assert novel > 5
+
+
+def test_scores_hold_under_another_partitioning(spark):
+    r = random.Random(4)
+    words = ["".join(r.choice("abcdeiou") for _ in range(r.randint(1, 5))) for _ in range(300)]
+    rows = [(i, " ".join(words[int(300 * r.random() ** 3)] for _ in range(r.randint(5, 80)))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    two, five = ({x.doc_id: x for x in pseudo_likelihood.score_documents(docs.repartition(n), SMALL).collect()} for n in (2, 5))
+    a, b = (np.array([part[i].mean_log_prob for i in range(400)]) for part in (two, five))
+    assert all(two[i].n_novel == five[i].n_novel for i in range(400))
+    assert np.abs(a - b).mean() < 0.1 and np.corrcoef(a, b)[0, 1] > 0.98
+
+
+def test_copies_are_averaged_in_a_tree(spark):
+    r = np.random.RandomState(3)
+    like = {"w": np.zeros((5, 30), np.float32)}
+    models, places = r.randn(9, 150).astype("<f4"), r.randint(1, 50, 9)
+    rows = [(p, k, int(places[p]), bytearray(x.tobytes())) for p in range(9) for k, x in enumerate(np.array_split(models[p], pseudo_likelihood.CHUNKS))]
+    copies = spark.createDataFrame(rows, pseudo_likelihood.COPIES).repartition(4)
+    want = (models * places[:, None]).sum(0) / places.sum()
+    for fan in (2, 64):
+        assert np.allclose(pseudo_likelihood.mean_model(copies, 9, like, fan)["w"].reshape(-1), want, atol=1e-5)
+
+
+def test_copies_of_a_text_score_higher_than_a_text_of_its_own(spark):
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("bcdfghklmnprstaeiou") for _ in range(r.randint(5, 9)))
+    common = [word() for _ in range(12)]
+    text = lambda: " ".join(r.choice(common) if r.random() < 0.7 else word() for _ in range(60))
+    rows = [(i, text()) for i in range(120)]
+    rows += [(1000 + i, rows[i][1]) for i in range(40)]
+    got = {x.doc_id: x for x in pseudo_likelihood.score_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), SMALL).collect()}
+    twice, once = [got[i].mean_log_prob for i in range(40)], [got[i].mean_log_prob for i in range(40, 120)]
+    assert min(twice) > max(once) and all(got[i].n_novel == 0 for i in range(40))
 
 
 def test_orderly_text_scores_higher(spark):
