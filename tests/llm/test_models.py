@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 
 from rowkin.llm import pii, pseudo_likelihood, toxicity
-from rowkin.llm.url_filter import LABELLED, RULES, filter_urls, rule_for, score, split_url, train
+from rowkin.llm import url_filter
+from rowkin.llm.url_filter import RULES, auc, filter_urls, judged, labelled_urls, scores, split_urls, train
 
 
 def plain_base(t):
@@ -139,23 +140,77 @@ def test_network_gradients():
 # ---- pages ----
 
 
-def test_urls(spark):
-    assert split_url("HTTP://A.Example.ORG/es/x?y#z") == ("a.example.org", "/es/x") and split_url(None) == split_url("nothing") == ("", "")
-    assert split_url("x://h?a/b") == ("h", "") and split_url("a://b://c/d") == ("b:", "//c/d")
-    assert rule_for("www.example.org", "/en/12", RULES)[1:] == ("example.org", "/en/1") and rule_for("notexample.org", "/es/1", RULES)[1:] == ("org", "/") and rule_for("example.org", "", RULES) is None
-    weights = train()
-    right = [(score(*split_url(u), weights) >= 0.5) == bool(y) for y, u in LABELLED]
-    assert sum(right) / len(right) >= 0.95
-    left = train([x for i, x in enumerate(LABELLED) if i % 4])
-    held = [x for i, x in enumerate(LABELLED) if not i % 4]
-    assert sum((score(*split_url(u), left) >= 0.5) == bool(y) for y, u in held) / len(held) >= 0.7
-    rows = [(1, "https://best-casino.test/poker"), (2, None), (3, ""), (4, "http://x.example.org/es/9"), (4, "http://x.example.org/es/9"), (5, "http://a.com/fr/2")]
-    out = sorted((x.page_id, x.host, x.path, x.rule, x.verdict) for x in filter_urls(spark.createDataFrame(rows, "page_id long, url string")).collect())
-    assert out[0] == (1, "best-casino.test", "/poker", None, "block") and out[1][1:4] == ("", "", None)
-    assert out[3] == out[4] == (4, "x.example.org", "/es/9", "example.org/es/", "block") and out[5][3:] == ("com/fr/", "allow")
+def plain_split(url):
+    m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+    return ("".join(c.lower() if "A" <= c <= "Z" else c for c in m[1]), m[2]) if m else ("", "")
+
+
+def plain_rule(host, path):
+    fits = [(v, h, p) for v, h, p in RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fits, key=lambda x: len(x[1] + x[2]), default=None)
+
+
+#: Addresses written by hand, none made by the generator.
+BY_HAND = [(1, x) for x in "http://casino-royal.test/slots/bonus https://best-casino.test/play/poker http://win-casino-online.test/jackpot https://spam-links.test/en/page http://link-farm.test/de/out https://seo-spam-farm.test/backlinks http://cheap-pills.test/buy/viagra https://pills-online.test/order https://xxx-video.test/adult/cam https://porn-tube.test/watch https://payday-loan.test/apply/fast-cash http://fast-cash-loans.test/loan http://bet365-win.test/betting/odds https://prize-winner.test/claim http://replica-watches.test/cheap/rolex".split()]
+BY_HAND += [(0, x) for x in "https://www.university.test/courses/physics http://library.test/catalogue/item/120 https://news.test/world/2020/article.html http://blog.garden.test/en/tomatoes https://docs.software.test/reference/api http://museum.test/fr/collection/12 https://recipes.test/de/kuchen.html http://weather.test/city/oslo https://m.travel.test/es/guia/7 http://science.test/journal/paper/81 http://school.test/maths/lesson-2 https://www.stories.test/fr/440#top http://therein.test/en/7001 https://withthe.test/fr/63.html http://onder.test/de/815/".split()]
+
+
+def test_urls_equal_the_plain_version(spark):
+    r = random.Random(9)
+    parts = ["http", "HTTPS", "://", ":", "/", "?", "#", "Example.ORG", "www.", "a.com", "org", ".", "/es/", "/en/1", "/fr/", "/de/", "é", "ÉX.ORG", "\n", "", "x" * 300, "日本"]
+    urls = ["".join(r.choice(parts) for _ in range(r.randint(0, 9))) for _ in range(3000)] + [None, "http://h", "://", "http://" + "a" * 100_000 + ".org/" + "b/" * 100_000]
+    rows = [(i, u, "clash", 1.5) for i, u in enumerate(urls)]
+    df = spark.createDataFrame(rows, "page_id long, url string, host string, score double").repartition(3)
+    weights = train(labelled_urls())
+    out = filter_urls(df.union(df.limit(5))).collect()
+    assert len(out) == len(urls) + 5
+    for x in out:
+        host, path = plain_split(urls[x.page_id])
+        rule = plain_rule(host, path)
+        assert (x.host, x.path, x.rule) == (host, path, rule and rule[1] + rule[2]), urls[x.page_id]
+        assert x.verdict == (rule[0] if rule else "block" if x.score >= 0.5 else "allow")
+    for x in r.sample(out, 40):  # the score, gram by gram
+        grams = set()
+        for kind, text in ((1, x.host), (2, x.path)):
+            raw = re.sub(b"[0-9]+", b"0", b"^" + "".join(c.lower() if "A" <= c <= "Z" else c for c in text).encode() + b"$")
+            for n in (3, 4, 5):
+                for i in range(len(raw) - n + 1):
+                    grams.add((kind, n, raw[i : i + n]))
+        from rowkin.llm.common import mix
+
+        hashed = {(n, g): word_hash_of(g) for _, n, g in grams}
+        places = {int(mix(np.array([(hashed[n, g] + kind * 8 + n) % (1 << 64)], np.uint64))[0]) >> (64 - url_filter.PLACE_BITS) for kind, n, g in grams}
+        want = sum(weights[k] for k in places) / max(len(places), 1) ** 0.5 + weights[-1]
+        assert x.score == pytest.approx(1 / (1 + np.exp(-want)), rel=1e-6)
     assert filter_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def word_hash_of(raw):
+    from rowkin.llm.common import prefix_sums, span_hash
+
+    data = np.frombuffer(raw, np.uint8)
+    return int(span_hash(prefix_sums(data), np.array([0]), np.array([len(data)]))[0])
+
+
+def test_url_model_on_held_out_addresses(spark):
+    made = labelled_urls()
+    assert len(made) == 4000 and len({u for _, u in made}) > 3900 and made == labelled_urls()
+    weights = train(made[:3000])
+    measure = lambda rows: auc(scores(*split_urls(pa_strings([u for _, u in rows])), weights), np.array([y for y, _ in rows]))
+    assert measure(made[3000:]) >= 0.97 and measure(BY_HAND) >= 0.95
+    table = spark.createDataFrame(made[:500], "label int, url string")
+    got = filter_urls(spark.createDataFrame([(1, "http://casino-slots.net/bet")], "page_id long, url string"), labelled=table).first()
+    assert got.verdict == "block" and got.rule is None
+    assert filter_urls(spark.createDataFrame([(1, "http://x.net/")], "page_id long, url string"), labelled=[(0, "http://a.b/")]).first().verdict == "allow"
+    assert judged(*split_urls(pa_strings(["http://www.example.org/en/12"])), RULES)[0] == 2 and auc(np.array([0.1, 0.5, 0.5, 0.9]), np.array([0, 0, 1, 1])) == 0.875
+
+
+def pa_strings(values):
+    import pyarrow as pa
+
+    return pa.array(values, pa.string())
+
+
 # ---- language model ----
 
 SMALL = pseudo_likelihood.Shape(classes=4, per_class=8, buckets=20, hidden=6, stride=2, batch=64)
