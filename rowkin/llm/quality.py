@@ -169,7 +169,6 @@ def quality_rules(docs: DataFrame, bands: Bands | None = None) -> DataFrame:
     return steady(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lambda batches: give_back(_measure(batches, bands)), SCHEMA)
 
 
-#: Columns that the verdict reads, carried beside any columns of the input.
 def keep_good(docs: DataFrame, bands: Bands | None = None) -> DataFrame:
     """The input's rows and columns without the rejected ones: a filter inside the same pass."""
     bands = bands or Bands()

@@ -1,10 +1,9 @@
-"""The queries op1 to op10 and the pipeline, each over its whole table with production parameters."""
+"""The queries op1 to op10, each over its whole table with production parameters."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from rowkin.llm import oracles
@@ -72,7 +71,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_license_scan": op10_license_scan,
-    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {"op8_ngram_jaccard_join": oracles.NEAR_DUPLICATES}

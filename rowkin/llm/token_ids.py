@@ -1,9 +1,11 @@
 """Token ids of whole texts by a public tokenizer file (a parameter, read where it lies).
 
-The vocabulary drops white space and its pieces never cross it, so a text's
+Where the vocabulary drops white space, lower-cases and marks word ends, a text's
 ids are those of its space-separated parts in order. Parts repeat far more
 often than texts, so each worker keeps a bounded table from the hash of a part
-to its ids, and a block of texts is encoded by gathering from that table.
+to its ids, and a block of texts is encoded by gathering from that table. Whether a
+file is of this kind is probed when it is loaded; texts of any other one are
+encoded whole.
 """
 
 from __future__ import annotations
@@ -55,6 +57,15 @@ def _parts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return start, np.flatnonzero(inside & after) + 1, np.searchsorted(start, offsets)
 
 
+#: Texts on which the table of parts and the tokenizer itself must agree.
+PROBES = ("The cat, sat. It's 3.14 o'clock", "A  B\n\nc", "don't I'M x.y,z. (Word) word", "\u00c9t\u00e9 \u65e5\u672c\u8a9e 42nd", "..., a. b, tailing. ", "UPPER lower MiXed.", "")
+
+
+def _joined(texts: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
+    raw = [x.encode() for x in texts]
+    return np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+
+
 class BlockEncoder:
     """Encodes blocks of texts; its table starts anew when its ids fill the pool."""
 
@@ -67,6 +78,16 @@ class BlockEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._forget()
+        self.parts = bool(self.ends.any()) and self._agrees()
+        self._forget()
+
+    def _agrees(self) -> bool:
+        data, offsets = _joined(PROBES)
+        try:
+            ids, first = self._by_parts(data, offsets)
+        except RuntimeError:
+            return False
+        return all(ids[a:b].tolist() == self.tokenizer.encode(x, add_special_tokens=False).ids for x, a, b in zip(PROBES, first[:-1].tolist(), first[1:].tolist(), strict=True))
 
     def _forget(self) -> None:
         self.table = SlotTable(SLOT_BITS)  # first id * 2**20 + number of ids
@@ -109,6 +130,14 @@ class BlockEncoder:
         """All ids of a block and each text's first one (one entry more than texts)."""
         if not len(data):
             return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
+        return self._by_parts(data, offsets) if self.parts else self._whole(data, offsets)
+
+    def _whole(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = data.tobytes()
+        lists = [x.ids for x in self.tokenizer.encode_batch_fast([raw[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(lists), "<u4"), np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+
+    def _by_parts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if self.used > POOL_IDS:
             self._forget()
         start, end, first = _parts(data, offsets)
@@ -137,6 +166,12 @@ class BlockEncoder:
         return ids, np.concatenate([[0], ends])[first]
 
 
+def largest_id(path: str) -> int:
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values())
+
+
 _encoders: dict[str, BlockEncoder] = {}
 KEPT["tokens"] = _encoders.clear
 

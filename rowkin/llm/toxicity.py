@@ -9,8 +9,9 @@ beside them; a text's score comes from its highest window.
 Labels mark whole texts, so training chooses windows: the most toxic-looking one
 of a toxic text, the most toxic-looking and some others of a clean one, chosen
 anew in each round. It runs in numpy on the driver on a bounded sample of
-labelled rows (``Training.toxic`` and ``Training.clean``, the bound of the fit);
-log-odds, network and calibration each get rows of their own.
+labelled rows (``Training.toxic`` and ``Training.clean`` texts, together at most
+``Training.chars`` signs: in the order of their hash, texts of more than
+``Training.longest`` passed over; this is the bound of the fit). Log-odds, network and calibration each get rows of their own.
 
 Defined results: null and empty texts, and texts without a word, score 0.
 Repeated rows are scored one by one; a text labelled twice counts as toxic if any
@@ -26,7 +27,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowkin.llm.common import LOWER_VALUES, NOT_ALNUM, SlotTable, U64, prefix_sums, span_hash, steady, text_blocks, word_spans
@@ -52,6 +53,8 @@ class Shape:
 class Training:
     toxic: int = 2000
     clean: int = 4000
+    chars: int = 60_000_000
+    longest: int = 400_000
     rounds: int = 6
     steps: int = 120  # at least so many updates in all
     batch: int = 256
@@ -99,6 +102,7 @@ class Network:
     scale: float = 1.0
     shift: float = 0.0
     constant: float | None = None
+    recurrent: bool = True
 
     def inputs(self, words: np.ndarray, grams: np.ndarray, begin: np.ndarray, odds: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
         s, (word_odds, gram_odds) = self.shape, odds or (self.word_odds, self.gram_odds)
@@ -164,7 +168,10 @@ def _places(start: np.ndarray, size: np.ndarray, longest: int) -> tuple[np.ndarr
 
 
 def window_logits(net: Network, table: np.ndarray, words: np.ndarray, start: np.ndarray, size: np.ndarray, batch: int = 2048) -> np.ndarray:
-    """table: inputs of distinct words; words: their rows in text order. Windows come in order of their starts."""
+    """table: inputs of distinct words; words: their rows in text order. Windows come in order of their starts.
+
+    ``net.recurrent`` false leaves the states out of attention and score, to measure what they add.
+    """
     out = np.empty(len(start), np.float32)
     for i in range(0, len(start), batch):
         some = slice(i, i + batch)
@@ -172,7 +179,7 @@ def window_logits(net: Network, table: np.ndarray, words: np.ndarray, start: np.
         x = table[words[lo : int((start[some] + size[some]).max())]]
         gates = {side: x @ net.p[f"w{side}"] + net.p[f"b{side}"] for side in "fb"}
         at, inside = _places(start[some] - lo, size[some], int(size[some].max()))
-        states = np.concatenate([*(_run(net.p, side, gates[side], at, inside) for side in "fb"), x[at]], 2)
+        states = np.concatenate([*(_run(net.p, side, gates[side], at, inside) * np.float32(net.recurrent) for side in "fb"), x[at]], 2)
         out[some] = _pool(net.p, states, inside)[0]
     return out
 
@@ -420,7 +427,12 @@ def fit(docs: DataFrame, labels: DataFrame, training: Training | None = None) ->
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     picked = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for k, n in ((1, training.toxic), (0, training.clean))]
     sample = F.broadcast(picked[0].union(picked[1]).withColumnRenamed("doc_id", "labelled"))  # toxic + clean rows at most
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(sample, F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "toxic").dropDuplicates(["doc_id"]).collect()
+    size = F.coalesce(F.length("text"), F.lit(0)).cast("long")
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), size.alias("size")).where(F.col("size") <= training.longest)
+    labelled = texts.join(sample, F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "toxic", "size").dropDuplicates(["doc_id"])
+    so_far = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id", F.lit("bound")), "doc_id").rowsBetween(Window.unboundedPreceding, 0))  # of a sample of bounded size
+    kept = labelled.select("doc_id", "size").withColumn("so_far", so_far).where(F.col("so_far") <= training.chars).select("doc_id")
+    rows = labelled.join(F.broadcast(kept), "doc_id", "left_semi").select("doc_id", "text", "toxic").collect()
     rows.sort(key=lambda r: r["doc_id"])
     total = sum(counts.values())
     return train([r["text"] for r in rows], np.array([r["toxic"] for r in rows], np.int64), counts.get(1, 0) / total if total else 0.0, None, training)

@@ -9,7 +9,14 @@ training run lies at a computed place and reading resumes anywhere.
 
 Numbers come from two passes over the same partitions: the first counts each
 partition's sequences, the second numbers them from the sum of the earlier
-counts and fails if a partition no longer holds what was counted.
+counts and fails if a partition no longer holds what was counted, so the source
+must be stable, as files are. (Writing the ids once instead would need the shuffle,
+the shards and a copy of all ids on disk at the same time.)
+
+The folder is an Arrow file system's (a local or mounted path, s3, gs, hdfs); another
+scheme fails before any work. Column ``path`` names each record's shard file.
+Attempts write under names that begin with a dot and rename when whole; what lost
+attempts leave behind ``tidy`` deletes once the job is done.
 
 Defined results: a null or empty text has no sequences. Repeated rows are
 separate sequences. Extra columns are ignored. An empty table writes no shard.
@@ -32,8 +39,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowkin.llm.common import U64, give_back, mix, scratch_root, steady
-from rowkin.llm.token_ids import encoded, tokenizer_path
+from rowkin.llm.common import U64, give_back, mix, planes, scratch_root, steady, unplanes
+from rowkin.llm.token_ids import encoded, largest_id, tokenizer_path
 
 
 @dataclass(frozen=True)
@@ -43,7 +50,7 @@ class Layout:
     key: int = 20_240_117
     rounds: int = 6
     fill: int = 65535
-    dtype: str = "<u2"  # the vocabulary has fewer than 65,535 ids
+    dtype: str = "<u2"  # must hold every id below ``fill``; "<u4" for larger vocabularies
 
     @property
     def record_bytes(self) -> int:
@@ -89,13 +96,9 @@ def _count(batches: Iterator[pa.RecordBatch], path: str, stride: int) -> Iterato
     yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([total], pa.int64()), pa.array([check], pa.int64())], names=["part", "n", "check"])
 
 
-def _planes(record: np.ndarray) -> bytes:
-    """Low bytes, then high bytes: the latter pack well."""
-    return record.view(np.uint8).reshape(-1, record.itemsize).T.tobytes()
-
-
-def _number(batches: Iterator[pa.RecordBatch], path: str, layout: Layout, begins: dict[int, tuple[int, int, int]], n: int) -> Iterator[pa.RecordBatch]:
-    begin, counted, check = begins[TaskContext.get().partitionId()]
+def _number(batches: Iterator[pa.RecordBatch], path: str, layout: Layout, begins: tuple[np.ndarray, ...], n: int) -> Iterator[pa.RecordBatch]:
+    own = int(np.searchsorted(begins[0], TaskContext.get().partitionId()))
+    begin, counted, check = (int(x[own]) for x in begins[1:])
     packer, at, seen = zstandard.ZstdCompressor(level=1), begin, 0
     for rows, ids, first in encoded(batches, path):
         seen = zlib.crc32(ids.tobytes(), seen)
@@ -103,7 +106,7 @@ def _number(batches: Iterator[pa.RecordBatch], path: str, layout: Layout, begins
         slots = permute(np.arange(at, at + len(doc)), n, layout.key, layout.rounds) if len(doc) else np.zeros(0, np.int64)
         at += len(doc)
         short = ids.astype(layout.dtype)
-        packed = [packer.compress(_planes(short[a : a + k])) for a, k in zip(left.tolist(), size.tolist(), strict=True)]
+        packed = [packer.compress(planes(short[a : a + k])) for a, k in zip(left.tolist(), size.tolist(), strict=True)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(slots), rows.column(0).cast(pa.int64()).take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(packed, pa.binary())],
             names=["slot", "doc_id", "piece", "n_tokens", "packed"],
@@ -122,12 +125,16 @@ def shard_name(shard: int) -> str:
     return f"shard-{shard:08d}.bin"
 
 
+PLACED = "slot long, shard long, byte_offset long, doc_id long, piece int, n_tokens int, record_crc32 long, path string"
+
+
 def _write(batches: Iterator[pa.RecordBatch], folder: str, layout: Layout, n: int) -> Iterator[pa.RecordBatch]:
     """Sorted rows to shard files. A repeated attempt writes the same bytes and renames them over."""
     store, root = _filesystem(folder)
     store.create_dir(root, recursive=True)
     opener = zstandard.ZstdDecompressor()
     shard, sink, temp, expected = -1, None, "", 0
+    place = folder.rstrip("/")
 
     def close() -> None:
         if sink is not None:
@@ -149,17 +156,15 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, layout: Layout, n: in
             if slot != expected:
                 raise RuntimeError(f"slot {expected} is missing")
             expected += 1
-            width = np.dtype(layout.dtype).itemsize
-            planes = np.frombuffer(opener.decompress(packed, max_output_size=size * width), np.uint8)
             record = np.full(layout.stride, layout.fill, layout.dtype)
-            record[:size] = np.ascontiguousarray(planes.reshape(width, size).T).view(layout.dtype).ravel()
+            record[:size] = unplanes(opener.decompress(packed, max_output_size=size * np.dtype(layout.dtype).itemsize), layout.dtype)
             raw = record.tobytes()
             crc.append(zlib.crc32(raw))
             sink.write(raw)
         at = batch.column(0).to_numpy()
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(at // layout.slots_per_shard), pa.array(at % layout.slots_per_shard * layout.record_bytes), *batch.columns[1:4], pa.array(crc, pa.int64())],
-            names=["slot", "shard", "byte_offset", "doc_id", "piece", "n_tokens", "record_crc32"],
+            [batch.column(0), pa.array(at // layout.slots_per_shard), pa.array(at % layout.slots_per_shard * layout.record_bytes), *batch.columns[1:4], pa.array(crc, pa.int64()), pa.array([f"{place}/{shard_name(x)}" for x in (at // layout.slots_per_shard).tolist()])],
+            names=[x.split()[0] for x in PLACED.split(", ")],
         )
     close()
 
@@ -169,18 +174,29 @@ def write_training_order(docs: DataFrame, folder: str | None = None, layout: Lay
     layout, path = layout or Layout(), path or tokenizer_path()
     spark = docs.sparkSession
     folder = folder or f"{scratch_root(spark)}/rowkin-shards-{uuid.uuid4().hex}"
+    _filesystem(folder)  # fails here rather than on the executors
+    if largest_id(path) >= min(layout.fill, 1 << 8 * np.dtype(layout.dtype).itemsize):
+        raise ValueError(f"the tokenizer's ids reach {largest_id(path)}: fill {layout.fill} and dtype {layout.dtype} can't tell them apart")
     texts = steady(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     counts = texts.mapInArrow(lambda b: give_back(_count(b, path, layout.stride), keep="tokens"), "part long, n long, check long").collect()  # a row per partition
-    begins, n = {}, 0
-    for row in sorted(counts):
-        begins[row["part"]] = (n, row["n"], row["check"])
-        n += row["n"]
-    numbered = texts.mapInArrow(lambda b: give_back(_number(b, path, layout, begins, n), keep="tokens"), "slot long, doc_id long, piece int, n_tokens int, packed binary")
+    parts, sizes, checks = (np.array([row[k] for row in sorted(counts)], np.int64) for k in ("part", "n", "check"))
+    n = int(sizes.sum())
+    begins = spark.sparkContext.broadcast((parts, np.cumsum(sizes) - sizes, sizes, checks))  # 32 bytes a partition
+    numbered = texts.mapInArrow(lambda b: give_back(_number(b, path, layout, begins.value, n), keep="tokens"), "slot long, doc_id long, piece int, n_tokens int, packed binary")
     shards = -(-n // layout.slots_per_shard)
     parts = max(1, min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), n * layout.record_bytes // (64 << 20))))
     per_part = max(1, -(-shards // parts))
     ranged = numbered.repartitionById(parts, (F.col("slot") / F.lit(layout.slots_per_shard * per_part)).cast("int")).sortWithinPartitions("slot")
-    return ranged.mapInArrow(lambda b: give_back(_write(b, folder, layout, n)), "slot long, shard long, byte_offset long, doc_id long, piece int, n_tokens int, record_crc32 long")
+    return ranged.mapInArrow(lambda b: give_back(_write(b, folder, layout, n)), PLACED)
+
+
+def tidy(folder: str) -> int:
+    """Deletes what attempts that were lost left behind; to be called when no job writes to the folder. Returns how many files."""
+    store, root = _filesystem(folder)
+    left = [x.path for x in store.get_file_info(pafs.FileSelector(root, allow_not_found=True)) if os.path.basename(x.path).startswith(".shard-")]
+    for path in left:
+        store.delete_file(path)
+    return len(left)
 
 
 def read_from(folder: str, slot: int, layout: Layout) -> Iterator[np.ndarray]:

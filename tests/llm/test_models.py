@@ -29,6 +29,99 @@ def test_base_spans_equal_the_patterns():
     assert pii.base_spans("4012888888881881") == [("card", 0, 16)]
 
 
+def plain_graph(text):
+    """Nodes, features and edges by comparing all tokens with all others."""
+    tokens = [m.span() for m in re.finditer(r"\S+", text)]
+    marked = [s for s in tokens if re.search("[0-9@]", text[slice(*s)])]
+    said = [s for s in pii._announced(text)]
+    nodes = sorted([*marked, *said])
+    keys = lambda s: pii.similar_keys(text[slice(*s)])
+    names = {k[2:] for s in nodes for k in keys(s) if k[0] == "n" and not k[2:].isdigit()}
+    wanted = {x for x in names if not re.search("[0-9@]", x)} | {k[2:] for s in said for k in keys(s)}
+    repeats = [s for s in tokens if s not in nodes and text[slice(*s)].strip(pii._TRIM).lower() in wanted and not re.search("[0-9@]", text[slice(*s)])]
+    every = sorted([*nodes, *repeats])
+    features = [pii.shape(text[slice(*s)]) + pii.cues(text[max(0, s[0] - 48) : s[0]].split()[-3:]) + ["said"] * (s in said) for s in every]
+    chain = {(i, i + 1) for i in range(len(every) - 1) if not text[every[i][1] : every[i + 1][0]].strip()}
+    skip = set()
+    for j in range(len(every)):
+        for key in keys(every[j]):
+            before = [i for i in range(j) if key in keys(every[i])]
+            if before:
+                skip.add((before[-1], j))
+    return every, features, chain, skip - chain
+
+
+def plain_spans(text, field):
+    """All spans, with messages as dictionaries and loops over labels."""
+    import math
+
+    base = plain_base(text)
+    every, features, chain, skip = plain_graph(text)
+    k = range(len(pii.LABELS))
+    unary, covered = [], []
+    for s, fs in zip(every, features, strict=True):
+        u = [sum(float(field.unary[f][a]) for f in fs if f in field.unary) for a in k]
+        touching = sorted((b for b in base if b[1] < s[1] and b[2] > s[0]), key=lambda b: b[1])
+        covered.append(bool(touching))
+        if touching:
+            u[pii.LABELS.index(touching[0][0])] += 20
+        unary.append(u)
+    weight = {**{(i, j): field.chain for i, j in chain}, **{(i, j): field.skip for i, j in skip}}
+    weight |= {(j, i): w.T for (i, j), w in weight.items()}
+    message = {e: [0.0] * len(k) for e in weight}
+    belief = lambda i: [unary[i][a] + sum(message[x, y][a] for x, y in weight if y == i) for a in k]
+    for _ in range(field.rounds):
+        now = [belief(i) for i in range(len(every))]
+        new = {}
+        for i, j in weight:
+            cavity = [now[i][a] - message[j, i][a] for a in k]
+            out = [math.log(sum(math.exp(cavity[a] + weight[i, j][a][b] - 60) for a in k)) for b in k]
+            new[i, j] = [x - max(out) for x in out]
+        message = {e: [0.5 * x + 0.5 * y for x, y in zip(message[e], new[e], strict=True)] for e in message}
+    found = list(base)
+    for i, (a, b) in enumerate(every):
+        z = belief(i)
+        p = [math.exp(x - max(z)) for x in z]
+        label = p.index(max(p))
+        token = text[a:b]
+        core = token.strip(pii._TRIM)
+        if not covered[i] and label and p[label] / sum(p) >= 0.5 and core:
+            start = a + len(token) - len(token.lstrip(pii._TRIM))
+            found.append((pii.LABELS[label], start, start + len(core)))
+    return sorted(found, key=lambda s: (pii.LABELS.index(s[0]), s[1]))
+
+
+def test_spans_equal_the_plain_version(spark):
+    field, r = pii.train(), random.Random(21)
+    bits = ["maria.rossi@mail.org", "maria.rossi", "call +1 555 123 4567", "1.2.3.4", "in 1999", "4012888888881881", "4012888888881882", "password: hunter", "hunter", "token=abc123def4567890", "abc123def4567890", "user joe42", "joe42,", "(joe42)", "plain words here", "12%", "key=", "key=key=x", "9 of 10", "é7", "\n", "the password is", "secret = correct-horse"]
+    texts = [" ".join(r.choice(bits) for _ in range(r.randint(1, 18))) for _ in range(150)]
+    texts += [x.text for x in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect() if x.text and len(x.text) < 6000][:80]
+    seen = 0
+    for text in texts:
+        want = plain_spans(text, field)
+        assert pii.all_spans(text, field)[1] == want, text
+        seen += len(want)
+    assert seen > 300
+
+
+def test_texts_without_spaces_are_scanned_in_linear_time():
+    import time
+
+    field = pii.train()
+    for text in ("日本" * 500_000, "a1" * 500_000, "key=" * 250_000 + "abc", "token:" * 160_000 + "abcd", "a@b" * 300_000, "x" * 1_000_000 + "@y.z", "password " * 100_000, "+1(" * 300_000, "1." * 400_000):
+        began = time.time()
+        pii.all_spans(text, field)
+        assert time.time() - began < 15
+
+
+def test_plain_prose_is_left_alone(spark):
+    """Precision on texts that the field never saw: prose without personal data, with years, prices, counts and long numbers that are no cards."""
+    field, r = pii.train(), random.Random(31)
+    lines = ["The town was founded in 1823 and had 4500 people by 1900.", "It costs 12.50 today, 15% more than in 2019.", "Chapter 7 has 31 pages and 2 maps.", "Order 1234567890123456 was shipped on 3 May.", "Room 12b is on floor 3, see table 4.2 of the guide.", "Version 2.1.0 came out on 2020-11-03 at 14:30.", "The score was 3-2 after 90 minutes.", "He read 1,200 words about ISO9001 and the key points."]
+    marked = sum(bool(pii.all_spans(" ".join(r.sample(lines, 3)), field)[1]) for _ in range(200))
+    assert marked == 0
+
+
 def test_field_on_held_out_sentences():
     field, right, total = pii.train(), 0, 0
     for g, labels in pii._generated(300, 77):
@@ -137,6 +230,68 @@ def test_network_gradients():
         assert (up - down) / 2 / step == pytest.approx(np.asarray(g)[at], rel=0.05, abs=2e-4)
 
 
+def test_scores_equal_a_plain_reading_of_windows():
+    rows = made(160, 5)
+    net = toxicity.train([t for _, t, _ in rows], np.array([y for _, _, y in rows]), 0.25, training=toxicity.Training(rounds=2, steps=10))
+    p, s = net.p, net.shape
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    fold = lambda h, bits: h >> (64 - bits)
+
+    def word_input(w):
+        raw = w.encode()
+        grams = [word_hash(raw[i : i + n].decode()) for n in s.grams for i in range(len(raw) - n + 1)] or [word_hash(w)]
+        if len(raw) < s.grams[0]:
+            grams = [word_hash(w)]
+        return np.concatenate([p["word"][fold(word_hash(w), s.word_bits)], np.mean([p["gram"][fold(g, s.gram_bits)] for g in grams], 0), [net.word_odds[fold(word_hash(w), s.odds_bits)], max(net.gram_odds[fold(g, s.odds_bits)] for g in grams)]])
+
+    def states(xs, side):
+        h, out = np.zeros(s.hidden), [None] * len(xs)
+        for t in range(len(xs)) if side == "f" else reversed(range(len(xs))):
+            g, a = xs[t] @ p[f"w{side}"] + p[f"b{side}"], h @ p[f"u{side}"]
+            k = s.hidden
+            r, z = sigmoid(g[:k] + a[:k]), sigmoid(g[k : 2 * k] + a[k : 2 * k])
+            n = np.tanh(g[2 * k :] + r * a[2 * k :])
+            h = n + z * (h - n)
+            out[t] = h
+        return out
+
+    import pyarrow as pa
+
+    texts = [t for _, t, _ in rows[:6]] + ["", None, "one", " ".join(t for _, t, _ in rows[:4])]
+    got = np.concatenate(list(toxicity.score_texts(net, pa.array(texts))))
+    for text, score in zip(texts, got, strict=True):
+        words, best = (text or "").split(), -np.inf
+        for i in range(0, max(len(words) - s.window, 0) + s.step, s.step):
+            if i and i + s.window - s.step >= len(words):
+                break
+            window = words[i : i + s.window]
+            if not window:
+                break
+            xs = [word_input(w) for w in window]
+            all_states = [np.concatenate([f, b, x]) for f, b, x in zip(states(xs, "f"), states(xs, "b"), xs, strict=True)]
+            e = np.array([x @ p["attend"] for x in all_states])
+            share = np.exp(e - e.max())
+            pooled = sum(w * x for w, x in zip(share / share.sum(), all_states, strict=True))
+            best = max(best, float(pooled @ p["out"] + p["bias"][0]))
+        assert score == pytest.approx(sigmoid(net.scale * best + net.shift) if words else 0.0, abs=1e-3)
+
+
+def test_the_sample_is_bounded_in_signs(spark):
+    rows = made(200, 3)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(999, "long " * 2000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(999, 1)], "doc_id long, toxic int")
+    seen = []
+    real, toxicity.train = toxicity.train, lambda texts, y, prior, shape, training: seen.append(texts)
+    try:
+        for chars in (20_000, 10**9):
+            toxicity.fit(docs, labels, toxicity.Training(chars=chars, longest=5000))
+    finally:
+        toxicity.train = real
+    few, many = seen
+    assert 10_000 < sum(map(len, few)) <= 20_000 and set(few) <= set(many) and max(map(len, many)) <= 5000
+    assert len(many) == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i, _, _ in rows)
+
+
 # ---- pages ----
 
 

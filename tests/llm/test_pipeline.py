@@ -43,8 +43,42 @@ def test_stages_equal_their_plain_versions(spark):
 
 
 def test_registry():
-    assert [k for k in QUERIES if k.startswith("op")] == sorted((k for k in QUERIES if k.startswith("op")), key=lambda k: int(k[2:].split("_")[0]))
-    assert len([k for k in QUERIES if k.startswith("op")]) == 10 and "pipeline" in QUERIES and set(ORACLE_SQL) <= set(QUERIES)
+    ops = [k for k in QUERIES if k.startswith("op")]
+    assert ops == sorted(ops, key=lambda k: int(k[2:].split("_")[0])) and len(ops) == 10 and set(ORACLE_SQL) <= set(QUERIES)
+    import __spark_entry__ as entry
+
+    assert entry.queries()["pipeline"] is corpus_pipeline.run and set(QUERIES) < set(entry.queries())
+
+
+def test_run_on_odd_tables(spark, odd_docs, tmp_path):
+    """Nulls, empty and very long texts, repeated rows, clashing columns and empty tables through the whole pipeline."""
+    import zlib
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from rowkin.llm.token_ids import tokenizer_path
+
+    r = __import__("random").Random(2)
+    words = ["".join(r.choice("etaoinshrdlucm") for _ in range(r.randint(2, 9))) for _ in range(300)]
+    prose = lambda n: " ".join(r.choice(words) for _ in range(n))
+    item = prose(30)
+    good, leak, twice = prose(120), f"{prose(70)} {item} {prose(20)}", prose(90)
+    rows = [(20, good, "en", "a", 1, "x"), (20, good, "de", "b", 2, "y"), (21, leak, "en", "a", 1, None), (22, twice, "en", None, None, "x"), (23, twice + " end", "en", "a", 1, "x"), (24, f"{prose(80)} ann.lee@mail.org", None, "a", 1, "x"), (None, prose(100), "en", "a", 1, "x"), (25, "too short", "en", "a", 1, "x")]
+    docs = odd_docs.union(spark.createDataFrame(rows, odd_docs.schema)).withColumn("key", odd_docs["doc_id"]).withColumn("row", odd_docs["doc_id"])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item), (2, None), (3, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {x.doc_id for x in out} == {5, 20, 22, 24, None}
+    coder = Tokenizer.from_file(tokenizer_path())
+    for i, text in ((20, good), (22, twice), (24, rows[5][1].replace("ann.lee@mail.org", "<email>"))):
+        ids = [*coder.encode(text, add_special_tokens=False).ids, 0]
+        (one,) = [x for x in out if x.doc_id == i]
+        assert one.length == len(ids) and one.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+    empty = tmp_path / "empty"
+    docs.limit(0).write.parquet(f"{empty}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{empty}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(empty)).count() == 0
 
 
 @pytest.mark.parametrize("name", ["op2_template_decontamination", "op4_best_fit_packing", "op6_url_filters", "op9_quality_rules"])

@@ -46,6 +46,36 @@ def test_bands_reject_repetition_and_noise():
     assert compression(b"", packer, Bands()) == (None, 0, 0, False)
 
 
+def test_verdicts_equal_the_plain_version(spark):
+    """Ratios, chunks and verdicts by plain slices, from the limits as they are stated."""
+    r, bands = random.Random(12), Bands()
+    words = ["".join(r.choice("etaoinshrdlucm") for _ in range(r.randint(2, 9))) for _ in range(400)]
+    noise = lambda n: "".join(chr(r.randint(33, 126)) for _ in range(n))
+    prose = lambda n: " ".join(r.choice(words) for _ in range(n))
+    texts = [f(k) for k in (5, 60, 200, 255, 256, 511, 512, 900, 2048, 5000, 8191, 8192, 20_000) for f in (noise, prose)]
+    texts += [prose(300) + noise(n) for n in (300, 2000, 9000)] + ["la la la " * n for n in (10, 100, 3000)] + [noise(1500) + " " + prose(900) for _ in range(5)] + ["é" * 700, "x", "", None]
+    packed = lambda b: len(zstandard.ZstdCompressor(level=3).compress(b))
+
+    def plain(text):
+        raw = (text or "").encode()
+        n = len(raw)
+        if not n:
+            return None, 0, 0, False
+        low, high = [(lo, hi) for least, lo, hi in bands.whole if n >= least][-1]
+        inside = low <= packed(raw) / n <= high
+        if n < 256:
+            return packed(raw) / n, 1, int(not inside), inside
+        size, lo, hi = (4096, 0.10, 0.80) if n >= 8192 else (1024, 0.10, 0.88) if n >= 2048 else (256, 0.10, 0.95)
+        bad = [min(size, n - i) for i in range(0, n, size) if not lo <= packed(raw[min(i + size, n) - size : min(i + size, n)]) / size <= hi]
+        return packed(raw) / n, -(-n // size), len(bad), inside and sum(bad) <= 0.5 * n
+
+    out = {x.doc_id: x for x in quality_rules(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, text in enumerate(texts):
+        x, (ratio, chunks, bad, good) = out[i], plain(text)
+        assert (x.ratio, x.n_chunks, x.n_bad_chunks, x.kept) == (ratio, chunks, bad, good and not x.base_failed), i
+    assert 3 < sum(x.kept for x in out.values()) < len(texts)
+
+
 def test_keep_good_keeps_rows_and_columns(spark, odd_docs):
     kept = keep_good(odd_docs)
     assert kept.columns == odd_docs.columns
@@ -102,3 +132,24 @@ def test_a_rule_is_dropped_inside_a_stronger_one(spark):
     own = [Rule("short", "license", "license", 1, 0.5), Rule("long", "license", "big license here", 2, 0.9), Rule("wide", "license", "a big license here now", 1, 0.4)]
     x = scan_licenses(spark.createDataFrame([(1, "a big license here now, license")], "doc_id long, text string"), own).first()
     assert x.labels == "long,short,wide" and x.found.count('"short"') == 1
+
+
+def test_scan_is_linear_in_detections(spark):
+    import time
+
+    began = time.time()
+    n = 100_000
+    x = scan_licenses(spark.createDataFrame([(1, "released under the MIT License\n" * n), (2, "MIT " * n)], "doc_id long, text string")).select("doc_id", "n_base", "labels", "score").orderBy("doc_id").collect()
+    assert [tuple(y) for y in x] == [(1, n, "mit", 0.8), (2, 0, "", 0.0)] and time.time() - began < 90
+
+
+def test_signatures_hold_their_gates():
+    from rowkin.llm.license_rules import table
+
+    rows = table()
+    assert len(rows) >= 300 and len({x[2] for x in rows}) == len(rows)
+    for _, gate, pattern, _, _ in rows:
+        bare = pattern
+        while (now := re.sub(r"\(\?:[^()]*\)\?", "", bare)) != bare:
+            bare = now
+        assert re.search(rf"(?<![0-9a-z]){gate}(?![0-9a-z?])", bare), pattern

@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 from rowkin.llm.packing import best_fit, plan
 from rowkin.llm.token_ids import encoded, tokenizer_path
-from rowkin.llm.training_order import Layout, permute, read_from, write_training_order
+from rowkin.llm.training_order import Layout, permute, read_from, tidy, write_training_order
 
 
 @pytest.fixture(scope="module")
@@ -100,4 +100,25 @@ def test_shards_round_trip_and_resume(spark, odd_docs, tokenizer, tmp_path):
     assert got == want
     assert all((record[x.n_tokens :] == layout.fill).all() and zlib.crc32(record.tobytes()) == x.record_crc32 for x, record in zip(rows, records, strict=True))
     assert [x.tolist() for x in read_from(folder, 137, layout)] == [x.tolist() for x in records[137:]]
+    assert {x.path for x in rows} == {f"{folder}/shard-{k:08d}.bin" for k in range(-(-len(records) // 50))}
+    (tmp_path / "shards" / ".shard-00000000.bin.lost").write_bytes(b"x")
+    assert tidy(folder) == 1 and tidy(folder) == 0 and tidy(f"{folder}-none") == 0
     assert write_training_order(odd_docs.limit(0), f"{folder}-none", layout).count() == 0
+    with pytest.raises(ValueError, match="ids reach"):
+        write_training_order(odd_docs, folder, Layout(fill=40_000))
+    with pytest.raises(Exception, match="nowhere"):
+        write_training_order(odd_docs, "nowhere://x/y", layout)
+
+
+def test_other_tokenizer_files_are_encoded_whole(spark, odd_docs, tmp_path):
+    path = tokenizer_path("byte_bpe_50k.json")
+    own = Tokenizer.from_file(path)
+    texts = ["Hello  World\n\n x", "don't STOP", None, "", "日本 a.b,c ", "word " * 300]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["t"])
+    got = [ids[a:b].tolist() for _, ids, first in encoded(iter([batch]), path, 0) for a, b in zip(first[:-1], first[1:], strict=True)]
+    assert got == [ids_of(own, x) for x in texts]
+    layout = Layout(stride=16, slots_per_shard=50, fill=(1 << 32) - 1, dtype="<u4")
+    rows = write_training_order(odd_docs, f"file://{tmp_path}/wide", layout, path).collect()
+    records = list(read_from(f"file://{tmp_path}/wide", 0, layout))
+    want = sorted(tuple(ids[k : k + 16]) for ids in (ids_of(own, x.text) for x in odd_docs.collect()) for k in range(0, len(ids), 16))
+    assert sorted(tuple(records[x.slot][: x.n_tokens].tolist()) for x in rows) == want
