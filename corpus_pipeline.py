@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowkin.llm.common import materialise, table
+from rowkin.llm.common import materialise, release, table
 from rowkin.llm.decontaminate import drop_leaks
 from rowkin.llm.ngram_join import keep_one
 from rowkin.llm.packing import best_fit
@@ -54,5 +54,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
+        before, docs = docs, materialise(stage(spark, docs, sf_dir))
+        release(before)
     return STAGES[-1][1](spark, docs, sf_dir)
