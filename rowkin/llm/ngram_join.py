@@ -54,7 +54,7 @@ class Join:
     block: int = 256  # nodes of a block that is searched at once
     chunk: int = 512  # nodes of a larger block that are dealt together, or twice the pivots if more
     pivots: tuple[int, ...] = (64, 1024, 4096)
-    rows_per_task: int = 256  # a row of a search costs about a millisecond, whatever its bytes
+    rows_per_task: int = 64  # a row of a search costs milliseconds, whatever its bytes
 
 
 COUNTED = 48  # bits of a shingle's hash that are counted
@@ -427,15 +427,15 @@ def classes(docs: DataFrame, join: Join | None = None) -> DataFrame:
     heads = lists.groupBy("token").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head != last").select("token", "head")
     ties = lists.join(heads, "token").where("node != head").select("node", F.col("head").alias("other")).distinct()
     tied = components(ties, "node", "other")
-    blocks = tied.withColumnRenamed("root", "block")
-    sized = materialise(blocks.join(blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n")), "block"))
+    blocks = materialise(tied.withColumnRenamed("root", "block"))
+    sized = materialise(look_up(blocks, blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n")), "block", "n", blocks.count()))
     members = able.select("node", "keys").join(broadcast_if_small(sized), "node")
 
     small = members.where(F.col("n") <= join.block).withColumn("chunk", F.lit(0)).withColumn("rest", F.lit(False))
     links = [materialise(_searched(small, join, sized.where(F.col("n") <= join.block).count()))]
     large = materialise(members.where(F.col("n") > join.block).dropDuplicates(["node"]).select("block", "node", "keys"))
     links += _large(large, join)
-    release(large, sized, tied)
+    release(large, sized, blocks, tied)
 
     # a row per node: its least row and how many it has; then a row per linked class
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("least")

@@ -49,7 +49,7 @@ def near_rows():
     return rows + [(1000, None), (1001, ""), (1002, " \n"), (1003, "a b"), (1004, "A  b"), (1005, "a b c"), (1006, "É b c d e f"), (1007, "é b c d e f")]
 
 
-@pytest.mark.parametrize(("join", "one_task"), [(Join(), 10**6), (Join(block=4, chunk=16, pivots=(2, 3, 8)), 10), (Join(block=8, chunk=1000, pivots=(1,), many=2), 10)])
+@pytest.mark.parametrize(("join", "one_task"), [(Join(), 10**6), (Join(block=4, chunk=16, pivots=(2, 3, 8)), 10), (Join(block=8, chunk=1000, pivots=(1,), many=2, rows_per_task=3), 10)])
 def test_classes_equal_the_plain_version(spark, near_rows, join, one_task, monkeypatch):
     monkeypatch.setattr(ngram_join, "components", lambda e, a="a", b="b": graph.components(e, a, b, one_task))
     docs = spark.createDataFrame(near_rows, "doc_id long, text string").repartition(5)
