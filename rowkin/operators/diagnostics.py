@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowkin.operators.metrics import f05
+from rowkin.operators.metrics import f05, with_total
 
 #: Probability bins of error tables, closed on the left.
 P_BINS = (0.02, 0.1, 0.3, 0.5, 0.7, 0.9, 0.98)
@@ -56,8 +56,7 @@ def error_costs(counts: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def data_profile(entities: DataFrame) -> DataFrame:
     """Per country and over all: entities, share without a match, mean and largest number of matches. entities: s, country, t."""
-    out = entities.rollup("country").agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("t") == 0).cast("double")).alias("singleton_share"), F.avg("t").alias("mean_t"), F.max("t").alias("max_t"))
-    return out.withColumn("country", F.coalesce("country", F.lit("ALL")))
+    return with_total(entities, F.count(F.lit(1)).alias("n"), F.avg((F.col("t") == 0).cast("double")).alias("singleton_share"), F.avg("t").alias("mean_t"), F.max("t").alias("max_t"))
 
 
 def script_shares(texts: DataFrame, column: str, by: str) -> DataFrame:

@@ -26,6 +26,38 @@ def lookup(pairs: DataFrame, rec: DataFrame, columns: list[str], sides: tuple[st
     return out
 
 
+def labelled_pairs(pairs: DataFrame, rec: DataFrame, truth: DataFrame, columns: list[str]) -> DataFrame:
+    """Pairs of known records with both records beside them, and whether the truth (q, s) holds them; pairs of unknown records go."""
+    known = lookup(pairs, rec.withColumn("rowkin_there", F.lit(True)), [*columns, "rowkin_there"]).where("q_rowkin_there AND s_rowkin_there").drop("q_rowkin_there", "s_rowkin_there")
+    return known.join(truth.select("q", "s").distinct().withColumn("label", F.lit(True)), ["q", "s"], "left").withColumn("label", F.coalesce("label", F.lit(False)))
+
+
+def fetch_ranks(truth: DataFrame, found: DataFrame, none: int = 99) -> DataFrame:
+    """(q, s, retrieved, rank) of true pairs: at which rank they were fetched, ``none`` if not at all."""
+    return truth.select("q", "s").distinct().join(found.select("q", "s", "rank"), ["q", "s"], "left").select("q", "s", F.col("rank").isNotNull().alias("retrieved"), F.coalesce("rank", F.lit(none)).alias("rank"))
+
+
+def add_on(pairs: DataFrame, extra: DataFrame) -> DataFrame:
+    """Pairs with further features of the same pairs; fails while running unless both hold exactly the same (q, s)."""
+    from rowkin.operators.relational import one_to_one
+
+    return one_to_one(pairs, extra, ["q", "s"])
+
+
+def channel_names(columns: list[str]) -> list[str]:
+    """Channels of which both a score and a rank are among the columns, in their order."""
+    return [c.removesuffix("_score") for c in columns if c.endswith("_score") and c.removesuffix("_score") + "_rank" in columns]
+
+
+def without_groups(columns: list[str], groups: dict[str, list[str]], excluded: list[str]) -> list[str]:
+    """Feature columns but those of the excluded groups; an unknown group is an error."""
+    unknown = set(excluded) - set(groups)
+    if unknown:
+        raise ValueError(f"unknown feature groups {sorted(unknown)}")
+    gone = {c for g in excluded for c in groups[g]}
+    return [c for c in columns if c not in gone]
+
+
 def unknown_ids(pairs: DataFrame, rec: DataFrame) -> DataFrame:
     """Ids of pairs that no record has: must be empty."""
     ids = reduce(DataFrame.unionByName, [pairs.select(F.col(c).alias("rid")) for c in ("q", "s")]).distinct()

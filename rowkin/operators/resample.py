@@ -22,23 +22,28 @@ def stratified_split(entities: DataFrame, shares: tuple[tuple[str, float], ...],
     return ranked.withColumn("fold", fold.otherwise(shares[-1][0])).drop("at")
 
 
-def poisson(key: Column, replicate: Column, salt: str = "boot") -> Column:
-    """A Poisson(1) draw of 0 to 8 from a hash of key and replicate."""
-    u = F.pmod(F.xxhash64(F.lit(salt), key, replicate), F.lit(1 << 53)) / float(1 << 53)
-    out, total = F.lit(0), 0.0
-    for k in range(8):
-        total += math.exp(-1) / math.factorial(k)
-        out = out + (u >= total).cast("int")
-    return out
+#: Draws that one MD5 gives, sixteen bits each; a draw above 8 is rarer than their resolution.
+DRAWS = 8
+POISSON = tuple(math.ceil(65536 * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1))) for k in range(8))
+
+
+def poisson(key: Column, block: Column, i: int, salt: str = "boot") -> Column:
+    """Draw i of a block of DRAWS Poisson(1) draws of 0 to 8, from the MD5 of key and block."""
+    u = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(salt), key.cast("string"), block.cast("string"))), 1 + 4 * i, 4), 16, 10).cast("int")
+    return sum(((u >= edge).cast("int") for edge in POISSON), F.lit(0))
 
 
 def paired_bootstrap(deltas: DataFrame, replicates: int = 200, key: str = "s", value: str = "delta") -> DataFrame:
     """(delta, ci_low, ci_high, significant): every entity counts a Poisson(1) number of times in each replicate.
 
-    Entities are never collected: replicates are summed map-side, a constant number of sums per task.
+    Entities are never collected: replicates are summed map-side, a constant number of sums per task. A row of an
+    entity stands for DRAWS replicates at once.
     """
-    drawn = deltas.select(key, value, F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r")).withColumn("w", poisson(F.col(key), F.col("r")))
-    means = drawn.groupBy("r").agg((F.sum(F.col("w") * F.col(value)) / F.sum("w")).alias("m"))
+    blocks = deltas.select(key, value, F.explode(F.sequence(F.lit(0), F.lit(-(-replicates // DRAWS) - 1))).alias("b"))
+    drawn = blocks.withColumns({f"w{i}": poisson(F.col(key), F.col("b"), i) for i in range(DRAWS)})
+    sums = drawn.groupBy("b").agg(*[x for i in range(DRAWS) for x in (F.sum(F.col(f"w{i}") * F.col(value)).alias(f"v{i}"), F.sum(f"w{i}").alias(f"n{i}"))])
+    each = F.explode(F.array(*[F.struct((F.col("b") * DRAWS + i).alias("r"), (F.col(f"v{i}") / F.col(f"n{i}")).alias("m")) for i in range(DRAWS)]))
+    means = sums.select(each.alias("x")).select("x.r", "x.m").where(F.col("r") < replicates)
     point = deltas.agg(F.avg(value).alias("delta"))
     out = means.agg(F.percentile("m", F.lit(0.025)).alias("ci_low"), F.percentile("m", F.lit(0.975)).alias("ci_high"))
     return point.crossJoin(out).withColumn("significant", (F.col("ci_low") > 0) | (F.col("ci_high") < 0))  # one row each
@@ -82,9 +87,31 @@ def moved_house(house: pd.Series, seed: pd.Series) -> pd.Series:
 def lookalikes(rec: DataFrame, share: float = 0.25) -> DataFrame:
     """Copies of owned records with a moved house number and no owner; some get a word of a neighbour's name. rec: rid, name, house_num, owner."""
     seed = F.xxhash64("rid")
-    extra = F.when(F.pmod(seed, F.lit(1000)) < int(share * 1000), F.concat_ws(" ", "name", F.lit("annex"))).otherwise(F.col("name"))
+    # the word comes from the next name in a hash order of small groups, so no group grows with the table
+    near = Window.partitionBy(F.pmod(F.xxhash64("name"), F.lit(1 << 20))).orderBy(F.xxhash64("rid", F.lit("near")), "rid")
+    theirs = F.split(F.coalesce(F.lead("name").over(near), F.lag("name").over(near), F.col("name")), " ")
+    word = F.coalesce(F.get(F.array_except(theirs, F.split("name", " ")), F.lit(0)), F.element_at(theirs, -1))
+    rec = rec.withColumn("rowkin_word", word)
+    extra = F.when(F.pmod(seed, F.lit(1000)) < int(share * 1000), F.concat_ws(" ", "name", "rowkin_word")).otherwise(F.col("name"))
     out = rec.where("owner >= 0 AND house_num != ''").withColumns({"house_num": moved_house("house_num", seed), "name": extra, "owner": F.lit(-1).cast("long"), "synthetic": F.lit(True)})
-    return out
+    return out.drop("rowkin_word")
+
+
+def replace_first(text: Column, old: Column, new: Column) -> Column:
+    """The first whole word ``old`` replaced; a text without it, or an empty word, stays."""
+    words = F.split(text, " ")
+    at = F.array_position(words, old)
+    return F.when((at > 0) & (old != ""), F.array_join(F.transform(words, lambda w, i: F.when(i + 1 == at, new).otherwise(w)), " ")).otherwise(text)
+
+
+def clipped(guess: Column, low: Column, high: Column) -> Column:
+    """A guess within the range that training saw."""
+    return F.greatest(low, F.least(high, guess))
+
+
+def least_biased(guess: Column, spread: Column, weight: float = 0.5) -> Column:
+    """The guess taken down by a share of its spread, never below zero: for scores that punish what is too high."""
+    return F.greatest(F.lit(0.0), guess - weight * spread)
 
 
 def snap(values: DataFrame, known: DataFrame, value: str = "v") -> DataFrame:

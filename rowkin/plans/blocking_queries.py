@@ -11,6 +11,7 @@ from rowkin.operators import blocking as B
 from rowkin.operators import routing as R
 from rowkin.operators import submissions as S
 from rowkin.plans import views as V
+from rowkin.sources.tables import written
 
 RATIO, K = 0.05, 10
 
@@ -29,7 +30,7 @@ def token_df_idf(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _candidates(spark: SparkSession, d: str, weighted: bool, least: int = 1) -> DataFrame:
-    rec = V.records(spark, d).select("rid", "country", "source", "tokens").persist()  # read by four branches
+    rec = written(V.records(spark, d).select("rid", "country", "source", "tokens"))  # read by four branches
     posts = B.postings(rec, "rid", "tokens", _stats(rec), ("country", "source"))
     queries = posts.where("source = 1").select(F.col("rid").alias("s"), "country", "token")
     index = posts.where("source <> 1").select(F.col("rid").alias("q"), "country", "token", "idf")
@@ -66,7 +67,7 @@ def owned_candidates(spark: SparkSession, d: str) -> DataFrame:
 
 def field_block_sum_topk(spark: SparkSession, d: str) -> DataFrame:
     """Two fields, words and words of a first line, each probed alike, summed after keeping twice as many."""
-    rec = V.records(spark, d).select("rid", "source", "tokens", "lines").persist()
+    rec = written(V.records(spark, d).select("rid", "source", "tokens", "lines"))
     first = rec.withColumn("tokens", F.array_distinct(F.filter(F.split(F.coalesce(F.get("lines", F.lit(0)), F.lit("")), " "), lambda t: F.length(t) >= 2)))
     parts = []
     for one in (rec, first):
@@ -142,11 +143,11 @@ def pair_context(spark: SparkSession, d: str) -> DataFrame:
 
 
 def name_normalize_v1(spark: SparkSession, d: str) -> DataFrame:
-    return V.read(spark, d, "documents").select("doc_id", T.normalize_name(F.regexp_replace("text", r"[^\x00-\x7F]", "")).alias("norm"))
+    return V.read(spark, d, "documents").select("doc_id", T.normalize_name(F.col("text")).alias("norm"))
 
 
 _LEGAL_END = "(?:\\s+(?:" + "|".join(sorted(T.LEGAL_CLASS, key=lambda t: (-len(t), t))) + "))+$"
-_NAME_SQL = rf"""WITH a AS (SELECT doc_id, trim(regexp_replace(regexp_replace({V.sql_fold("regexp_replace(text, '[^\x00-\x7F]', '', 'g')")}, '[^a-z0-9_\s]', ' ', 'g'), '\s+', ' ', 'g')) AS x FROM documents),
+_NAME_SQL = rf"""WITH a AS (SELECT doc_id, trim(regexp_replace(regexp_replace({V.sql_fold("text")}, '[^\p{{L}}\p{{N}}_\s]', ' ', 'g'), '\s+', ' ', 'g')) AS x FROM documents),
 b AS (SELECT doc_id, x, regexp_replace(x, '{_LEGAL_END}', '') AS y FROM a) SELECT doc_id, CASE WHEN y = '' THEN x ELSE y END AS norm FROM b"""
 
 
@@ -169,18 +170,6 @@ _LEGAL_SQL = rf"""WITH {V.ADDRESSES}, a AS (SELECT rid, string_split(trim(regexp
 SELECT rid, array_to_string(list_concat(w[:greatest(len(w) - 3, 0)], list_filter(w[greatest(len(w) - 2, 1):], lambda t: NOT list_contains({_LEGAL_LIST}, t))), ' ') AS core FROM a"""
 
 
-def address_fields(spark: SparkSession, d: str) -> DataFrame:
-    parts = T.address_fields(F.col("address"), F.col("country"))
-    return V.addresses(spark, d).select("rid", *[parts[c].alias(c) for c in ("addr", "addr_landmark", "house_num", "postcode")])
-
-
-_FIELDS_SQL = f"""WITH {V.ADDRESSES}, c AS (SELECT CAST(c_custkey AS VARCHAR) AS n, c_custkey, lower(c_mktsegment) AS m, lower(n_name) AS nn, lower(r_name) AS r
-  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
-SELECT c_custkey AS rid, n || ' ' || m || ' st ' || nn || ' ' || lpad(n, 5, '7') || ' ' || r AS addr, r || ' gate' AS addr_landmark,
-  n AS house_num, '' AS postcode FROM c WHERE length(n) < 5
-UNION ALL SELECT c_custkey, n || ' ' || m || ' st ' || nn || ' ' || n || ' ' || r, r || ' gate', n, '' FROM c WHERE length(n) >= 5"""
-
-
 def md5_folds(spark: SparkSession, d: str) -> DataFrame:
     c = F.col("c_name")
     return V.read(spark, d, "customer").select("c_custkey", md5_mod(c, 100).alias("bucket"), fold_of(c).alias("fold"), group_of(c).cast("long").alias("grp"))
@@ -221,6 +210,21 @@ def skeleton(spark: SparkSession, d: str) -> DataFrame:
     return V.records(spark, d).select("rid", T.skeleton(F.col("norm")).alias("skeleton"))
 
 
+def _collapsed(x: str) -> str:
+    """SQL for runs of one sign as one sign, for letters and digits."""
+    for c in "abcdefghijklmnopqrstuvwxyz0123456789":
+        x = f"regexp_replace({x}, '{c}+', '{c}', 'g')"
+    return x
+
+
+_SOUND = "translate(replace(replace(norm, 'ph', 'f'), 'sh', 's'), 'cqvz', 'kkwj')"
+_NASAL = "list_transform(range(1, length(t) + 1), lambda i: CASE WHEN substr(t, i, 1) = 'm' AND regexp_matches(substr(t, i + 1, 1), '^[b-df-hj-np-tv-xz]') THEN 'n' ELSE substr(t, i, 1) END)"
+_SKELETON_SQL = f"""WITH {V.RECORDS}, a AS (SELECT rid, unnest(string_split({_SOUND}, ' ')) AS t, generate_subscripts(string_split({_SOUND}, ' '), 1) AS pos FROM rec),
+b AS (SELECT rid, pos, coalesce(array_to_string({_NASAL}, ''), '') AS t FROM a), c AS (SELECT rid, pos, substr(t, 1, 1) || regexp_replace(substr(t, 2), '[aeiou]', '', 'g') AS t FROM b),
+e AS (SELECT rid, pos, {_collapsed("t")} AS t FROM c)
+SELECT rid, trim(coalesce(array_to_string(list(t ORDER BY pos) FILTER (t <> ''), ' '), '')) AS skeleton FROM e GROUP BY 1"""
+
+
 # ---- keys and routes: lines as address parts, the brand of a part as its place ----
 
 
@@ -298,7 +302,7 @@ _DEV = """WITH c AS (SELECT c_mktsegment || '/' || c_nationkey AS key, count(*)
 r AS (SELECT key, n, coalesce(sum(n) OVER (ORDER BY md5(key), key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(n) OVER () AS total FROM c)
 SELECT key, n FROM r WHERE before::DOUBLE < 0.1::DOUBLE * total::DOUBLE"""
 
-QUERIES = {f.__name__: f for f in (token_df_idf, token_block_topk, token_block_count_topk, owned_candidates, field_block_sum_topk, chargram_cosine_topk, channel_union, pair_context, name_normalize_v1, address_normalize, legal_tail, address_fields, md5_folds, text_stats, unit_parse, skeleton, key_vocab, assign_keys, learned_routes, label_free_routes, dev_partition_subset)}
+QUERIES = {f.__name__: f for f in (token_df_idf, token_block_topk, token_block_count_topk, owned_candidates, field_block_sum_topk, chargram_cosine_topk, channel_union, pair_context, name_normalize_v1, address_normalize, legal_tail, md5_folds, text_stats, unit_parse, skeleton, key_vocab, assign_keys, learned_routes, label_free_routes, dev_partition_subset)}
 
 ORACLE_SQL = {
     "token_df_idf": f"WITH {V.RECORDS}, {_STATS} SELECT token, df, idf FROM stats",
@@ -315,8 +319,8 @@ SELECT q, s, round(best, 4) AS best, round(max(best) OVER (PARTITION BY q), 4) A
     "name_normalize_v1": _NAME_SQL,
     "address_normalize": _ADDRESS_SQL,
     "legal_tail": _LEGAL_SQL,
-    "address_fields": _FIELDS_SQL,
     "md5_folds": _MD5_SQL,
+    "skeleton": _SKELETON_SQL,
     "text_stats": _STATS_SQL,
     "unit_parse": _UNIT_SQL,
     "key_vocab": f"WITH {V.RECORDS}, {_PARTS}, {_VOCAB} SELECT CAST(source AS BIGINT) AS source, country, part, n FROM vocab",

@@ -339,7 +339,8 @@ def train_priors(spark: SparkSession, d: str) -> DataFrame:
 
 def em_prior(spark: SparkSession, d: str) -> DataFrame:
     rows = V.pairs(spark, d).join(V.entities(spark, d).select("s", "country"), "s").withColumn("rel", F.when(F.col("p") >= 0.5, "near").otherwise("far"))
-    return D.em_shifts(rows, D.train_priors(rows), 50)
+    out = D.em_shifts(rows, D.train_priors(rows), 50)
+    return out.select("country", "rel", "pairs", _r("train_rate").alias("train_rate"), _r("em_rate", 3).alias("em_rate"), _r("shift", 2).alias("shift"))
 
 
 def match_count_crosstab(spark: SparkSession, d: str) -> DataFrame:
@@ -463,7 +464,8 @@ def ledger_union(spark: SparkSession, d: str) -> DataFrame:
 def bootstrap_ci(spark: SparkSession, d: str) -> DataFrame:
     per = _counts(spark, d)
     delta = per.select("s", (M.f05(F.col("t"), F.col("k"), F.col("tp")) - M.f05(F.col("t"), F.col("r"), F.col("r"))).alias("delta"))
-    return R.paired_bootstrap(delta, 1000)
+    out = R.paired_bootstrap(delta, 1000)
+    return out.select(*[_r(c).alias(c) for c in ("delta", "ci_low", "ci_high")], "significant")
 
 
 def _training(spark: SparkSession, d: str) -> DataFrame:
@@ -538,7 +540,8 @@ def recall_gap(spark: SparkSession, d: str) -> DataFrame:
     """Lines as true pairs, those of high score as found; words of the parts' names, the commonest purged."""
     rec = V.crowd_records(spark, d).select("rid", F.split("name_core", " ").alias("tokens"))
     words = rec.select("rid", F.explode("tokens").alias("token"))
-    kept = words.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") <= 0.12 * rec.count())
+    n = rec.agg(F.count(F.lit(1)).alias("n"))
+    kept = words.groupBy("token").agg(F.count(F.lit(1)).alias("df")).crossJoin(F.broadcast(n)).where(F.col("df") <= 0.12 * F.col("n"))  # n is one row
     truth = V.crowd_pairs(spark, d).select("s", "q")
     found = V.crowd_pairs(spark, d).where("p >= 0.5").select("s", "q")
     left, right = words.select(F.col("rid").alias("s"), "token"), words.select(F.col("rid").alias("q"), "token")
@@ -584,7 +587,7 @@ def full_match(spark: SparkSession, d: str) -> DataFrame:
     pairs = pairs.select("q", "s", "p", (F.col("q_n") == F.col("s_n")).alias("label"), _jac(F.col("q_n"), F.col("s_n")).alias("name_jac"), (F.col("q_t") == F.col("s_t")).cast("double").alias("same_type"))
     true = pairs.where("label").groupBy("s").agg(F.count(F.lit(1)).alias("t"))
     entities = pairs.select("s").distinct().join(true, "s", "left").na.fill(0, ["t"]).join(rec.select(F.col("rid").alias("s"), F.col("street").alias("country")), "s")
-    return matching.match(pairs, _sim_rec(spark, d), entities, ["name_jac", "same_type"], _jac, matching.Plan(cap=600, rounds=2, depth=2)).lists
+    return matching.match(pairs, _sim_rec(spark, d), entities, ["name_jac", "same_type"], _jac, matching.Plan()).lists
 
 
 QUERIES = {
@@ -598,6 +601,39 @@ QUERIES = {
 }
 
 _P = f"WITH {V.PAIRS}"
+
+
+def lcs_sql(a: str, b: str) -> str:
+    """The longest common subsequence of two texts of fewer than 63 signs, a row of its table in the bits of one number."""
+    full = f"((1::BIGINT << CAST(length({a}) AS INTEGER)) - 1)"
+    masks = f"list_transform(string_split({b}, ''), lambda c: CAST(coalesce(list_sum(list_transform(range(1, length({a}) + 1), lambda i: CASE WHEN substr({a}, i, 1) = c THEN 1::BIGINT << CAST(i - 1 AS INTEGER) ELSE 0::BIGINT END)), 0) AS BIGINT))"
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN 0 ELSE length({a}) - bit_count(list_reduce({masks}, lambda r, m: ((r + (r & m)) | (r - (r & m))) & {full}, {full})) END"
+
+
+def ratio_sql(a: str, b: str) -> str:
+    return f"CASE WHEN {a} = '' AND {b} = '' THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * ({lcs_sql(a, b)}) / (length({a}) + length({b})) END"
+
+
+_INDEL_SQL = f"""WITH {V.NAME_PAIRS}, w AS (SELECT a, b, array_to_string(list_sort(string_split(a, ' ')), ' ') AS x, array_to_string(list_sort(string_split(b, ' ')), ' ') AS y FROM npairs)
+SELECT a, b, round({ratio_sql("a", "b")}, 6) AS ratio, round({ratio_sql("x", "y")}, 6) AS sorted_ratio FROM w"""
+_TOKEN_SET_SQL = f"""WITH {V.NAME_PAIRS}, w AS (SELECT a, b, list_distinct(string_split(a, ' ')) AS x, list_distinct(string_split(b, ' ')) AS y FROM npairs),
+v AS (SELECT a, b, list_sort(list_intersect(x, y)) AS m, list_sort(list_filter(x, lambda t: NOT list_contains(y, t))) AS l, list_sort(list_filter(y, lambda t: NOT list_contains(x, t))) AS r FROM w),
+u AS (SELECT *, array_to_string(m, ' ') AS head, array_to_string(list_concat(m, l), ' ') AS one, array_to_string(list_concat(m, r), ' ') AS two FROM v),
+ts AS (SELECT a, b, CASE WHEN len(m) > 0 AND (len(l) = 0 OR len(r) = 0) THEN 1.0::DOUBLE WHEN len(m) > 0 THEN greatest({ratio_sql("one", "two")}, {ratio_sql("head", "one")}, {ratio_sql("head", "two")}) ELSE {ratio_sql("one", "two")} END AS token_set FROM u),
+sl AS (SELECT a, b, CASE WHEN length(a) > length(b) THEN b ELSE a END AS short, CASE WHEN length(a) > length(b) THEN a ELSE b END AS long FROM npairs),
+wn AS (SELECT a, b, short, substr(long, greatest(st, 0) + 1, CAST(st + length(short) - greatest(st, 0) AS BIGINT)) AS win FROM (SELECT *, unnest(range(1 - length(short), length(long))) AS st FROM sl)),
+pt AS (SELECT a, b, max({ratio_sql("short", "win")}) AS p FROM wn GROUP BY 1, 2)
+SELECT ts.a, ts.b, round(token_set, 6) AS token_set, round(p, 6) AS partial FROM ts JOIN pt ON pt.a = ts.a AND pt.b = ts.b"""
+_EM_SQL = f"""{_P}, r AS (SELECT p.label, p.p, e.country, CASE WHEN p.p >= 0.5 THEN 'near' ELSE 'far' END AS rel FROM pairs p JOIN ents e ON e.s = p.s),
+c AS (SELECT country, rel, count(*) AS pairs, avg(label::INTEGER::DOUBLE) AS train_rate, list(p) AS ps FROM r GROUP BY 1, 2),
+m AS (SELECT *, CASE WHEN pairs >= 50 AND train_rate > 0 AND train_rate < 1 THEN list_reduce(range(100), lambda now, i: list_avg(list_transform(ps, lambda p: now / train_rate * p / (now / train_rate * p + (1 - now) / (1 - train_rate) * (1 - p)))), train_rate) END AS em FROM (SELECT country, rel, pairs, train_rate, ps FROM c)),
+z AS (SELECT *, least(greatest(em, 1e-6::DOUBLE), 1 - 1e-6::DOUBLE) AS e1, least(greatest(train_rate, 1e-6::DOUBLE), 1 - 1e-6::DOUBLE) AS r1 FROM m)
+SELECT country, rel, pairs, round(train_rate, 6) AS train_rate, round(em, 3) AS em_rate, round(coalesce(greatest(-6.0::DOUBLE, least(6.0::DOUBLE, ln(e1 / (1 - e1)) - ln(r1 / (1 - r1)))), 0), 2) AS shift FROM z"""
+_BOOT_SQL = f"""{_P}, {_COUNTS}, d AS (SELECT s, {_f("t", "k", "tp")} - {_f("t", "r", "r")} AS delta FROM cnt),
+h AS (SELECT delta, b, md5('boot|' || CAST(s AS VARCHAR) || '|' || CAST(b AS VARCHAR)) AS h FROM d, (SELECT unnest(range(0, 125)) AS b)),
+x AS (SELECT delta, b * 8 + i AS r, ('0x' || substr(h, CAST(1 + 4 * i AS BIGINT), 4))::BIGINT AS u FROM h, (SELECT unnest(range(0, 8)) AS i)),
+w AS (SELECT r, delta, {" + ".join(f"CAST(u >= {e} AS INTEGER)" for e in R.POISSON)} AS w FROM x), m AS (SELECT r, sum(w * delta) / sum(w) AS m FROM w GROUP BY 1)
+SELECT (SELECT round(avg(delta), 6) FROM d) AS delta, round(quantile_cont(m, 0.025), 6) AS ci_low, round(quantile_cont(m, 0.975), 6) AS ci_high, quantile_cont(m, 0.025) > 0 OR quantile_cont(m, 0.975) < 0 AS significant FROM m"""
 _EASY = md5_sql("'easy' || s || ':' || q", 1000)
 ORACLE_SQL = {
     "one_owner": f"{_P}, {_OWN} SELECT s, q, p, keep FROM o",
@@ -643,6 +679,10 @@ SELECT s, q, second, round(CASE WHEN p >= best THEN p - second ELSE p - best END
     "column_profile": "SELECT unnest(['doc_id', 'text', 'lang', 'source', 'n_chars']) AS \"column\", unnest([avg((doc_id IS NULL)::INTEGER::DOUBLE), avg((text IS NULL)::INTEGER::DOUBLE), avg((lang IS NULL)::INTEGER::DOUBLE), avg((source IS NULL)::INTEGER::DOUBLE), avg((n_chars IS NULL)::INTEGER::DOUBLE)]) AS null_share FROM documents",
     "event_props": "SELECT event_type, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS total, count(DISTINCT json_extract_string(props, '$.k')) AS kinds FROM events GROUP BY 1",
     "ledger_union": "SELECT CAST(r_regionkey AS VARCHAR) AS id, r_name, '' AS n_name FROM region UNION ALL SELECT CAST(n_nationkey AS VARCHAR), '', n_name FROM nation",
+    "indel_ratio": _INDEL_SQL,
+    "token_set_ratio": _TOKEN_SET_SQL,
+    "em_prior": _EM_SQL,
+    "bootstrap_ci": _BOOT_SQL,
     "pseudo_labels": f"{_P} SELECT s, q, p >= 0.9::DOUBLE AS label FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY p DESC, s) AS k FROM pairs) WHERE (p >= 0.9::DOUBLE AND k = 1) OR p <= 0.05::DOUBLE",
     "error_mining": _MINING_SQL,
     "recall_gap": _GAPS_SQL,
