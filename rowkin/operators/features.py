@@ -83,9 +83,11 @@ def idf_overlap(pairs: DataFrame, rec: DataFrame, field: str, stats: DataFrame)
     unseen = rec.groupBy("country").agg(F.log(F.count(F.lit(1))).alias("unseen"))
     one = lambda x: rec.select(F.col("rid").alias(x), F.col("country").alias(f"{x}_country"), F.array_distinct(tokens(F.col(field))).alias(f"{x}_t"))
     both = pairs.select("q", "s").distinct().join(one("q"), "q").join(one("s"), "s")
-    flat = both.select("q", "s", F.col("q_country").alias("country"), F.explode_outer(F.array_union("q_t", "s_t")).alias("token"), "q_t", "s_t")
+    # only a word and two flags are exploded, not both lists
+    word = lambda t: F.struct(t.alias("token"), F.array_contains("q_t", t).alias("in_q"), F.array_contains("s_t", t).alias("in_s"))
+    flat = both.select("q", "s", F.col("q_country").alias("country"), F.explode_outer(F.transform(F.array_union("q_t", "s_t"), word)).alias("x")).select("q", "s", "country", "x.token", "x.in_q", "x.in_s")
     weighed = flat.join(stats, ["country", "token"], "left").join(unseen, "country").withColumn("w", F.when(F.col("token").isNotNull(), F.coalesce("idf", "unseen")))
-    in_q, in_s = F.array_contains("q_t", F.col("token")), F.array_contains("s_t", F.col("token"))
+    in_q, in_s = F.col("in_q"), F.col("in_s")
     part = lambda on: F.coalesce(F.sum(F.when(on, F.col("w"))), F.lit(0.0))
     out = weighed.groupBy("q", "s").agg(F.sum("w").alias("all"), part(in_q & in_s).alias("shared"), F.coalesce(F.max(F.when(in_q & in_s, F.col("w"))), F.lit(0.0)).alias("max_shared"), F.greatest(part(in_q & ~in_s), part(~in_q & in_s)).alias("one_sided"))
     return out.select("q", "s", F.when(F.col("all").isNull(), -1.0).when(F.col("all") == 0, 0.0).otherwise(F.col("shared") / F.col("all")).alias("overlap"), "max_shared", "one_sided")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -121,10 +122,10 @@ def snap(values: DataFrame, known: DataFrame, value: str = "v") -> DataFrame:
     """
     marks = known.select(F.col(value)).distinct().withColumn("known", F.col(value))
     both = values.withColumn("known", F.lit(None).cast("double")).unionByName(marks, allowMissingColumns=True)
-    low, high = both.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
-    width = ((high - low) / 256 if low is not None and high > low else 1.0) or 1.0
-    both = both.withColumn("band", F.floor((F.col(value) - F.lit(low or 0.0)) / F.lit(width)))
-    ends = both.where("known IS NOT NULL").groupBy("band").agg(F.min("known").alias("first"), F.max("known").alias("last"))  # 257 bands at most
+    cuts = both.agg(F.percentile_approx(value, [i / 256 for i in range(1, 256)], 10_000)).first()[0]  # equal shares of the rows, whatever their spread
+    splits = [-math.inf, *sorted(set(cuts or [])), math.inf]
+    both = Bucketizer(splits=splits if len(splits) > 2 else [-math.inf, 0.0, math.inf], inputCol=value, outputCol="band").transform(both)
+    ends = both.where("known IS NOT NULL").groupBy("band").agg(F.min("known").alias("first"), F.max("known").alias("last"))  # 256 bands at most
     span = Window.orderBy("band")
     bands = both.select("band").distinct().join(ends, "band", "left").withColumn("under", F.last("last", True).over(span.rowsBetween(Window.unboundedPreceding, -1))).withColumn("over", F.first("first", True).over(span.rowsBetween(1, Window.unboundedFollowing)))
     own = Window.partitionBy("band").orderBy(value)

@@ -75,5 +75,10 @@ def share_of_keys(keyed: DataFrame, share: float) -> DataFrame:
     """(key, n): keys in the order of their hash until they hold the share of all rows. keyed: (key)."""
     counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("total"))
-    order = Window.orderBy(F.md5("key"), "key").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0))).crossJoin(F.broadcast(total)).where(F.col("before") < share * F.col("total")).select("key", "n")
+    # a running sum in two steps: over 4,096 ranges of the hash, and within each
+    counts = counts.withColumn("hash", F.md5("key")).withColumn("range", F.substring("hash", 1, 3))
+    ahead = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = counts.groupBy("range").agg(F.sum("n").alias("n")).select("range", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
+    own = Window.partitionBy("range").orderBy("hash", "key").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("own", F.coalesce(F.sum("n").over(own), F.lit(0))).join(F.broadcast(ranges), "range")
+    return placed.withColumn("before", F.col("ahead") + F.col("own")).crossJoin(F.broadcast(total)).where(F.col("before") < share * F.col("total")).select("key", "n")

@@ -32,8 +32,8 @@ def token_df_idf(spark: SparkSession, d: str) -> DataFrame:
 def _candidates(spark: SparkSession, d: str, weighted: bool, least: int = 1) -> DataFrame:
     rec = written(V.records(spark, d).select("rid", "country", "source", "tokens"))  # read by four branches
     posts = B.postings(rec, "rid", "tokens", _stats(rec), ("country", "source"))
-    queries = posts.where("source = 1").select(F.col("rid").alias("s"), "country", "token")
-    index = posts.where("source <> 1").select(F.col("rid").alias("q"), "country", "token", "idf")
+    queries = posts.where("source = 1").select(F.col("rid").alias("s"), "country", "token", "parts")
+    index = posts.where("source <> 1").select(F.col("rid").alias("q"), "country", "token", "idf", "parts")
     out = B.token_candidates(queries, index, K, least, weighted, "country")
     return out.select("s", "q", F.round("score", 6).alias("score"), "shared", F.col("rank").cast("long").alias("rank"))
 
@@ -72,8 +72,8 @@ def field_block_sum_topk(spark: SparkSession, d: str) -> DataFrame:
     parts = []
     for one in (rec, first):
         posts = B.postings(one, "rid", "tokens", _stats(one), ("source",))
-        q, i = posts.where("source = 1").select(F.col("rid").alias("s"), "token"), posts.where("source <> 1").select(F.col("rid").alias("q"), "token", "idf")
-        parts.append(q.join(i, "token").groupBy("s", "q").agg(F.round(F.sum("idf"), 6).alias("score")))
+        q, i = posts.where("source = 1").select(F.col("rid").alias("s"), "token", "parts"), posts.where("source <> 1").select(F.col("rid").alias("q"), "token", "idf", "parts")
+        parts.append(B.met(q, i, ["token"]).groupBy("s", "q").agg(F.round(F.sum("idf"), 6).alias("score")))
     out = B.fields_candidates(parts, K)
     return out.select("s", "q", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
@@ -108,7 +108,7 @@ _CHARGRAM = f"""WITH {V.RECORDS}, every AS (SELECT 'd' || rid AS rid, norm FROM
 w AS (SELECT rid, ' ' || unnest(list_filter(string_split(norm, ' '), lambda x: x <> '')) || ' ' AS w FROM every),
 g AS (SELECT rid, unnest(CASE WHEN length(w) <= 3 THEN [w] ELSE list_transform(range(1, length(w) - 1), lambda i: substr(w, i, 3)) END) AS gram FROM w),
 tf AS (SELECT rid, gram, count(*) AS tf FROM g GROUP BY 1, 2), nd AS (SELECT count(DISTINCT rid) AS n FROM w),
-idf AS (SELECT gram, ln(((SELECT n FROM nd) + 1)::DOUBLE / (count(*) + 1)) + 1 AS idf FROM tf GROUP BY 1 HAVING count(*) <= 0.3::DOUBLE * (SELECT n FROM nd)),
+idf AS (SELECT gram, ln(((SELECT n FROM nd) + 1)::DOUBLE / (count(*) + 1)) + 1 AS idf FROM tf GROUP BY 1 HAVING count(*) <= least(0.3::DOUBLE * (SELECT n FROM nd), 20000)),
 raw AS (SELECT rid, gram, (ln(tf::DOUBLE) + 1) * idf AS raw FROM tf JOIN idf USING (gram)),
 nrm AS (SELECT rid, sqrt(sum(raw * raw)) AS norm FROM raw GROUP BY 1),
 wt AS (SELECT rid, gram, round(raw / norm, 8) AS weight FROM raw JOIN nrm USING (rid)),

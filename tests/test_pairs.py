@@ -365,3 +365,17 @@ def test_calibration_equals_pooled_neighbours(spark):
     want = {p: hits / n for hits, n, ps in blocks for p in ps}
     got = {x.p: x.p_cal for x in learner.calibrate(rows, rows).collect()}
     assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_long_lists_are_dealt_in_parts(spark):
+    """One token in half of the records: its list is dealt, nothing is lost, and no part holds more than its share."""
+    rec = df(spark, "id long, tokens array<string>", [(i, [f"t{i % 40}", "all"] if i % 2 else [f"t{i % 40}"]) for i in range(3000)])
+    stats = B.token_stats(rec, "id", "tokens", 0.9)
+    whole, dealt = (B.postings(rec, "id", "tokens", stats, most=n) for n in (10**6, 100))
+    assert dealt.where("token = 'all'").select("parts").distinct().first()[0] == 15 and whole.where("parts > 1").count() == 0
+    q = lambda posts: posts.where("id < 60").select(F.col("id").alias("s"), "token", "parts")
+    x = lambda posts: posts.where("id >= 60").select(F.col("id").alias("q"), "token", "idf", "parts")
+    rows = lambda posts: sorted((y.s, y.q, round(y.score, 9), y.shared) for y in B.token_candidates(q(posts), x(posts), k=5000).collect())
+    assert rows(whole) == rows(dealt) and len(rows(whole)) > 40_000
+    load = x(dealt).withColumn("part", F.pmod(F.xxhash64("q"), F.col("parts").cast("long"))).groupBy("token", "part").count().agg(F.max("count")).first()[0]
+    assert load < 150
