@@ -54,7 +54,7 @@ class Join:
     block: int = 256  # nodes of a block that is searched at once
     chunk: int = 512  # nodes of a larger block that are dealt together, or twice the pivots if more
     pivots: tuple[int, ...] = (64, 1024, 4096)
-    rows_per_task: int = 64  # a row of a search costs milliseconds, whatever its bytes
+    rows_per_task: int = 256  # a row of a search costs milliseconds, whatever its bytes
 
 
 COUNTED = 48  # bits of a shingle's hash that are counted

@@ -431,8 +431,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Training | None = None) ->
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), size.alias("size")).where(F.col("size") <= training.longest)
     labelled = texts.join(sample, F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "toxic", "size").dropDuplicates(["doc_id"])
     so_far = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id", F.lit("bound")), "doc_id").rowsBetween(Window.unboundedPreceding, 0))  # of a sample of bounded size
-    kept = labelled.select("doc_id", "size").withColumn("so_far", so_far).where(F.col("so_far") <= training.chars).select("doc_id")
-    rows = labelled.join(F.broadcast(kept), "doc_id", "left_semi").select("doc_id", "text", "toxic").collect()
+    rows = labelled.withColumn("so_far", so_far).where(F.col("so_far") <= training.chars).select("doc_id", "text", "toxic").collect()
     rows.sort(key=lambda r: r["doc_id"])
     total = sum(counts.values())
     return train([r["text"] for r in rows], np.array([r["toxic"] for r in rows], np.int64), counts.get(1, 0) / total if total else 0.0, None, training)
