@@ -28,10 +28,15 @@ DRAWS = 8
 POISSON = tuple(math.ceil(65536 * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1))) for k in range(8))
 
 
-def poisson(key: Column, block: Column, i: int, salt: str = "boot") -> Column:
-    """Draw i of a block of DRAWS Poisson(1) draws of 0 to 8, from the MD5 of key and block."""
-    u = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(salt), key.cast("string"), block.cast("string"))), 1 + 4 * i, 4), 16, 10).cast("int")
-    return sum(((u >= edge).cast("int") for edge in POISSON), F.lit(0))
+def drawn_from(key: Column, block: Column, salt: str = "boot") -> Column:
+    """The MD5 that a block of draws of one key comes from."""
+    return F.md5(F.concat_ws("|", F.lit(salt), key.cast("string"), block.cast("string")))
+
+
+def poisson(digest: Column, i: int) -> Column:
+    """Draw i of DRAWS Poisson(1) draws of 0 to 8: four digits of a digest against the distribution, as text, since they sort like their numbers."""
+    u = F.substring(digest, 1 + 4 * i, 4)
+    return sum(((u >= f"{edge:04x}").cast("int") for edge in POISSON if edge < 65536), F.lit(0))
 
 
 def paired_bootstrap(deltas: DataFrame, replicates: int = 200, key: str = "s", value: str = "delta") -> DataFrame:
@@ -41,7 +46,7 @@ def paired_bootstrap(deltas: DataFrame, replicates: int = 200, key: str = "s", v
     entity stands for DRAWS replicates at once.
     """
     blocks = deltas.select(key, value, F.explode(F.sequence(F.lit(0), F.lit(-(-replicates // DRAWS) - 1))).alias("b"))
-    drawn = blocks.withColumns({f"w{i}": poisson(F.col(key), F.col("b"), i) for i in range(DRAWS)})
+    drawn = blocks.withColumn("digest", drawn_from(F.col(key), F.col("b"))).withColumns({f"w{i}": poisson(F.col("digest"), i) for i in range(DRAWS)})
     sums = drawn.groupBy("b").agg(*[x for i in range(DRAWS) for x in (F.sum(F.col(f"w{i}") * F.col(value)).alias(f"v{i}"), F.sum(f"w{i}").alias(f"n{i}"))])
     each = F.explode(F.array(*[F.struct((F.col("b") * DRAWS + i).alias("r"), (F.col(f"v{i}") / F.col(f"n{i}")).alias("m")) for i in range(DRAWS)]))
     means = sums.select(each.alias("x")).select("x.r", "x.m").where(F.col("r") < replicates)

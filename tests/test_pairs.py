@@ -175,7 +175,7 @@ def test_splits_and_bootstrap(spark):
     even = R.paired_bootstrap(df(spark, "s long, delta double", [(i, 0.1 if i % 2 else -0.1) for i in range(200)])).first()
     assert sure.significant and sure.ci_low < sure.delta < sure.ci_high and not even.significant
     assert (R.keep_rule(0.01, 0.001), R.keep_rule(0.01, -0.1), R.keep_rule(0.001, 0.0001)) == ("keep", "reject", "repeat")
-    draws = [x.w for x in spark.range(5000).select(R.poisson(F.col("id"), F.lit(1), 3).alias("w")).collect()]
+    draws = [x.w for x in spark.range(5000).select(R.poisson(R.drawn_from(F.col("id"), F.lit(1)), 3).alias("w")).collect()]
     assert np.mean(draws) == pytest.approx(1, abs=0.06)
 
 
