@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -228,9 +228,10 @@ class Index:
         keys = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets)), self.sizes)
         order = np.argsort(keys, kind="stable")
-        keys, self.owner = keys[order], owner[order]
+        keys, self.owner = keys[order], np.ascontiguousarray(owner[order])
         self.keys, self.begin = np.unique(keys, return_index=True)
         self.length = np.diff(np.append(self.begin, len(keys)))
+        self.view = memoryview(self.owner)  # lists are read in place; a search that ends early copies nothing
         # one array that can be probed for (list, set)
         self.base = len(sets)
         self.places = np.repeat(np.arange(len(self.keys)), self.length) * self.base + self.owner
@@ -248,9 +249,9 @@ class Index:
         return int((self.places[at] == want).sum())
 
 
-def merge_skip(lists: list[list[int]], need: int) -> Iterator[tuple[int, int]]:
-    """(id, lists that hold it) of ids in at least ``need`` sorted lists: a heap of fronts; fronts that cannot reach ``need`` skip ahead."""
-    heap = [(x[0], i, 0) for i, x in enumerate(lists) if x]
+def merge_skip(lists: Sequence[Sequence[int]], need: int) -> Iterator[tuple[int, int]]:
+    """(id, lists that hold it) of ids in at least ``need`` sorted lists, lowest id first: a heap of fronts; fronts that cannot reach ``need`` skip ahead."""
+    heap = [(x[0], i, 0) for i, x in enumerate(lists) if len(x)]
     heapq.heapify(heap)
     while len(heap) >= need:
         top, popped = heap[0][0], []
@@ -276,8 +277,8 @@ def merge_skip(lists: list[list[int]], need: int) -> Iterator[tuple[int, int]]:
 MU = 0.0085  # the usual constant of DivideSkip
 
 
-def search(index: Index, query: np.ndarray, percent: int, skip) -> Iterator[int]:
-    """Sets of the index similar to the query. ``skip(i)``: whether set i need not be looked at."""
+def search(index: Index, query: np.ndarray, percent: int, skip, below: int | None = None) -> Iterator[int]:
+    """Sets of the index similar to the query, lowest first. ``skip(i)``: whether set i need not be looked at; ``below``: where the sets to be looked at end."""
     n = len(query)
     need = -(-percent * n // 100)
     lists = index.lists(query)
@@ -288,9 +289,11 @@ def search(index: Index, query: np.ndarray, percent: int, skip) -> Iterator[int]
     longest = int(length.max())
     n_long = min(int(need / (MU * np.log2(max(longest, 2)) + 1)), need - 1)
     short, long = lists[: len(lists) - n_long], lists[len(lists) - n_long :]
-    owner, begin, size = index.owner, index.begin, index.length
-    fronts = [owner[begin[k] : begin[k] + size[k]].tolist() for k in short.tolist()]
+    begin = index.begin[short]
+    fronts = [index.view[a:b] for a, b in zip(begin.tolist(), (begin + index.length[short]).tolist(), strict=True)]
     for i, count in merge_skip(fronts, need - n_long):
+        if below is not None and i >= below:
+            return
         m = index.sizes[i]
         if skip(i) or 100 * min(m, n) < percent * max(m, n):
             continue
@@ -331,9 +334,11 @@ def _search(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         index, nodes = Index(state["sets"]), state["nodes"]
         classes = Classes(len(nodes))
         for q, keys in enumerate(state["sets"]):
-            for i in search(index, keys, percent, lambda i, q=q: i >= q or classes.find(i) == classes.find(q)):
+            for i in search(index, keys, percent, lambda i, q=q: classes.find(i) == classes.find(q), q):
                 classes.join(i, q)
                 out.append((nodes[i], nodes[q]))
+                if classes.count == len(nodes) - q:  # sets 0 to q are one class, those after q are alone so far
+                    break
         state.update(index=index, classes=classes, sets=[])
 
     def look(node: int, keys: np.ndarray) -> None:
