@@ -281,5 +281,10 @@ def pack(keys: np.ndarray, packer: zstandard.ZstdCompressor) -> bytes:
     return packer.compress(planes(np.diff(keys, prepend=U64(0))))
 
 
+def keys_in(raw: bytes) -> int:
+    """How many keys were packed."""
+    return zstandard.frame_content_size(raw) // 8
+
+
 def unpack(raw: bytes, opener: zstandard.ZstdDecompressor) -> np.ndarray:
     return np.cumsum(unplanes(opener.decompress(raw), "<u8"), dtype=U64)

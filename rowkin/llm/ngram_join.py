@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_left
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowkin.llm.common import LOWER_VALUES, U64, broadcast_if_small, give_back, gram_hash, look_up, materialise, mix, pack, planes, prefix_sums, release, span_hash, steady, text_blocks, unpack, unplanes, word_spans
+from rowkin.llm.common import LOWER_VALUES, U64, broadcast_if_small, give_back, gram_hash, keys_in, look_up, materialise, mix, pack, planes, prefix_sums, release, span_hash, steady, text_blocks, unpack, unplanes, word_spans
 from rowkin.llm.graph import components
 
 
@@ -220,21 +220,32 @@ def _sets(batches: Iterator[pa.RecordBatch], join: Join, shared: np.ndarray, man
         )
 
 
+OWNER = U64(16)  # bits below a key of 48 that say which set of an index holds it
+
+
 class Index:
-    """Inverted lists of sets, in one array sorted by (key, set)."""
-
-    def __init__(self, sets: list[np.ndarray]):
-        self.sizes = [len(x) for x in sets]
-        keys = np.concatenate(sets)
-        owner = np.repeat(np.arange(len(sets)), self.sizes)
-        order = np.argsort(keys, kind="stable")
-        keys, self.owner = keys[order], np.ascontiguousarray(owner[order])
-        self.keys, self.begin = np.unique(keys, return_index=True)
-        self.length = np.diff(np.append(self.begin, len(keys)))
-        self.view = memoryview(self.owner)  # lists are read in place; a search that ends early copies nothing
-        # one array that can be probed for (list, set)
-        self.base = len(sets)
-        self.places = np.repeat(np.arange(len(self.keys)), self.length) * self.base + self.owner
+    """Inverted lists of up to 65,536 sets, in one array of (key, set) that is sorted in place.
+
+    Sets are read once, one after the other, so they may be unpacked on the way if their sizes are given.
+    """
+
+    def __init__(self, sets: Iterable[np.ndarray], sizes: list[int] | None = None):
+        if sizes is None:
+            sets = list(sets)
+        self.sizes = [len(x) for x in sets] if sizes is None else sizes
+        if len(self.sizes) > 1 << int(OWNER):
+            raise ValueError("too many sets in one index")
+        self.places = np.empty(sum(self.sizes), U64)
+        at = 0
+        for i, keys in enumerate(sets):
+            self.places[at : at + len(keys)] = (keys << OWNER) | U64(i)
+            at += len(keys)
+        self.places.sort()
+        self.view = memoryview((self.places & U64((1 << int(OWNER)) - 1)).astype(np.int32))  # lists are read in place
+        keys = self.places >> OWNER
+        self.begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if at else np.zeros(0, np.int64)
+        self.keys = keys[self.begin]
+        self.length = np.diff(np.append(self.begin, at))
 
     def lists(self, query: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.keys, query)
@@ -243,7 +254,7 @@ class Index:
 
     def probe(self, lists: np.ndarray, candidate: int) -> int:
         """How many of the lists hold the candidate, by binary search."""
-        want = lists * self.base + candidate
+        want = (self.keys[lists] << OWNER) | U64(candidate)
         at = np.searchsorted(self.places, want)
         at[at == len(self.places)] = 0
         return int((self.places[at] == want).sum())
@@ -331,10 +342,10 @@ def _search(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
     out: list[tuple[int, int]] = []
 
     def build() -> None:
-        index, nodes = Index(state["sets"]), state["nodes"]
+        index, nodes = Index((unpack(x, opener) for x in state["sets"]), [keys_in(x) for x in state["sets"]]), state["nodes"]
         classes = Classes(len(nodes))
-        for q, keys in enumerate(state["sets"]):
-            for i in search(index, keys, percent, lambda i, q=q: classes.find(i) == classes.find(q), q):
+        for q, packed in enumerate(state["sets"]):
+            for i in search(index, unpack(packed, opener), percent, lambda i, q=q: classes.find(i) == classes.find(q), q):
                 classes.join(i, q)
                 out.append((nodes[i], nodes[q]))
                 if classes.count == len(nodes) - q:  # sets 0 to q are one class, those after q are alone so far
@@ -368,7 +379,7 @@ def _search(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
                 look(node, unpack(keys, opener))
             else:
                 state["nodes"].append(node)
-                state["sets"].append(unpack(keys, opener))
+                state["sets"].append(keys)
         if out:
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["a", "b"])
             out.clear()
