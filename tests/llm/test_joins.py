@@ -88,6 +88,38 @@ def test_search_finds_every_similar_set():
         for q in sets:
             want = {i for i, s in enumerate(sets) if 100 * len(set(q) & set(s)) >= 80 * len(set(q) | set(s))}
             assert set(search(index, q, 80, lambda i: False)) == want
+            for below in (0, 7, 20):
+                assert list(search(index, q, 80, lambda i: False, below)) == sorted(i for i in want if i < below)
+
+
+def test_index_takes_packed_sets_and_searches_of_a_block_join_what_brute_force_joins():
+    import numpy as np
+    import pyarrow as pa
+    import zstandard
+
+    from rowkin.llm.common import keys_in, pack, unpack
+    from rowkin.llm.ngram_join import Classes, _search
+
+    r, packer, opener = random.Random(7), zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+    for groups, rest in ((1, 0), (3, 0), (1, 9), (4, 9)):
+        bases = [[r.randrange(1 << 48) for _ in range(80)] for _ in range(groups)]
+        sets = [np.unique(np.array(r.sample(r.choice(bases), r.randint(68, 80)) + [r.randrange(1 << 48) for _ in range(r.randint(0, 6))], np.uint64)) for _ in range(30)]
+        packed = [pack(x, packer) for x in sets]
+        assert [keys_in(x) for x in packed] == [len(x) for x in sets]
+        given = Index((unpack(x, opener) for x in packed), [keys_in(x) for x in packed])
+        assert (given.places == Index(sets).places).all()
+
+        batch = pa.RecordBatch.from_arrays([pa.array([5] * 30), pa.array([0] * 30), pa.array([i >= 30 - rest for i in range(30)]), pa.array(range(30)), pa.array(packed)], names=["block", "chunk", "rest", "node", "keys"])
+        got, want = Classes(30), Classes(30)
+        for out in _search(iter([batch]), 80):
+            for a, b in zip(*(x.to_pylist() for x in out.columns), strict=True):
+                got.join(a, b)
+        linked = lambda x, y: 100 * len(np.intersect1d(x, y)) >= 80 * len(np.union1d(x, y))
+        for a in range(30 - rest):
+            for b in range(a + 1, 30):
+                if linked(sets[a], sets[b]):
+                    want.join(a, b)
+        assert [got.find(i) for i in range(30)] == [want.find(i) for i in range(30)]
 
 
 ITEM = "Alice buys 3 apples for 12 dollars at the corner market and later sells 2 apples to Bob for 9 dollars. How many apples does Alice have?"
