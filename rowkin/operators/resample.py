@@ -133,8 +133,8 @@ def snap(values: DataFrame, known: DataFrame, value: str = "v") -> DataFrame:
     ends = both.where("known IS NOT NULL").groupBy("band").agg(F.min("known").alias("first"), F.max("known").alias("last"))  # 256 bands at most
     span = Window.orderBy("band")
     bands = both.select("band").distinct().join(ends, "band", "left").withColumn("under", F.last("last", True).over(span.rowsBetween(Window.unboundedPreceding, -1))).withColumn("over", F.first("first", True).over(span.rowsBetween(1, Window.unboundedFollowing)))
-    own = Window.partitionBy("band").orderBy(value)
-    placed = both.withColumn("below", F.last("known", True).over(own.rangeBetween(Window.unboundedPreceding, 0))).withColumn("above", F.first("known", True).over(own.rangeBetween(0, Window.unboundedFollowing)))
+    own, down = (Window.partitionBy("band").orderBy(x) for x in (F.col(value), F.col(value).desc()))  # a frame up to the end would be read anew for each row
+    placed = both.withColumn("below", F.last("known", True).over(own.rangeBetween(Window.unboundedPreceding, 0))).withColumn("above", F.last("known", True).over(down.rangeBetween(Window.unboundedPreceding, 0)))
     placed = placed.join(F.broadcast(bands.select("band", "under", "over")), "band").withColumns({"below": F.coalesce("below", "under"), "above": F.coalesce("above", "over")})
     v = F.col(value)
     nearest = F.when(F.col("below").isNull(), F.col("above")).when(F.col("above").isNull(), F.col("below")).when(v - F.col("below") <= F.col("above") - v, F.col("below")).otherwise(F.col("above"))
