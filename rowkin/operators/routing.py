@@ -21,7 +21,7 @@ def key_vocabulary(parts: DataFrame, by: list[str], least: int = MIN_COUNT) -> D
 
 def assign_keys(parts: DataFrame, vocabulary: DataFrame, by: list[str], rid: str = "rid") -> DataFrame:
     """(rid, key): a record's most frequent known part; the first one of equal ones."""
-    return parts.join(vocabulary, [*by, "part"]).groupBy(rid).agg(F.max_by("part", F.struct(F.col("n"), -F.col("at"))).alias("key"))
+    return parts.hint("merge").join(vocabulary, [*by, "part"]).groupBy(rid).agg(F.max_by("part", F.struct(F.col("n"), -F.col("at"))).alias("key"))
 
 
 def coverage_routes(matches: DataFrame, by: list[str], coverage: float = COVERAGE, least: int = MIN_MATCHES) -> DataFrame:
@@ -39,7 +39,7 @@ def coverage_routes(matches: DataFrame, by: list[str], coverage: float = COVERAG
 
 def place_table(parts: DataFrame, keys: DataFrame, purity: float = PURITY, support: int = SUPPORT, by: tuple[str, ...] = ()) -> DataFrame:
     """(by, part, key): parts that stand with one key nearly always. parts: (by, rid, part), keys: (rid, key)."""
-    together = parts.select(*by, "rid", "part").distinct().join(keys.where("key != ''"), "rid").groupBy(*by, "part", "key").agg(F.count(F.lit(1)).alias("n"))
+    together = parts.select(*by, "rid", "part").distinct().join(keys.where("key != ''").hint("merge"), "rid").groupBy(*by, "part", "key").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy(*by, "part")
     ranked = together.withColumn("total", F.sum("n").over(w)).withColumn("at", F.row_number().over(w.orderBy(F.col("n").desc(), "key")))
     return ranked.where((F.col("at") == 1) & (F.col("total") >= support) & (F.col("n") / F.col("total") >= purity)).select(*by, "part", "key")
@@ -47,7 +47,7 @@ def place_table(parts: DataFrame, keys: DataFrame, purity: float = PURITY, suppo
 
 def resolve(parts: DataFrame, table: DataFrame, by: tuple[str, ...] = (), most: int = MAX_KEYS) -> DataFrame:
     """(rid, route): the keys of a record's parts, sorted; no row where there are none or too many."""
-    found = parts.join(table, [*by, "part"]).groupBy("rid").agg(F.array_sort(F.collect_set("key")).alias("route"))
+    found = parts.hint("merge").join(table, [*by, "part"]).groupBy("rid").agg(F.array_sort(F.collect_set("key")).alias("route"))
     return found.where(F.size("route") <= most)
 
 
@@ -62,9 +62,10 @@ def label_free_routes(s1: DataFrame, queries: DataFrame, by: tuple[str, ...] = (
     first = place_table(s1, keys, purity, support, by)
     every = s1.unionByName(queries)
     single = resolve(every, first, by).where(F.size("route") == 1).select("rid", F.col("route")[0].alias("key"))
-    more = place_table(every, single, purity, support, by).join(first.select(*by, "part"), [*by, "part"], "left_anti")
+    more = place_table(every, single, purity, support, by).hint("merge").join(first.select(*by, "part"), [*by, "part"], "left_anti")
     table = first.unionByName(more)
-    own = s1.select(*by, "rid").distinct().join(keys, "rid", "left").join(resolve(s1, table, by), "rid", "left")
+    # a row per record on both sides: small as files, large in a driver's memory, so never broadcast
+    own = s1.select(*by, "rid").distinct().join(keys.hint("merge"), "rid", "left").join(resolve(s1, table, by).hint("merge"), "rid", "left")
     missed = F.col("route").isNotNull() & F.col("key").isNotNull() & ~F.coalesce(F.array_contains("route", F.col("key")), F.lit(False))
     check = own.agg(F.avg(missed.cast("double")).alias("self_miss"))
     routes = resolve(queries, table, by).crossJoin(F.broadcast(check)).where(F.col("self_miss") <= most_miss).drop("self_miss")  # check is one row
