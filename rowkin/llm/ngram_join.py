@@ -10,8 +10,13 @@ their sets' Jaccard similarity reaches 0.8. Copies of a set are one node.
 2. In that order (in one document, in a few, in many) linked sets share one of
    their first n - ceil(0.8 n) + 1 shingles. Shingles in one document link
    nothing and are dropped; few texts without near copies keep any.
-3. Each shingle ties its nodes to its least node; components of these ties are
-   blocks. No pairs are made.
+3. A shingle in few documents (64 at most) pairs its nodes. How many such shingles
+   two sets share bounds what they can share at all; pairs that may still link are
+   ties. A shingle in many ties its nodes to its least node, without pairs.
+   Components of ties are blocks. Without that bound a rare shingle here and there
+   would chain unlike texts, and the largest block would outgrow the corpus. Blocks
+   that are large still are searched by shingles in many documents alone; after that
+   the pairs of step 3 that no link has joined are compared one by one.
 4. In a block, each set is searched for in an inverted index: the short lists are
    heap-merged with skips, the long ones binary-probed, and sets that reach the
    required overlap are compared by exact count. A candidate already in the same
@@ -62,6 +67,8 @@ KEY_SHIFT = U64(64 - COUNTED)
 FLUSH = 1_500_000
 #: The most slices (as a power of two) of the hash range: one task holds a slice.
 SLICES = 18
+#: Rows of shingles and nodes that are paired at once.
+POSTINGS = 50_000
 #: Nodes that a task remembers having sent; forgetting some only sends a copy again.
 SEEN = 1_000_000
 
@@ -220,6 +227,79 @@ def _sets(batches: Iterator[pa.RecordBatch], join: Join, shared: np.ndarray, man
         )
 
 
+def _pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """(a, b, need) for each few-document shingle that two nodes' prefixes share; fewer than ``need`` of them in all can't make a link.
+
+    Rows (token, node, n, own, last) come sorted by token and node: a set's size, how many of its first shingles lie in few
+    documents or in one (``own``), and the last of these. Of two sets, all that the one with the lower last holds up to there and
+    shares lies among the other's first ones too; so both share no more than these and what follows in that set.
+    """
+    held: list[list[np.ndarray]] = []
+    size = 0
+
+    def emit(token: np.ndarray, node: np.ndarray, n: np.ndarray, own: np.ndarray, last: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(token):
+            return
+        fresh = np.append(True, (token[1:] != token[:-1]) | (node[1:] != node[:-1]))  # not a copy from another task
+        token, node, n, own, last = (x[fresh] for x in (token, node, n, own, last))
+        at = np.arange(len(token))
+        for step in range(1, len(token)):
+            at = at[at + step < len(token)]
+            at = at[token[at] == token[at + step]]
+            if not len(at):
+                return
+            to = at + step
+            fit = 100 * np.minimum(n[at], n[to]) >= percent * np.maximum(n[at], n[to])
+            x, y = at[fit], to[fit]
+            least = -(-percent * (n[x] + n[y]) // (100 + percent))
+            rest = np.where(last[x] <= last[y], n[x] - own[x], n[y] - own[y])
+            yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y]), pa.array(least - rest)], names=["a", "b", "need"])
+
+    def taken() -> list[np.ndarray]:
+        return [np.concatenate(x) for x in zip(*held, strict=True)]
+
+    for batch in batches:
+        held.append([c.to_numpy() for c in batch.columns])
+        size += batch.num_rows
+        if size >= POSTINGS:
+            rows = taken()
+            cut = int(np.searchsorted(rows[0], rows[0][-1]))  # the last token may go on
+            held, size = [[x[cut:] for x in rows]], len(rows[0]) - cut
+            yield from emit(*(x[:cut] for x in rows))
+    if size:
+        yield from emit(*taken())
+
+
+def _close(able: DataFrame, join: Join) -> DataFrame:
+    """(node, other): pairs that share as many shingles of few documents as two linked sets must, if they share any."""
+    percent = join.percent
+    n, rare = F.col("n_shingles"), F.filter("tokens", lambda t: t >= 0)  # tokens of many documents are negative as signed numbers
+    head = n - F.expr(f"({percent} * n_shingles + 99) div 100") + 1
+    facts = able.select("node", n.alias("n"), (head - F.size("tokens") + F.size(rare)).alias("own"), F.array_max(rare).alias("last"), F.explode(rare).alias("token"))
+    dealt = facts.select("token", "node", "n", "own", "last").repartition("token").sortWithinPartitions("token", "node")
+    met = dealt.mapInArrow(lambda b: give_back(_pairs(b, percent)), "a long, b long, need long")
+    return met.groupBy("a", "b", "need").agg(F.count(F.lit(1)).alias("shared")).where("shared >= need").select(F.col("b").alias("node"), F.col("a").alias("other"))
+
+
+def _common(able: DataFrame) -> DataFrame:
+    """(node, other): ties of nodes that share a shingle of many documents, by way of its least node."""
+    lists = able.select("node", F.explode(F.filter("tokens", lambda t: t < 0)).alias("token"))
+    heads = lists.groupBy("token").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head != last").select("token", "head")
+    return lists.join(heads, "token").where("node != head").select("node", F.col("head").alias("other")).distinct()
+
+
+def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The links among rows of (a, b, keys of a, keys of b)."""
+    opener = zstandard.ZstdDecompressor()
+    for batch in batches:
+        keep = []
+        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            n, m = keys_in(x), keys_in(y)
+            shared = len(np.intersect1d(unpack(x, opener), unpack(y, opener), assume_unique=True)) if 100 * min(n, m) >= percent * max(n, m) else 0
+            keep.append(shared > 0 and 100 * shared >= percent * (n + m - shared))
+        yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+
 OWNER = U64(16)  # bits below a key of 48 that say which set of an index holds it
 
 
@@ -425,6 +505,37 @@ def _large(members: DataFrame, join: Join) -> list[DataFrame]:
     return found
 
 
+def _small(able: DataFrame, ties: DataFrame, join: Join) -> tuple[list[DataFrame], DataFrame]:
+    """A table of links of the ties' blocks that are searched at once, and the members of larger ones."""
+    tied = components(ties, "node", "other")
+    blocks = materialise(tied.withColumnRenamed("root", "block"))
+    sized = materialise(look_up(blocks, blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n")), "block", "n", blocks.count()))
+    members = able.select("node", "keys").join(broadcast_if_small(sized), "node")
+    small = members.where(F.col("n") <= join.block).withColumn("chunk", F.lit(0)).withColumn("rest", F.lit(False))
+    links = materialise(_searched(small, join, sized.where(F.col("n") <= join.block).count()))
+    large = materialise(members.where(F.col("n") > join.block).dropDuplicates(["node"]).select("block", "node", "keys"))
+    release(sized, blocks, tied)
+    return [links], large
+
+
+def _loose(able: DataFrame, large: DataFrame, close: DataFrame, join: Join) -> list[DataFrame]:
+    """Tables of links of large blocks: searches among what shares a shingle of many documents, then the close pairs not yet joined, one by one."""
+    if large.isEmpty():
+        return []
+    percent, inside = join.percent, broadcast_if_small(large.select("node"))
+    found, larger = _small(able.join(inside, "node", "left_semi"), _common(able.join(inside, "node", "left_semi")), join)
+    found += _large(larger, join)
+    reached = components(reduce(DataFrame.union, found))
+    roots = materialise(large.select("node").join(reached, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
+    side = lambda x: broadcast_if_small(roots.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root")))
+    pairs = close.join(side("node"), "node").join(side("other"), "other").where("node_root != other_root").select("node", "other")
+    keys = lambda x: large.select(F.col("node").alias(x), F.col("keys").alias(f"{x}_keys"))
+    both = pairs.join(keys("node"), "node").join(keys("other"), "other").select(F.col("node").alias("a"), F.col("other").alias("b"), "node_keys", "other_keys")
+    found.append(materialise(both.mapInArrow(lambda b: give_back(_verify(b, percent)), "a long, b long")))
+    release(larger, reached, roots)
+    return found
+
+
 def classes(docs: DataFrame, join: Join | None = None) -> DataFrame:
     """One row per input row: doc_id, key (of its text), n_shingles, component_id, stays.
 
@@ -439,19 +550,10 @@ def classes(docs: DataFrame, join: Join | None = None) -> DataFrame:
     sets = materialise(texts.mapInArrow(lambda b: give_back(_sets(b, join, *fields.value)), "doc_id long, key long, n_shingles long, node long, tokens array<long>, keys binary"))
 
     able = sets.where("tokens IS NOT NULL")
-    lists = able.select("node", F.explode("tokens").alias("token"))
-    heads = lists.groupBy("token").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head != last").select("token", "head")
-    ties = lists.join(heads, "token").where("node != head").select("node", F.col("head").alias("other")).distinct()
-    tied = components(ties, "node", "other")
-    blocks = materialise(tied.withColumnRenamed("root", "block"))
-    sized = materialise(look_up(blocks, blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n")), "block", "n", blocks.count()))
-    members = able.select("node", "keys").join(broadcast_if_small(sized), "node")
-
-    small = members.where(F.col("n") <= join.block).withColumn("chunk", F.lit(0)).withColumn("rest", F.lit(False))
-    links = [materialise(_searched(small, join, sized.where(F.col("n") <= join.block).count()))]
-    large = materialise(members.where(F.col("n") > join.block).dropDuplicates(["node"]).select("block", "node", "keys"))
-    links += _large(large, join)
-    release(large, sized, blocks, tied)
+    close = materialise(_close(able, join))
+    links, large = _small(able, close.union(_common(able)), join)
+    links += _loose(able, large, close, join)
+    release(large, close)
 
     # a row per node: its least row and how many it has; then a row per linked class
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("least")
