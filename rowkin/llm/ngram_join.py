@@ -19,8 +19,9 @@ their sets' Jaccard similarity reaches 0.8. Copies of a set are one node.
    the pairs of step 3 that no link has joined are compared one by one.
 4. In a block, each set is searched for in an inverted index: the short lists are
    heap-merged with skips, the long ones binary-probed, and sets that reach the
-   required overlap are compared by exact count. A candidate already in the same
-   component is passed over. A large block is searched against few pivots, then
+   required overlap are compared by exact count. After a set's first candidates the
+   short lists are counted in arrays, and so are the long ones if the candidates
+   left are many. A candidate already in the same component is passed over. A large block is searched against few pivots, then
    against all that did not join its largest component, until none is left, so a
    group of near copies of any size takes time in proportion to its size.
 
@@ -321,7 +322,8 @@ class Index:
             self.places[at : at + len(keys)] = (keys << OWNER) | U64(i)
             at += len(keys)
         self.places.sort()
-        self.view = memoryview((self.places & U64((1 << int(OWNER)) - 1)).astype(np.int32))  # lists are read in place
+        self.owners = (self.places & U64((1 << int(OWNER)) - 1)).astype(np.int32)
+        self.view = memoryview(self.owners)  # lists are read in place
         keys = self.places >> OWNER
         self.begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if at else np.zeros(0, np.int64)
         self.keys = keys[self.begin]
@@ -339,6 +341,17 @@ class Index:
         at[at == len(self.places)] = 0
         return int((self.places[at] == want).sum())
 
+    def count(self, lists: np.ndarray) -> np.ndarray:
+        """How many of the lists hold each set, by reading them whole, some at a time."""
+        begin, length = self.begin[lists], self.length[lists]
+        total, end = np.zeros(len(self.sizes), np.int64), np.cumsum(length)
+        cuts = np.searchsorted(end, np.arange(READ, int(length.sum()), READ)) + 1 if len(lists) else []
+        for a, b in zip([0, *cuts], [*cuts, len(lists)], strict=True):
+            if b > a:
+                parts = [self.owners[x:y] for x, y in zip(begin[a:b].tolist(), (begin + length)[a:b].tolist(), strict=True)]
+                total += np.bincount(np.concatenate(parts), minlength=len(total))
+        return total
+
 
 def merge_skip(lists: Sequence[Sequence[int]], need: int) -> Iterator[tuple[int, int]]:
     """(id, lists that hold it) of ids in at least ``need`` sorted lists, lowest id first: a heap of fronts; fronts that cannot reach ``need`` skip ahead."""
@@ -366,6 +379,8 @@ def merge_skip(lists: Sequence[Sequence[int]], need: int) -> Iterator[tuple[int,
 
 
 MU = 0.0085  # the usual constant of DivideSkip
+#: Candidates of a set that the heap finds one by one; what a probe costs, in entries of a list; entries that are counted at once.
+FIRST, PROBE, READ = 4, 16, 1_000_000
 
 
 def search(index: Index, query: np.ndarray, percent: int, skip, below: int | None = None) -> Iterator[int]:
@@ -382,9 +397,12 @@ def search(index: Index, query: np.ndarray, percent: int, skip, below: int | Non
     short, long = lists[: len(lists) - n_long], lists[len(lists) - n_long :]
     begin = index.begin[short]
     fronts = [index.view[a:b] for a, b in zip(begin.tolist(), (begin + index.length[short]).tolist(), strict=True)]
-    for i, count in merge_skip(fronts, need - n_long):
+    for looked, (i, count) in enumerate(merge_skip(fronts, need - n_long)):
         if below is not None and i >= below:
             return
+        if looked == FIRST:  # a heap's steps cost more than lists read in arrays
+            yield from (j for j in _counted(index, short, long, n, percent, need - n_long, i, below) if not skip(j))
+            return
         m = index.sizes[i]
         if skip(i) or 100 * min(m, n) < percent * max(m, n):
             continue
@@ -393,6 +411,21 @@ def search(index: Index, query: np.ndarray, percent: int, skip, below: int | Non
             yield i
 
 
+def _counted(index: Index, short: np.ndarray, long: np.ndarray, n: int, percent: int, need: int, first: int, below: int | None) -> list[int]:
+    """What ``search`` finds from set ``first`` on, for a set of n shingles: the short lists are counted, the long ones probed or counted, whichever reads less."""
+    count = index.count(short)
+    left = np.flatnonzero(count[first:below] >= need) + first
+    m = np.asarray(index.sizes, np.int64)[left]
+    fit = 100 * np.minimum(m, n) >= percent * np.maximum(m, n)
+    left, m = left[fit], m[fit]
+    if PROBE * len(left) * len(long) < int(index.length[long].sum()):
+        more = np.asarray([index.probe(long, i) for i in left.tolist()], np.int64)
+    else:
+        more = index.count(long)[left]
+    shared = count[left] + more
+    return left[100 * shared >= percent * (n + m - shared)].tolist()
+
+
 class Classes:
     def __init__(self, n: int):
         self.up = list(range(n))
