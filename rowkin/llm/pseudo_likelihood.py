@@ -61,6 +61,10 @@ class Shape:
         return self.size - self.buckets
 
 
+#: Words of one class that are scored together, at least.
+ROWS = 32
+#: Words whose scores are made at once.
+AT_ONCE = 32768
 CHUNKS = 64
 #: Copies of the model, or of means of copies, that one task averages.
 FAN = 64
@@ -265,21 +269,27 @@ def gather(docs: DataFrame, shape: Shape) -> tuple[Vocabulary, DataFrame]:
     return vocabulary, coded
 
 
+class Places:
+    """Where the words of a run of texts stand: words in a row, with ``side`` signs for no word around each text."""
+
+    def __init__(self, ids: np.ndarray, first: np.ndarray, shape: Shape):
+        self.shape = shape
+        self.at = np.arange(len(ids)) + shape.side * (owners(first) + 1)
+        self.ids = np.full(len(ids) + shape.side * len(first), shape.size, np.int64)
+        self.ids[self.at] = ids
+
+    def contexts(self, at: np.ndarray | slice) -> np.ndarray:
+        """(word, place) rows into the table of vectors for the words ``at``: a row block per place, whose last row stands for no word."""
+        shape, here = self.shape, self.at[at]
+        out = np.empty((len(here), 2 * shape.side), np.int64)
+        for k, step in enumerate([*range(-shape.side, 0), *range(1, shape.side + 1)]):
+            np.add(self.ids[here + step], k * (shape.size + 1), out=out[:, k])
+        return out
+
+
 def contexts(ids: np.ndarray, first: np.ndarray, shape: Shape, at: np.ndarray | None = None) -> np.ndarray:
-    """(word, place) rows into the table of vectors, for all words or those ``at``: a row block per place, whose last row stands for no word."""
-    n, rows = len(ids), shape.size + 1
-    begin = np.repeat(first[:-1], np.diff(first))
-    end = np.repeat(first[1:], np.diff(first))
-    if at is None:
-        at = np.arange(n)
-    else:
-        begin, end = begin[at], end[at]
-    out = np.empty((len(at), 2 * shape.side), np.int64)
-    for k, step in enumerate([*range(-shape.side, 0), *range(1, shape.side + 1)]):
-        there = at + step
-        inside = (there >= begin) & (there < end)
-        out[:, k] = k * rows + np.where(inside, ids[np.clip(there, 0, max(n - 1, 0))], shape.size)
-    return out
+    """Contexts of all words or those ``at``."""
+    return Places(ids, first, shape).contexts(slice(None) if at is None else at)
 
 
 def start_model(vocabulary: Vocabulary, shape: Shape, seed: int = 3) -> dict[str, np.ndarray]:
@@ -297,11 +307,11 @@ def start_model(vocabulary: Vocabulary, shape: Shape, seed: int = 3) -> dict[str
 
 
 def _pick(x: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(log-probability of each row's place, exponentials, their sums). One shift for all rows: scores lie close together."""
-    x -= x.max()
-    at = x[np.arange(len(x)), place]
+    """(log-probability of each row's place, exponentials, their sums). One shift for all rows of a block: scores lie close together."""
+    x -= x.max(axis=(-2, -1), keepdims=True)
+    at = np.take_along_axis(x, place[..., None], -1)[..., 0]
     np.exp(x, out=x)
-    total = x @ np.ones(x.shape[1], x.dtype)
+    total = x @ np.ones(x.shape[-1], x.dtype)
     return at - np.log(total), x, total
 
 
@@ -311,51 +321,61 @@ def _sum_rows(context: np.ndarray, d_in: np.ndarray) -> tuple[np.ndarray, np.nda
     order = np.argsort(read.astype(np.uint16) if len(read) and read.max() < 1 << 16 else read, kind="stable")
     ranked = read[order]
     begin = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]][: len(ranked)])
-    return ranked[begin], np.add.reduceat(d_in[order // context.shape[1]], begin, axis=0)
+    each = d_in.take(order // context.shape[1], 0)
+    two = np.complex64 if d_in.dtype == np.float32 and d_in.shape[1] % 2 == 0 else d_in.dtype  # adds two columns at once
+    return ranked[begin], np.add.reduceat(each.view(two), begin, axis=0).view(d_in.dtype)
 
 
 def log_probs(model: dict, context: np.ndarray, ids: np.ndarray, shape: Shape, grads: dict | None = None) -> np.ndarray:
-    """log p(word | both sides) of each word; with ``grads``, also the summed gradients of minus that."""
-    h = model["vectors"][context[:, 0]]
+    """log p(word | both sides) of each word; with ``grads``, also the summed gradients of minus that, and the rows of vectors that were read."""
+    if not len(ids):
+        return np.zeros(0)
+    h = np.ones((len(ids), shape.hidden + 1), model["vectors"].dtype)  # the last column is for biases
+    sums = model["vectors"].take(context[:, 0], 0)
     for k in range(1, context.shape[1]):
-        h += model["vectors"][context[:, k]]
-    h += model["bias"]
-    np.tanh(h, out=h)
+        sums += model["vectors"].take(context[:, k], 0)
+    sums += model["bias"]
+    np.tanh(sums, out=h[:, :-1])
     kind = (ids // shape.per_class).astype(np.uint16)
-    out, e, total = _pick(h @ model["classes"] + model["class_bias"], kind)
+    out, e, total = _pick(h @ np.vstack([model["classes"], model["class_bias"]]), kind.astype(np.int64))
     out = out.astype(np.float64)
+    # words by class, in blocks of ``rows`` that hold one class each; what fills a class's last block counts for nothing
     order = np.argsort(kind, kind="stable")
-    cuts = np.searchsorted(kind[order], np.arange(shape.classes + 1))
-    h_sorted, place_sorted = h[order], (ids[order] % shape.per_class)
-    inner = np.zeros(len(ids))
-    d_h = d_inner = None
+    count = np.bincount(kind, minlength=shape.classes)
+    rows = max(ROWS, len(ids) // 256)
+    blocks = -(-count // rows)
+    end = np.cumsum(blocks) * rows
+    at = np.empty(len(ids), np.int64)
+    at[order] = np.arange(len(ids)) + np.repeat(end - blocks * rows - np.cumsum(count) + count, count)
+    of = np.repeat(np.arange(shape.classes), blocks)
+    inputs, place = np.zeros((len(of) * rows, shape.hidden + 1), h.dtype), np.zeros(len(of) * rows, np.int64)
+    inputs[at], place[at] = h, ids % shape.per_class
+    words = np.concatenate([model["words"], model["word_bias"][:, None]], 1).reshape(shape.classes, shape.per_class, -1)
+    each = inputs.reshape(len(of), rows, -1) @ np.ascontiguousarray(words.transpose(0, 2, 1)).take(of, 0)
+    inner, e_inner, total_inner = _pick(each, place.reshape(len(of), rows))
+    out += inner.reshape(-1).take(at)
     if grads is not None:
-        e /= total[:, None]
+        e *= (1 / total)[:, None]
         e[np.arange(len(ids)), kind] -= 1
-        grads["classes"], grads["class_bias"] = h.T @ e, e.sum(0)
+        both = e.T @ h
+        grads["classes"], grads["class_bias"] = both[:, :-1].T, both[:, -1]
+        used = np.zeros(len(of) * rows, h.dtype)
+        used[at] = 1
+        e_inner *= (used.reshape(total_inner.shape) / total_inner)[..., None]
+        flat_e = e_inner.reshape(-1, shape.per_class)
+        flat_e[at, place[at]] -= 1
+        both = np.zeros((shape.classes, shape.per_class, shape.hidden + 1), h.dtype)
+        for c in np.flatnonzero(count).tolist():
+            own = slice(int(end[c] - blocks[c] * rows), int(end[c]))
+            np.matmul(flat_e[own].T, inputs[own], out=both[c])
+        grads["words"], grads["word_bias"] = both[..., :-1].reshape(shape.size, -1), both[..., -1].reshape(-1)
         d_h = e @ model["classes"].T
-        d_inner = np.zeros_like(d_h)
-        grads["words"], grads["word_bias"] = np.zeros_like(model["words"]), np.zeros_like(model["word_bias"])
-    for c in range(shape.classes):
-        some = slice(cuts[c], cuts[c + 1])
-        if cuts[c] == cuts[c + 1]:
-            continue
-        own = slice(c * shape.per_class, (c + 1) * shape.per_class)
-        place = place_sorted[some]
-        inner[some], e, total = _pick(h_sorted[some] @ model["words"][own].T + model["word_bias"][own], place)
-        if grads is not None:
-            e /= total[:, None]
-            e[np.arange(len(place)), place] -= 1
-            grads["words"][own], grads["word_bias"][own] = e.T @ h_sorted[some], e.sum(0)
-            d_inner[some] = e @ model["words"][own]
-    out[order] += inner
-    if grads is not None:
-        d_h[order] += d_inner
-        d_in = (d_h * (1 - h * h)).astype(np.float32)
+        d_h += (e_inner @ words[..., :-1].take(of, 0)).reshape(len(of) * rows, -1).take(at, 0)
+        d_in = (d_h * (1 - h[:, :-1] * h[:, :-1])).astype(np.float32)
         grads["bias"] = d_in.sum(0)
         grads["vectors"] = np.zeros_like(model["vectors"])
-        rows, sums = _sum_rows(context, d_in)
-        grads["vectors"][rows] = sums
+        grads["read"], sums = _sum_rows(context, d_in)
+        grads["vectors"][grads["read"]] = sums
     return out
 
 
@@ -380,17 +400,15 @@ class Trainer:
     def step(self, context: np.ndarray, ids: np.ndarray) -> None:
         grads: dict = {}
         log_probs(self.model, context, ids, self.shape, grads)
-        read = np.zeros(len(self.model["vectors"]), bool)
-        read[context.reshape(-1)] = True
+        read = grads.pop("read")
         for k, g in grads.items():
-            rows = np.flatnonzero(read) if k == "vectors" else None
-            g = ((g if rows is None else g[rows]) / len(ids)).astype(np.float32)
-            if rows is not None:
-                self.squares[k][rows] += g * g
-                self.model[k][rows] -= self.shape.rate * g / np.sqrt(self.squares[k][rows])
-            else:
-                self.squares[k] += g * g
-                self.model[k] -= self.shape.rate * g / np.sqrt(self.squares[k])
+            rows = read if k == "vectors" else slice(None)
+            g = (g[rows] / len(ids)).astype(np.float32, copy=False)
+            squares = self.squares[k][rows] + g * g
+            self.squares[k][rows] = squares
+            g *= self.shape.rate
+            g /= np.sqrt(squares, out=squares)
+            self.model[k][rows] -= g
         self.places += len(ids)
 
 
@@ -420,9 +438,10 @@ def _train(batches: Iterator[pa.RecordBatch], model: dict, shape: Shape, turn: i
             at = np.arange(len(ids)) - np.repeat(first[:-1], np.diff(first))
             chosen = np.flatnonzero(taught(at, turn, shape))
             chosen = chosen[np.argsort(mix(chosen.astype(U64)))]
+            places = Places(ids, first, shape)
             for i in range(0, len(chosen), shape.batch):
                 some = chosen[i : i + shape.batch]
-                trainer.step(contexts(ids, first, shape, some), ids[some])
+                trainer.step(places.contexts(some), ids[some])
     if trainer.places:
         yield _copies(part, trainer.places, [x.tobytes() for x in np.array_split(flat(trainer.model), CHUNKS)], list(range(CHUNKS)))
 
@@ -477,7 +496,8 @@ def score_documents(docs: DataFrame, shape: Shape | None = None) -> DataFrame:
             for row in batch.to_pylist():
                 first, ids = _open(row["first"], "<i8", opener), _ids(row["ids"], shape, opener)
                 each = np.zeros(len(ids) + 1)
-                parts = [log_probs(known.value, contexts(ids, first, shape, np.arange(i, min(i + 32768, len(ids)))), ids[i : i + 32768], shape) for i in range(0, len(ids), 32768)]
+                places = Places(ids, first, shape)
+                parts = [log_probs(known.value, places.contexts(slice(i, i + AT_ONCE)), ids[i : i + AT_ONCE], shape) for i in range(0, len(ids), AT_ONCE)]
                 own = np.concatenate([np.zeros(0), *parts])
                 own[ids >= shape.known] += _open(row["inside"], "<f4", opener)
                 np.cumsum(own, out=each[1:])
